@@ -6,11 +6,13 @@ Formulas: J. P. Snyder, Map Projections - A Working Manual (1987), chapter 21.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import cos, pi, radians, sin, sqrt, tan
+from math import atan, cos, pi, radians, sin, sqrt, tan
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chromasea.functions.numeric import poly
+
 # --- fixed values: ellipsoid, projections and named areas ---
 SEMI_MAJOR = 6378137.0
 ECC2 = 0.00669437999014
@@ -67,6 +69,15 @@ class Area:
         lat = radians(true_scale)
         return SEMI_MAJOR * cos(lat) / sqrt(1 - ECC2 * sin(lat) ** 2) / _t(lat)
 
+    @property
+    def max_scale(self) -> float:
+        """Largest ratio of map to ground distance: it grows away from the pole, to the farthest corner."""
+        x0, y0, x1, y1 = self.extent
+        rho = max(abs(x0), abs(x1)) ** 2 + max(abs(y0), abs(y1)) ** 2
+        t = sqrt(rho) / self.rho_scale
+        chi = pi / 2 - 2 * atan(t)
+        return sqrt(rho) / (SEMI_MAJOR * cos(chi) / sqrt(1 - ECC2 * sin(chi) ** 2))
+
 
 def area(name: str) -> Area:
     """G-01. A named target grid."""
@@ -120,6 +131,44 @@ def rowcol_to_lonlat(row: Column, col: Column, target: Area) -> tuple[Column, Co
     return xy_to_lonlat(*rowcol_to_xy(row, col, target), target)
 
 
+def unit_vector(lon: Column, lat: Column) -> tuple[Column, Column, Column]:
+    """Position on the unit sphere, longitudes counted from the central meridian."""
+    a, b = F.radians(lon - F.lit(CENTRAL_MERIDIAN)), F.radians(lat)
+    return F.cos(b) * F.cos(a), F.cos(b) * F.sin(a), F.sin(b)
+
+
+def with_cell_vector(df: DataFrame, row: str, col: str, target: Area, prefix: str = "_k") -> DataFrame:
+    """Adds the unit vector of a cell centre as `{prefix}x`, `{prefix}y`, `{prefix}z`.
+
+    The same inverse projection as `rowcol_to_lonlat`, but algebraic up to the
+    small angle between conformal and geodetic latitude, and staged in named
+    steps: it is evaluated once per candidate cell.
+    """
+    x, y = rowcol_to_xy(F.col(row), F.col(col), target)
+    e2, e4, e6, e8 = ECC2, ECC2**2, ECC2**3, ECC2**4
+    a = e2 / 2 + 5 * e4 / 24 + e6 / 12 + 13 * e8 / 360
+    b = 7 * e4 / 48 + 29 * e6 / 240 + 811 * e8 / 11520
+    c = 7 * e6 / 120 + 81 * e8 / 1120
+    d = 4279 * e8 / 161280
+    g = F.col
+    step = df.withColumns({"_cx": x, "_cy": y})
+    step = step.withColumn("_rho", F.sqrt(g("_cx") * g("_cx") + g("_cy") * g("_cy")))
+    step = step.withColumn("_t", g("_rho") / F.lit(target.rho_scale))
+    step = step.withColumn("_den", 1 + g("_t") * g("_t"))
+    step = step.withColumns({"_sin": (1 - g("_t") * g("_t")) / g("_den"), "_cos": 2 * g("_t") / g("_den")})
+    step = step.withColumns({"_s2": 2 * g("_sin") * g("_cos"), "_c2": 1 - 2 * g("_sin") * g("_sin")})
+    series = poly(g("_c2"), (a - c, 2 * b - 4 * d, 4 * c, 8 * d))
+    step = step.withColumn("_delta", g("_s2") * series)
+    step = step.withColumns({"_cd": F.cos("_delta"), "_sd": F.sin("_delta")})
+    step = step.withColumn("_par", g("_cos") * g("_cd") - g("_sin") * g("_sd"))
+    at_pole = g("_rho") == 0
+    return step.withColumns({
+        f"{prefix}x": F.when(at_pole, 0.0).otherwise(g("_par") * F.try_divide(-g("_cy"), g("_rho"))),
+        f"{prefix}y": F.when(at_pole, 0.0).otherwise(g("_par") * F.try_divide(g("_cx"), g("_rho"))),
+        f"{prefix}z": g("_sin") * g("_cd") + g("_cos") * g("_sd"),
+    }).drop("_cx", "_cy", "_rho", "_t", "_den", "_sin", "_cos", "_s2", "_c2", "_delta", "_cd", "_sd", "_par")
+
+
 def chord_distance(lon1: Column, lat1: Column, lon2: Column, lat2: Column, radius: float = EARTH_RADIUS) -> Column:
     """Straight-line distance in metres between two points on a sphere."""
     a, b, c, d = F.radians(lon1), F.radians(lat1), F.radians(lon2), F.radians(lat2)

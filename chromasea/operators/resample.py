@@ -8,7 +8,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chromasea.functions.projection import Area, chord_distance, lonlat_to_rowcol, rowcol_to_lonlat
+from chromasea.functions.projection import EARTH_RADIUS, Area, lonlat_to_xy, unit_vector, with_cell_vector
 
 # --- fixed values: search radii in metres ---
 RADIUS_FULL_RESOLUTION = 500.0
@@ -16,9 +16,18 @@ RADIUS_MULTI_SENSOR = 6800.0
 # --- end of fixed values ---
 
 
+def map_radius(target: Area, radius_m: float) -> float:
+    """Map distance that surely covers the search radius.
+
+    The ground distance is stretched by at most the map scale at the farthest
+    corner; two per cent cover the difference between sphere and ellipsoid.
+    """
+    return radius_m * target.max_scale * 1.02
+
+
 def search_ring(target: Area, radius_m: float) -> int:
-    """Cells to look at on each side: the radius, plus one for the map's scale distortion."""
-    return ceil(radius_m / min(abs(target.pixel_x), abs(target.pixel_y))) + 1
+    """Cells to look at on each side of the cell that holds a pixel."""
+    return ceil(map_radius(target, radius_m) / min(abs(target.pixel_x), abs(target.pixel_y)) + 0.5)
 
 
 def resample_nearest(swath: DataFrame, target: Area, radius_m: float, cols: Sequence[str],
@@ -26,25 +35,38 @@ def resample_nearest(swath: DataFrame, target: Area, radius_m: float, cols: Sequ
     """G-07. Each target cell takes the nearest swath pixel within the radius.
 
     A swath pixel offers itself to the cells of a ring around its own position,
-    limited beforehand to the radius, and each cell keeps the smallest
-    (distance, `order`): a grouped minimum with partial aggregation instead of a
-    spatial join, so no index is shipped and no cell gathers its candidates.
+    thinned by the distance in the map plane, and each cell keeps the smallest
+    (chord distance, `order`): a grouped minimum with partial aggregation instead
+    of a spatial join, so no index is shipped and no cell gathers its candidates.
+    The radius itself is applied to the winner only, which is equivalent.
     """
-    k = search_ring(target, radius_m)
+    k, reach = search_ring(target, radius_m), map_radius(target, radius_m)
     offsets = F.sequence(F.lit(-k), F.lit(k))
-    row, col = lonlat_to_rowcol(F.col("lon"), F.col("lat"), target)
-    located = swath.select(*keys, *order, *cols, "lon", "lat", F.rint(row).cast("int").alias("_r"),
-                           F.rint(col).cast("int").alias("_c"))
-    near = (F.col("_r").between(-k, target.height - 1 + k)) & (F.col("_c").between(-k, target.width - 1 + k))
-    rows = located.where(near).withColumn("y", F.explode(F.transform(offsets, lambda d: F.col("_r") + d)))
-    rows = rows.where(F.col("y").between(0, target.height - 1))
-    cells = rows.withColumn("x", F.explode(F.transform(offsets, lambda d: F.col("_c") + d)))
-    cells = cells.where(F.col("x").between(0, target.width - 1))
-    lon, lat = rowcol_to_lonlat(F.col("y"), F.col("x"), target)
-    offered = cells.withColumns({"_lon": lon, "_lat": lat}).withColumn(
-        "distance", chord_distance(F.col("lon"), F.col("lat"), F.col("_lon"), F.col("_lat"))
-    ).where(F.col("distance") <= radius_m)
-    best = offered.groupBy(*keys, "y", "x").agg(F.min(F.struct("distance", *order, *cols)).alias("_b"))
+    xm, ym = lonlat_to_xy(F.col("lon"), F.col("lat"), target)
+    px, py, pz = unit_vector(F.col("lon"), F.col("lat"))
+    located = swath.select(
+        *keys, *order, *cols, xm.alias("_xm"), ym.alias("_ym"), px.alias("_px"), py.alias("_py"), pz.alias("_pz")
+    )
+    row = (F.lit(float(target.extent[3])) - F.col("_ym")) / F.lit(target.pixel_y) - 0.5
+    col = (F.col("_xm") - F.lit(float(target.extent[0]))) / F.lit(target.pixel_x) - 0.5
+    located = located.withColumns({"_row": row, "_col": col}).where(
+        F.col("_row").between(-k, target.height - 1 + k) & F.col("_col").between(-k, target.width - 1 + k)
+    )
+    rows = located.withColumn("_dy", F.explode(offsets)).withColumn("y", F.rint("_row").cast("int") + F.col("_dy"))
+    rows = rows.where(
+        F.col("y").between(0, target.height - 1)
+        & (F.abs(F.col("_row") - F.col("y")) * F.lit(abs(target.pixel_y)) <= F.lit(reach))
+    )
+    cells = rows.withColumn("_dx", F.explode(offsets)).withColumn("x", F.rint("_col").cast("int") + F.col("_dx"))
+    dy = (F.col("_row") - F.col("y")) * F.lit(target.pixel_y)
+    dx = (F.col("_col") - F.col("x")) * F.lit(target.pixel_x)
+    cells = cells.where(F.col("x").between(0, target.width - 1) & (dx * dx + dy * dy <= F.lit(reach * reach)))
+    gaps = with_cell_vector(cells, "y", "x", target).withColumns({
+        f"_d{a}": F.col(f"_p{a}") - F.col(f"_k{a}") for a in "xyz"
+    })
+    chord = F.lit(EARTH_RADIUS) * F.sqrt(sum((F.col(f"_d{a}") * F.col(f"_d{a}") for a in "xyz"), F.lit(0.0)))
+    offered = gaps.select(*keys, "y", "x", F.struct(chord.alias("distance"), *order, *cols).alias("_b"))
+    best = offered.groupBy(*keys, "y", "x").agg(F.min("_b").alias("_b")).where(F.col("_b.distance") <= radius_m)
     return best.select(*keys, "y", "x", "_b.distance", *[F.col(f"_b.{c}").alias(c) for c in cols])
 
 

@@ -152,9 +152,14 @@ def with_views(body: str, *extra: tuple[str, str]) -> str:
     return "with " + ",\n".join(f"{n} as ({t})" for n, t in ctes) + "\n" + body
 
 
+def _offset(digits: int) -> float:
+    """Shift below the last digit: means of few decimals lie on rounding ties, where engines may differ."""
+    return 0.1371828 * 10.0 ** -digits
+
+
 def rounded(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
     """Round the named doubles; adding zero turns a negative zero into zero."""
-    return df.withColumns({c: F.round(c, d) + F.lit(0.0) for c, d in digits.items()})
+    return df.withColumns({c: F.round(F.col(c) + F.lit(_offset(d)), d) + F.lit(0.0) for c, d in digits.items()})
 
 
 def query(name: str, sql: str | None = None, digits: int | Mapping[str, int] | None = None,
@@ -172,7 +177,7 @@ def query(name: str, sql: str | None = None, digits: int | Mapping[str, int] | N
         if sql is not None:
             body = sql
             if spec:
-                replaced = ", ".join(f"round({c}, {d}) + 0e0 as {c}" for c, d in spec.items())
+                replaced = ", ".join(f"round({c} + {_offset(d):.17e}, {d}) + 0e0 as {c}" for c, d in spec.items())
                 body = f"select * replace ({replaced}) from (\n{sql}\n) as q"
             ORACLES[name] = with_views(body, *views)
         return fn
