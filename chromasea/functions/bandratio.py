@@ -31,40 +31,56 @@ def _positive(col: Column) -> Column:
     return F.when(col > 0, col)
 
 
-def chl_oc4(r443: Column, r490: Column, r510: Column, r560: Column, chl: Column | None = None) -> Column:
-    """A-01. Maximum-band-ratio chlorophyll, bidirectionally corrected if a first estimate is given.
-
-    NULL unless 510 and 560 are valid; 443 and 490 only take part if they are.
-    """
+def _log_ratio(r443: Column, r490: Column, r510: Column, r560: Column, chl: Column | None) -> Column:
+    """Logarithm of the largest corrected ratio to 560 nm; NULL unless 510 and 560 are valid."""
     green = _positive(r560)
 
     def ratio(col: Column, band: int) -> Column:
         r = _positive(col) / green
         return r if chl is None else r / fq_ratio(chl, band)
 
-    best = F.greatest(ratio(r443, 443), ratio(r490, 490), ratio(r510, 510))
-    return F.when(r510 > 0, F.pow(F.lit(10.0), poly(F.log10(best), CHL_POLY)))
+    return F.log10(F.when(r510 > 0, F.greatest(ratio(r443, 443), ratio(r490, 490), ratio(r510, 510))))
+
+
+def _log_490(r490: Column, r560: Column, q490: Column | None) -> Column:
+    ratio = _positive(r490) / _positive(r560)
+    return F.log10(ratio if q490 is None else ratio / q490)
+
+
+def _chl(log_ratio: Column) -> Column:
+    return F.pow(F.lit(10.0), poly(log_ratio, CHL_POLY))
+
+
+def _kd(log_ratio: Column) -> Column:
+    return F.lit(KD_WATER) + F.pow(F.lit(10.0), poly(log_ratio, KD_POLY))
+
+
+def chl_oc4(r443: Column, r490: Column, r510: Column, r560: Column, chl: Column | None = None) -> Column:
+    """A-01. Maximum-band-ratio chlorophyll, bidirectionally corrected if a first estimate is given.
+
+    NULL unless 510 and 560 are valid; 443 and 490 only take part if they are.
+    """
+    return _chl(_log_ratio(r443, r490, r510, r560, chl))
 
 
 def kd490_ok2(r490: Column, r560: Column, chl: Column | None = None) -> Column:
     """A-03. Kd at 490 nm from the 490/560 ratio; NULL if either is not positive."""
-    ratio = _positive(r490) / _positive(r560)
-    if chl is not None:
-        ratio = ratio / fq_ratio(chl, 490)
-    return F.lit(KD_WATER) + F.pow(F.lit(10.0), poly(F.log10(ratio), KD_POLY))
+    return _kd(_log_490(r490, r560, None if chl is None else fq_ratio(chl, 490)))
 
 
 def kd490_two_pass(df: DataFrame, r443: str = "rrs443", r490: str = "rrs490", r510: str = "rrs510",
                    r560: str = "rrs560") -> DataFrame:
     """A-03. Adds chl_first, chl_second, q490 and kd490.
 
-    Each pass is its own projection so that the first estimate is computed once
-    and referred to by name instead of being inlined into every f/Q segment.
+    Every value that is used more than once is a projection of its own, referred
+    to by name: the polynomial and the f/Q segments never contain a copy of the
+    expression behind their argument, which keeps the generated code small.
     """
     cols = [F.col(c) for c in (r443, r490, r510, r560)]
-    first = df.withColumn("chl_first", chl_oc4(*cols))
-    second = first.withColumn("chl_second", chl_oc4(*cols, chl=F.col("chl_first")))
-    return (
-        second.withColumn("q490", fq_ratio(F.col("chl_second"), 490))
-        .withColumn("kd490", kd490_ok2(cols[1], cols[3], F.col("chl_second")))
-    )
+    step = df.withColumn("_log", _log_ratio(*cols, None)).withColumn("chl_first", _chl(F.col("_log")))
+    step = step.withColumns({f"_q{b}": fq_ratio(F.col("chl_first"), b) for b in (443, 490, 510)})
+    best = F.greatest(*[_positive(c) / _positive(cols[3]) / F.col(f"_q{b}") for c, b in zip(cols, (443, 490, 510))])
+    step = step.withColumn("_log", F.log10(F.when(cols[2] > 0, best))).withColumn("chl_second", _chl(F.col("_log")))
+    step = step.withColumn("q490", fq_ratio(F.col("chl_second"), 490))
+    step = step.withColumn("_log", _log_490(cols[1], cols[3], F.col("q490"))).withColumn("kd490", _kd(F.col("_log")))
+    return step.drop("_log", "_q443", "_q490", "_q510")

@@ -149,6 +149,8 @@ def with_views(body: str, *extra: tuple[str, str]) -> str:
     ] + list(extra)
     if not ctes:
         return body
+    if body.lstrip().startswith("with"):
+        body = f"select * from (\n{body}\n) as q"
     return "with " + ",\n".join(f"{n} as ({t})" for n, t in ctes) + "\n" + body
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chromasea.operators import climatology, gpr, grid, grouping, overlap
 from chromasea.queries.base import query, table, view
 from chromasea.queries.expressions import BANDS5
+from chromasea.queries.windows import SIDE, clim_sql
 from chromasea.sources import catalogue
 from chromasea.sources.models import model_from_frame
 
@@ -30,41 +31,30 @@ def _(spark, sf):
     return grid.align(scene, view(spark, sf, "daily"), ["obs_date", "y", "x"])
 
 
-_CLIM = """
-    select strftime(obs_date, '%m%d') as mmdd, y // 10 as y, x // 10 as x, median(chl) as median, stddev_pop(chl) as n_std
-    from daily where chl is not null group by 1, 2, 3
-"""
-_DAY = "(case when strftime(obs_date, '%m%d') = '0229' then '0228' else strftime(obs_date, '%m%d') end)"
-
-
-def _coarse(spark, sf):
-    return view(spark, sf, "daily").withColumns({
-        "y": F.floor(F.col("y") / 10).cast("int"), "x": F.floor(F.col("x") / 10).cast("int")})
+_CLIM = clim_sql("log10(chl)")
+_DAY = "(case when strftime(d.obs_date, '%m%d') = '0229' then '0228' else strftime(d.obs_date, '%m%d') end)"
 
 
-def _toy_clim(spark, sf):
-    """Day-of-year statistics of a 2 x 2 grid; a month-day and cell gathers one value per year and fine cell."""
-    c = _coarse(spark, sf).where(F.col("chl").isNotNull())
-    return c.groupBy(F.date_format("obs_date", "MMdd").alias("mmdd"), "y", "x").agg(
-        F.median("chl").alias("median"), F.stddev_pop("chl").alias("n_std"))
+def _clim(spark, sf):
+    return climatology.climatology(view(spark, sf, "daily"), "chl", SIDE, SIDE, log=True)
 
 
 @query("j02_join_climatology", f"""
-    select d.obs_date, d.y, d.x, d.chl, c.median from (select obs_date, y // 10 as y, x // 10 as x, chl from daily) as d
-      left join ({_CLIM}) as c on c.mmdd = {_DAY.replace('obs_date', 'd.obs_date')} and c.y = d.y and c.x = d.x
-""", 8, ("chl", "median"))
+    select d.obs_date, d.y, d.x, d.chl, c.median, c.nofobs
+    from daily as d left join ({_CLIM}) as c on c.mmdd = {_DAY} and c.y = d.y and c.x = d.x
+""", 7, ("chl", "median"))
 def _(spark, sf):
-    joined = climatology.join_climatology(_coarse(spark, sf), _toy_clim(spark, sf))
-    return joined.select("obs_date", "y", "x", "chl", "median")
+    joined = climatology.join_climatology(view(spark, sf, "daily"), _clim(spark, sf))
+    return joined.select("obs_date", "y", "x", "chl", "median", "nofobs")
 
 
 @query("a13_quality_index", f"""
-    select d.obs_date, d.y, d.x, d.chl, (log10(case when chl > 0 then chl end) - c.median) / nullif(c.n_std, 0) as qi
-    from (select obs_date, y // 10 as y, x // 10 as x, chl from daily) as d
-      left join ({_CLIM}) as c on c.mmdd = {_DAY.replace('obs_date', 'd.obs_date')} and c.y = d.y and c.x = d.x
-""", 7, ("chl", "qi"))
+    select d.obs_date, d.y, d.x, d.chl,
+      (log10(case when chl > 0 then chl end) - c.median) / (case when c.n_std > 1e-9 then c.n_std end) as qi
+    from daily as d left join ({_CLIM}) as c on c.mmdd = {_DAY} and c.y = d.y and c.x = d.x
+""", 6, ("chl", "qi"))
 def _(spark, sf):
-    return climatology.quality_index(_coarse(spark, sf), _toy_clim(spark, sf), "chl", log=True, out="qi")
+    return climatology.quality_index(view(spark, sf, "daily"), _clim(spark, sf), "chl", log=True, out="qi")
 
 
 _MEET = "a.y_min <= b.y_max and a.y_max >= b.y_min and a.x_min <= b.x_max and a.x_max >= b.x_min"

@@ -1 +1,144 @@
-"""To come."""
+"""Queries for the streaming operators and their batch twins (T-01 to T-05)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from chromasea.queries.base import query, table, view
+from chromasea.session import scratch_path
+from chromasea.sources.catalogue import best_timeliness
+from chromasea.streaming import composites
+from chromasea.streaming.supersede import SupersedeTable
+
+KEYS = ("y", "x")
+
+
+def _pixels(events):
+    """A measurement per event, in a 6 x 5 grid."""
+    return events.select(
+        F.col("ts").alias("start_ts"), (F.col("user_id") % 6).cast("int").alias("y"),
+        (F.col("event_id") % 5).cast("int").alias("x"), F.col("value").alias("chl"))
+
+
+def _event_stream(spark, sf):
+    # a pattern, since a stream may not start from the path of a single file
+    schema = table(spark, sf, "events").schema
+    return composites.read_stream(spark, f"{sf}/event[s].parquet", schema)
+
+
+_PIX = "select ts, cast(user_id % 6 as integer) as y, cast(event_id % 5 as integer) as x, value as chl from events"
+_TUMBLING = f"""
+    select cast(ts as date) as day, y, x, avg(chl) as chl, count(chl) as n_chl from ({_PIX}) as p group by 1, 2, 3
+"""
+_SLIDING = f"""
+    select cast(cast(ts as date) - cast(k as integer) as date) as day, y, x, avg(chl) as chl, count(chl) as n_chl
+    from ({_PIX}) as p cross join range(0, 11) as r(k) group by 1, 2, 3
+"""
+
+
+@query("t01_tumbling_batch", _TUMBLING, 8, ("chl",))
+def _(spark, sf):
+    return composites.tumbling_composite(_pixels(table(spark, sf, "events")), ["chl"], KEYS)
+
+
+@query("t01_tumbling_stream", _TUMBLING, 8, ("chl",))
+def _(spark, sf):
+    stream = composites.tumbling_composite(_pixels(_event_stream(spark, sf)), ["chl"], KEYS)
+    return composites.run_to_table(stream, "tumbling", "complete")
+
+
+@query("t02_sliding_batch", _SLIDING, 8, ("chl",))
+def _(spark, sf):
+    return composites.sliding_composite(_pixels(table(spark, sf, "events")), ["chl"], KEYS)
+
+
+@query("t02_sliding_stream", _SLIDING, 8, ("chl",))
+def _(spark, sf):
+    stream = composites.sliding_composite(_pixels(_event_stream(spark, sf)), ["chl"], KEYS)
+    return composites.run_to_table(stream, "sliding", "complete")
+
+
+_PASSES = """
+    with g as (select platform, rel_orbit, start_ts,
+        case when start_ts < lag(start_ts) over w + interval 12 hour then 0 else 1 end as fresh
+      from granules window w as (partition by platform, rel_orbit order by start_ts)),
+    s as (select *, sum(fresh) over (partition by platform, rel_orbit order by start_ts
+        rows between unbounded preceding and current row) as run from g)
+    select platform, rel_orbit, epoch_us(min(start_ts)) as pass_start,
+      epoch_us(max(start_ts) + interval 12 hour) as pass_end, count(*) as n_granules
+    from s group by platform, rel_orbit, run
+"""
+
+
+def _micros(df):
+    return df.withColumns({c: F.unix_micros(c) for c in ("pass_start", "pass_end")})
+
+
+@query("t03_passes_batch", _PASSES)
+def _(spark, sf):
+    return _micros(composites.detect_passes(view(spark, sf, "granules"), "12 hours"))
+
+
+def _granule_stream(spark, sf):
+    e = _event_stream(spark, sf)
+    return e.select(
+        F.when(F.col("event_id") % 2 == 0, "S3A").otherwise("S3B").alias("platform"),
+        (F.col("user_id") % 385).cast("int").alias("rel_orbit"), F.col("ts").alias("start_ts"))
+
+
+@query("t03_passes_stream", f"""
+    select * from ({_PASSES}) as p
+    where pass_end <= (select epoch_us(max(start_ts)) from granules) - 86400000000
+""")
+def _(spark, sf):
+    # append mode: a pass is final once the watermark, a day behind the latest granule, has gone by
+    stream = composites.detect_passes(_granule_stream(spark, sf), "12 hours")
+    return _micros(composites.run_to_table(stream, "passes", "append"))
+
+
+@query("t04_late_data", f"""
+    select * from ({_TUMBLING}) as t
+    where cast(day as timestamp) + interval 1 day <= (select max(ts) from events) - interval 2 day
+""", 8, ("chl",))
+def _(spark, sf):
+    # closed days only: later granules could still change the others
+    stream = composites.tumbling_composite(_pixels(_event_stream(spark, sf)), ["chl"], KEYS, lateness="2 days")
+    return composites.run_to_table(stream, "late", "append")
+
+
+_BEST = """
+    select obs_date, y, x, timeliness, chl, event_id from (
+      select cast(ts as date) as obs_date, cast(user_id % 6 as integer) as y, cast(event_id % 5 as integer) as x,
+        case when event_type = 'purchase' then 'NR' when event_type = 'error' then 'NT' else 'other' end as timeliness,
+        value as chl, event_id,
+        row_number() over (partition by cast(ts as date), user_id % 6, event_id % 5
+          order by case event_type when 'error' then 1 else 2 end, event_id) as rn
+      from events where event_type in ('purchase', 'error')) as s where rn = 1
+"""
+
+
+def _timely(events):
+    kind = F.when(F.col("event_type") == "purchase", "NR").when(F.col("event_type") == "error", "NT").otherwise("other")
+    return events.select(
+        F.col("ts").cast("date").alias("obs_date"), (F.col("user_id") % 6).cast("int").alias("y"),
+        (F.col("event_id") % 5).cast("int").alias("x"), kind.alias("timeliness"), F.col("value").alias("chl"),
+        "event_id")
+
+
+@query("t05_supersede_batch", _BEST, 8, ("chl",))
+def _(spark, sf):
+    return best_timeliness(_timely(table(spark, sf, "events")), ["obs_date", "y", "x"], tie=["event_id"])
+
+
+@query("t05_supersede_stream", _BEST, 8, ("chl",))
+def _(spark, sf):
+    # near-real-time rows arrive in a first file, their replacements in a second
+    source = scratch_path(spark, "arrivals")
+    rows = _timely(table(spark, sf, "events"))
+    merged = SupersedeTable(spark, tie=["event_id"])
+    checkpoint = scratch_path(spark, "arrivals-checkpoint")
+    out = None
+    for kind in ("NR", "NT"):
+        rows.where(F.col("timeliness") == kind).write.mode("append").parquet(source)
+        out = merged.run(composites.read_stream(spark, source, rows.schema), checkpoint)
+    return out.select("obs_date", "y", "x", "timeliness", "chl", "event_id")
