@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chromasea.functions.numeric import interp_linear, poly
+from chromasea.functions.numeric import interp_at, interp_linear, poly, segment_of
 
 # --- fixed values: f/Q table and polynomial coefficients ---
 FQ_CHL = (0.03, 0.1, 0.3, 1.0, 3.0, 10.0)
@@ -27,6 +29,16 @@ def fq_ratio(chl: Column, band: int) -> Column:
     return F.coalesce(ratio, F.lit(1.0))
 
 
+def with_fq(df: DataFrame, chl: str, bands: Sequence[int]) -> DataFrame:
+    """A-02 for several bands at once, as `_q{band}`: the table segment and the 560 nm value are shared."""
+    x, k = F.col(chl), F.col("_segment")
+    step = df.withColumn("_segment", segment_of(x, FQ_CHL))
+    step = step.withColumn("_q560", F.coalesce(interp_at(x, k, FQ_CHL, FQ[560]), F.lit(1.0)))
+    return step.withColumns({
+        f"_q{b}": F.coalesce(interp_at(x, k, FQ_CHL, FQ[b]) / F.col("_q560"), F.lit(1.0)) for b in bands
+    }).drop("_segment", "_q560")
+
+
 def _positive(col: Column) -> Column:
     return F.when(col > 0, col)
 
@@ -76,11 +88,15 @@ def kd490_two_pass(df: DataFrame, r443: str = "rrs443", r490: str = "rrs490", r5
     to by name: the polynomial and the f/Q segments never contain a copy of the
     expression behind their argument, which keeps the generated code small.
     """
-    cols = [F.col(c) for c in (r443, r490, r510, r560)]
-    step = df.withColumn("_log", _log_ratio(*cols, None)).withColumn("chl_first", _chl(F.col("_log")))
-    step = step.withColumns({f"_q{b}": fq_ratio(F.col("chl_first"), b) for b in (443, 490, 510)})
-    best = F.greatest(*[_positive(c) / _positive(cols[3]) / F.col(f"_q{b}") for c, b in zip(cols, (443, 490, 510))])
-    step = step.withColumn("_log", F.log10(F.when(cols[2] > 0, best))).withColumn("chl_second", _chl(F.col("_log")))
-    step = step.withColumn("q490", fq_ratio(F.col("chl_second"), 490))
-    step = step.withColumn("_log", _log_490(cols[1], cols[3], F.col("q490"))).withColumn("kd490", _kd(F.col("_log")))
-    return step.drop("_log", "_q443", "_q490", "_q510")
+    blue, cyan, green, base = (F.col(c) for c in (r443, r490, r510, r560))
+    valid = (green > 0) & (base > 0)
+    step = df.withColumns({"_n443": _positive(blue) / _positive(base), "_n490": _positive(cyan) / _positive(base),
+                           "_n510": green / F.when(valid, base)})
+    n443, n490, n510 = F.col("_n443"), F.col("_n490"), F.col("_n510")
+    step = step.withColumn("_log", F.log10(F.when(n510.isNotNull(), F.greatest(n443, n490, n510))))
+    step = with_fq(step.withColumn("chl_first", _chl(F.col("_log"))), "chl_first", (443, 490, 510))
+    best = F.greatest(n443 / F.col("_q443"), n490 / F.col("_q490"), n510 / F.col("_q510"))
+    step = step.withColumn("_log", F.log10(F.when(n510.isNotNull(), best))).withColumn("chl_second", _chl(F.col("_log")))
+    step = with_fq(step.drop("_q443", "_q490", "_q510"), "chl_second", (490,)).withColumnRenamed("_q490", "q490")
+    step = step.withColumn("_log", F.log10(n490 / F.col("q490"))).withColumn("kd490", _kd(F.col("_log")))
+    return step.drop("_log", "_n443", "_n490", "_n510")

@@ -46,6 +46,9 @@ APH_FALLBACK = (-0.8, 1.4)
 BLEND_DISTANCE = 15.0
 # --- end of fixed values ---
 
+# Stands in for the bands of unusable rows, whose result is NULL: columns that
+# cannot be NULL need no null checks in the generated code.
+NEUTRAL = 0.004
 _POSITION = {"aw": 0, "bbw": 1, "aph_a": 2, "aph_b": 3}
 IOP_FIELDS = ("bbp443", "adg443", "aph443", "lambda0", "eta", "s", "a555", "bbp0", "a0", "bbp510")
 
@@ -69,151 +72,155 @@ def coefficient(name: str, wavelength: float, table: Mapping[float, float] | Non
     return knots[-1][1]
 
 
-def _below_surface(rrs: Column) -> Column:
-    return rrs / (F.lit(SUBSURFACE[0]) + F.lit(SUBSURFACE[1]) * rrs)
+def _div(a: Column, b: Column) -> Column:
+    """Quotient that cannot be NULL; the divisors of the model are never zero for usable rows."""
+    return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def with_iop(df: DataFrame, r412: str, r442: str, r490: str, r560: str, r665: str, out: str = "iop",
-             literal_share: bool = True) -> DataFrame:
-    """A-10. Adds a struct column with the ten properties and the repaired red band.
+def _invert(df: DataFrame, columns: Sequence[str], literal_share: bool) -> DataFrame:
+    """Adds `_ok` and the properties as flat columns `_bbp0`, `_eta`, ...
 
-    Rows that lack one of the five inputs, or have a non-positive one where the
-    inversion needs it, get NULL. `literal_share` keeps the published code's
-    reading of the fallback share, in which the bracket around each difference
-    is missing; False puts the brackets in.
-
-    The inversion is a chain of short projections: each step is named once, so
-    the optimiser never has to expand a shared sub-expression many times over.
+    A chain of short projections: each value that is used more than once is
+    named once, so no shared sub-expression is expanded, and none of them can be
+    NULL, so that the whole chain stays small enough to be compiled.
     """
-    names = (r412, r442, r490, r560, r665)
-    inputs = [F.col(c) for c in names]
+    inputs = [F.col(c) for c in columns]
     aw = {b: coefficient("aw", b) for b in INPUT_BANDS}
     bbw = {b: coefficient("bbw", b) for b in INPUT_BANDS}
     usable = (inputs[0] > 0) & (inputs[1] > 0) & (inputs[2] > 0) & (inputs[3] > 0) & inputs[4].isNotNull()
     g = F.col
-    step = df.withColumns({
-        f"_r{i}": F.when(usable, c) for i, c in enumerate(inputs[:4])
-    }).withColumn("_raw", F.when(usable, inputs[4]))
+    step = df.withColumn("_ok", F.coalesce(usable, F.lit(False)))
+    step = step.withColumns({
+        f"_r{i}": F.coalesce(F.when(g("_ok"), c), F.lit(NEUTRAL)) for i, c in enumerate(inputs)
+    })
     (hi_f, hi_e), (lo_f, lo_e) = RED_LIMITS
     k0, k1, k2, k3 = RED_REPAIR
+    raw, green = g("_r4"), g("_r3")
     outside = (
-        (g("_raw") <= 0)
-        | (g("_raw") > F.lit(hi_f) * F.pow(g("_r3"), F.lit(hi_e)))
-        | (g("_raw") < F.lit(lo_f) * F.pow(g("_r3"), F.lit(lo_e)))
+        (raw <= 0) | (raw > F.lit(hi_f) * F.pow(green, F.lit(hi_e))) | (raw < F.lit(lo_f) * F.pow(green, F.lit(lo_e)))
     )
-    repaired = F.lit(k0) * F.pow(g("_r3"), F.lit(k1)) + F.lit(k2) * F.pow(g("_r2") / g("_r3"), F.lit(k3))
-    step = step.withColumn("_r4", F.when(outside, repaired).otherwise(g("_raw")))
-    step = step.withColumns({f"_b{i}": _below_surface(g(f"_r{i}")) for i in range(5)})
+    repaired = F.lit(k0) * F.pow(green, F.lit(k1)) + F.lit(k2) * F.pow(_div(g("_r2"), green), F.lit(k3))
+    step = step.withColumn("_r4", F.when(outside, repaired).otherwise(raw))
+    step = step.withColumns({
+        f"_b{i}": _div(g(f"_r{i}"), F.lit(SUBSURFACE[0]) + F.lit(SUBSURFACE[1]) * g(f"_r{i}")) for i in range(5)
+    })
     step = step.withColumns({
-        f"_u{i}": (F.sqrt(F.lit(G0 * G0) + F.lit(4 * G1) * g(f"_b{i}")) - F.lit(G0)) / F.lit(2 * G1)
-        for i in range(5)
+        **{f"_u{i}": (F.sqrt(F.lit(G0 * G0) + F.lit(4 * G1) * g(f"_b{i}")) - F.lit(G0)) * F.lit(0.5 / G1)
+           for i in (0, 1, 3, 4)},
+        "_ratio": _div(g("_b1"), g("_b3")), "_blue": g("_b1") + g("_b2"), "_red": g("_r4") >= F.lit(RED_SWITCH),
     })
-    ratio = g("_b1") / g("_b3")
-    red = g("_r4") >= F.lit(RED_SWITCH)
-    chi = F.log10((g("_b1") + g("_b2")) / (g("_b3") + 5 * (g("_b4") / g("_b2")) * g("_b4")))
-    step = step.withColumn("_chi", chi)
+    ratio, red, blue = g("_ratio"), g("_red"), g("_blue")
+    denominator = g("_b3") + 5 * _div(g("_b4") * g("_b4"), g("_b2"))
     step = step.withColumns({
-        "_lam0": F.when(red, 665.0).when(g("_r4").isNotNull(), 560.0),
-        "_a0": F.when(
-            red, F.lit(aw[665.0]) + F.lit(RED_A0[0]) * F.pow(g("_b4") / (g("_b1") + g("_b2")), F.lit(RED_A0[1]))
-        ).otherwise(F.lit(aw[560.0]) + F.pow(F.lit(10.0), poly(g("_chi"), A0_POLY))),
+        "_chi": F.coalesce(F.log10(_div(blue, denominator)), F.lit(0.0)),
+        "_u": F.when(red, g("_u4")).otherwise(g("_u3")),
+        "_lambda0": F.when(red, 665.0).otherwise(560.0),
         "_eta": F.lit(ETA[0]) * (1 - F.lit(ETA[1]) * F.exp(F.lit(ETA[2]) * ratio)),
-        "_zeta": F.lit(ZETA[0]) + F.lit(ZETA[1]) / (F.lit(ZETA[2]) + ratio),
-        "_s": F.lit(SLOPE[0]) + F.lit(SLOPE[1]) / (F.lit(SLOPE[2]) + ratio),
+        "_zeta": F.lit(ZETA[0]) + _div(F.lit(ZETA[1]), F.lit(ZETA[2]) + ratio),
+        "_s": F.lit(SLOPE[0]) + _div(F.lit(SLOPE[1]), F.lit(SLOPE[2]) + ratio),
     })
-    step = step.withColumn(
-        "_bbp0",
-        F.when(red, g("_u4") * g("_a0") / (1 - g("_u4")) - F.lit(bbw[665.0]))
-        .otherwise(g("_u3") * g("_a0") / (1 - g("_u3")) - F.lit(bbw[560.0])),
-    )
-
-    def bbp(wavelength: float) -> Column:
-        return g("_bbp0") * F.pow(g("_lam0") / F.lit(wavelength), g("_eta"))
+    step = step.withColumn("_a0", F.when(
+        red, F.lit(aw[665.0]) + F.lit(RED_A0[0]) * F.pow(_div(g("_b4"), blue), F.lit(RED_A0[1]))
+    ).otherwise(F.lit(aw[560.0]) + F.pow(F.lit(10.0), poly(g("_chi"), A0_POLY))))
+    water = F.when(red, F.lit(bbw[665.0])).otherwise(F.lit(bbw[560.0]))
+    step = step.withColumn("_bbp0", _div(g("_u") * g("_a0"), 1 - g("_u")) - water)
 
     def absorption(i: int, band: float) -> Column:
-        return (1 - g(f"_u{i}")) * (F.lit(bbw[band]) + bbp(band)) / g(f"_u{i}")
+        return _div((1 - g(f"_u{i}")) * (F.lit(bbw[band]) + _particles(band)), g(f"_u{i}"))
 
     step = step.withColumns({
         "_a412": absorption(0, 412.5), "_a443": absorption(1, 442.5), "_a555": absorption(3, 560.0),
-        "_z": F.exp(g("_s") * F.lit(ZETA_SPAN)),
     })
-    step = step.withColumn(
-        "_adg",
-        ((g("_a412") - g("_zeta") * g("_a443")) - (F.lit(aw[412.5]) - g("_zeta") * F.lit(aw[442.5])))
-        / (g("_z") - g("_zeta")),
-    )
-    step = step.withColumn("_aph", g("_a443") - g("_adg") - F.lit(aw[442.5]))
+    a412, a443 = g("_a412"), g("_a443")
+    excess = (a412 - F.lit(aw[412.5])) - g("_zeta") * (a443 - F.lit(aw[442.5]))
+    step = step.withColumn("_adg443", _div(excess, F.exp(g("_s") * F.lit(ZETA_SPAN)) - g("_zeta")))
+    step = step.withColumn("_aph443", a443 - g("_adg443") - F.lit(aw[442.5]))
     if literal_share:
-        contrast = g("_a443") - F.lit(aw[442.5]) / g("_a412") - F.lit(aw[412.5])
+        contrast = a443 - _div(F.lit(aw[442.5]), a412) - F.lit(aw[412.5])
     else:
-        contrast = (g("_a443") - F.lit(aw[442.5])) / (g("_a412") - F.lit(aw[412.5]))
+        contrast = _div(a443 - F.lit(aw[442.5]), a412 - F.lit(aw[412.5]))
     share = clamp(F.lit(APH_FALLBACK[0]) + F.lit(APH_FALLBACK[1]) * contrast, *APH_SHARE)
-    odd = ~(g("_aph") / g("_a443")).between(*APH_SHARE)
-    step = step.withColumn("_aph2", F.when(odd, g("_a443") * share).otherwise(g("_aph")))
-    step = step.withColumn(
-        "_adg2", F.when(odd, g("_a443") - g("_aph2") - F.lit(aw[442.5])).otherwise(g("_adg"))
+    step = step.withColumn("_odd", ~_div(g("_aph443"), a443).between(*APH_SHARE))
+    step = step.withColumn("_aph443", F.when(g("_odd"), a443 * share).otherwise(g("_aph443")))
+    return step.withColumn(
+        "_adg443", F.when(g("_odd"), a443 - g("_aph443") - F.lit(aw[442.5])).otherwise(g("_adg443"))
     )
-    result = F.struct(
-        bbp(442.5).alias("bbp443"), g("_adg2").alias("adg443"), g("_aph2").alias("aph443"),
-        g("_lam0").alias("lambda0"), g("_eta").alias("eta"), g("_s").alias("s"), g("_a555").alias("a555"),
-        g("_bbp0").alias("bbp0"), g("_a0").alias("a0"), bbp(490.0).alias("bbp510"), g("_r4").alias("r665"),
-    )
-    return step.withColumn(out, F.when(g("_r4").isNotNull(), result)).select(*df.columns, out)
 
 
-def forward_rrs(iop: Column, wavelength: float, reference: float) -> Column:
-    """Forward model: Rrs at `wavelength` from the inverted properties.
+def _particles(wavelength: float) -> Column:
+    """Particle backscattering at a wavelength."""
+    return F.col("_bbp0") * F.pow(F.col("_lambda0") * F.lit(1.0 / wavelength), F.col("_eta"))
+
+
+def with_iop(df: DataFrame, r412: str, r442: str, r490: str, r560: str, r665: str, out: str = "iop",
+             literal_share: bool = True) -> DataFrame:
+    """A-10. Adds a struct column with the ten properties and the repaired red band.
+
+    Rows that lack one of the five inputs, or have a non-positive one where the
+    inversion needs it, get NULL. `literal_share` keeps the published code's
+    reading of the fallback share, in which the bracket around each difference
+    is missing; False puts the brackets in.
+    """
+    step = _invert(df, (r412, r442, r490, r560, r665), literal_share)
+    derived = {"bbp443": _particles(442.5), "bbp510": _particles(490.0)}
+    result = F.struct(*[derived.get(f, F.col(f"_{f}")).alias(f) for f in IOP_FIELDS], F.col("_r4").alias("r665"))
+    return step.select(*df.columns, F.when(F.col("_ok"), result).alias(out))
+
+
+def _forward(df: DataFrame, wavelengths: Sequence[float], reference: float) -> DataFrame:
+    """Forward model: Rrs at each wavelength from the inverted properties, as `_f0`, `_f1`, ...
 
     `reference` is the band nearest to 443 nm among all bands taking part.
     """
+    g = F.col
     a_ref, b_ref = coefficient("aph_a", reference), coefficient("aph_b", reference)
-    a_coef, b_coef = coefficient("aph_a", wavelength), coefficient("aph_b", wavelength)
-    adg = iop["adg443"] * F.exp(-iop["s"] * F.lit(wavelength - 443.0))
-    aph = F.lit(a_coef) * F.pow(iop["aph443"] / F.lit(a_ref), F.lit((1 - b_coef) / (1 - b_ref)))
-    bb = iop["bbp0"] * F.pow(iop["lambda0"] / F.lit(wavelength), iop["eta"]) + F.lit(coefficient("bbw", wavelength))
-    q = bb / (bb + adg + aph + F.lit(coefficient("aw", wavelength)))
-    below = F.lit(G0) * q + F.lit(G1) * q * q
-    return F.lit(SUBSURFACE[0]) * below / (1 - F.lit(SUBSURFACE[1]) * below)
+    step = df.withColumn("_aph_rel", g("_aph443") * F.lit(1.0 / a_ref))
+    back, total = {}, {}
+    for i, w in enumerate(wavelengths):
+        power = (1 - coefficient("aph_b", w)) / (1 - b_ref)
+        aph = F.lit(coefficient("aph_a", w)) * F.pow(g("_aph_rel"), F.lit(power))
+        adg = g("_adg443") * F.exp(g("_s") * F.lit(443.0 - w))
+        back[f"_bb{i}"] = _particles(w) + F.lit(coefficient("bbw", w))
+        total[f"_q{i}"] = _div(g(f"_bb{i}"), g(f"_bb{i}") + adg + aph + F.lit(coefficient("aw", w)))
+    n = range(len(wavelengths))
+    step = step.withColumns(back).withColumns(total)
+    step = step.withColumns({f"_q{i}": (F.lit(G0) + F.lit(G1) * g(f"_q{i}")) * g(f"_q{i}") for i in n})
+    return step.withColumns({
+        f"_f{i}": _div(F.lit(SUBSURFACE[0]) * g(f"_q{i}"), 1 - F.lit(SUBSURFACE[1]) * g(f"_q{i}")) for i in n
+    })
 
 
-def _nearest_inputs(wavelength: float, bands: Sequence[float]) -> list[float]:
-    gap = min(abs(b - wavelength) for b in bands)
-    return [b for b in bands if abs(b - wavelength) == gap][:2]
+def _sources(wavelength: float) -> list[tuple[float, float]]:
+    """Input bands that an output wavelength is taken from, with their shares."""
+    gap = min(abs(b - wavelength) for b in INPUT_BANDS)
+    below = [b for b in INPUT_BANDS if b <= wavelength]
+    above = [b for b in INPUT_BANDS if b > wavelength]
+    if gap > BLEND_DISTANCE and below and above:
+        lo, hi = below[-1], above[0]
+        return [(lo, (hi - wavelength) / (hi - lo)), (hi, (wavelength - lo) / (hi - lo))]
+    nearest = [b for b in INPUT_BANDS if abs(b - wavelength) == gap][:2]
+    return [(b, 1.0 / len(nearest)) for b in nearest]
 
 
 def band_shift(df: DataFrame, out_nm: Sequence[float],
                columns: Sequence[str] = ("rrs412", "rrs443", "rrs490", "rrs560", "rrs665"),
-               names: Sequence[str] | None = None, keep_iop: bool = False) -> DataFrame:
+               names: Sequence[str] | None = None) -> DataFrame:
     """A-11. Adds the reflectance at each output wavelength.
 
     The modelled ratio between output and nearest input band scales the measured
     input. Two equally near inputs are averaged; an output more than 15 nm away
     from all inputs and lying between two of them is blended linearly.
     """
-    every = sorted(set(INPUT_BANDS) | {float(w) for w in out_nm})
-    reference = min(every, key=lambda b: abs(b - 443.0))
-    step = with_iop(df, *columns, out="_iop")
-    iop = F.col("_iop")
-    measured = {b: F.col(c) for b, c in zip(INPUT_BANDS, columns)}
-    measured[665.0] = iop["r665"]
     outs = [float(w) for w in out_nm]
-    near: dict[float, tuple[list[float], list[float]]] = {}
-    for w in outs:
-        chosen = _nearest_inputs(w, INPUT_BANDS)
-        weights = [1.0 / len(chosen)] * len(chosen)
-        below = [b for b in INPUT_BANDS if b <= w]
-        above = [b for b in INPUT_BANDS if b > w]
-        if abs(chosen[0] - w) > BLEND_DISTANCE and below and above:
-            lo, hi = below[-1], above[0]
-            chosen, weights = [lo, hi], [(hi - w) / (hi - lo), (w - lo) / (hi - lo)]
-        near[w] = (chosen, weights)
-    needed = sorted({b for chosen, _ in near.values() for b in chosen} | set(outs))
-    step = step.withColumns({f"_f{i}": forward_rrs(iop, w, reference) for i, w in enumerate(needed)})
+    every = sorted(set(INPUT_BANDS) | set(outs))
+    reference = min(every, key=lambda b: abs(b - 443.0))
+    plan = {w: _sources(w) for w in outs}
+    needed = sorted({b for terms in plan.values() for b, _ in terms} | set(outs))
+    step = _forward(_invert(df, columns, True), needed, reference)
+    measured = {b: F.col(f"_r{i}") for i, b in enumerate(INPUT_BANDS)}
     model = {w: F.col(f"_f{i}") for i, w in enumerate(needed)}
-    result = {}
+    result = []
     for name, w in zip(names or [f"rrs{w:g}".replace(".", "_") + "_shifted" for w in outs], outs):
-        terms = [F.lit(k) * model[w] * (measured[b] / model[b]) for b, k in zip(*near[w])]
-        result[name] = sum(terms[1:], terms[0])
-    shifted = step.withColumns(result)
-    extra = [iop.alias("iop")] if keep_iop else []
-    return shifted.select(*df.columns, *extra, *result)
+        terms = [F.lit(k) * model[w] * _div(measured[b], model[b]) for b, k in plan[w]]
+        result.append(F.when(F.col("_ok"), sum(terms[1:], terms[0])).alias(name))
+    return step.select(*df.columns, *result)

@@ -16,15 +16,31 @@ def poly(x: Column, coefficients: Sequence[float]) -> Column:
     return out
 
 
+def segment_of(x: Column, xs: Sequence[float]) -> Column:
+    """Number of the table segment that holds x, from 0; NULL outside the table.
+
+    A staged column of this is shared by all tables over the same knots.
+    """
+    inner = F.lit(0)
+    for knot in xs[1:-1]:
+        inner = inner + (x > F.lit(knot)).cast("int")
+    return F.when(x.between(F.lit(xs[0]), F.lit(xs[-1])), inner)
+
+
+def interp_at(x: Column, segment: Column, xs: Sequence[float], ys: Sequence[float]) -> Column:
+    """Value of the line through the ends of a segment: two look-ups in constant arrays.
+
+    Compared with a CASE over the segments this keeps the generated code small.
+    """
+    knots = list(zip(xs, ys))
+    slopes = [(y1 - y0) / (x1 - x0) for (x0, y0), (x1, y1) in zip(knots, knots[1:])]
+    bases = [y0 - s * x0 for (x0, y0), s in zip(knots, slopes)]
+    return F.get(F.lit(bases), segment) + x * F.get(F.lit(slopes), segment)
+
+
 def interp_linear(x: Column, xs: Sequence[float], ys: Sequence[float]) -> Column:
     """Piecewise-linear interpolation on a short table; NULL outside it."""
-    out = None
-    knots = list(zip(xs, ys))
-    for (x0, y0), (x1, y1) in zip(knots, knots[1:]):
-        segment = F.lit(y0) + (x - F.lit(x0)) * F.lit((y1 - y0) / (x1 - x0))
-        hit = x.between(F.lit(x0), F.lit(x1))
-        out = F.when(hit, segment) if out is None else out.when(hit, segment)
-    return out
+    return interp_at(x, segment_of(x, xs), xs, ys)
 
 
 def clamp(col: Column, lo: float, hi: float) -> Column:

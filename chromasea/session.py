@@ -31,6 +31,9 @@ def build_session(app: str = "chromasea", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # The JVM interprets methods above 8000 bytes; above this limit Spark falls back
+        # to projections split into small methods, which are compiled.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():
