@@ -70,7 +70,7 @@ def two_nearest(wavelength: Column, bands: Sequence[float] = BANDS) -> Column:
 
 def merge_bands(a: Column, b: Column) -> Column:
     """U-03. Sorted distinct union of two band lists."""
-    return F.array_sort(F.array_union(a, b))
+    return F.sort_array(F.array_union(a, b))
 
 
 def tile_key(y: Column, x: Column, ystep: int, xstep: int) -> Column:

@@ -36,6 +36,7 @@ def climatology(daily: DataFrame, col: str, ny: int, nx: int, window: int = 11,
         .groupBy("y", "x", "obs_date")
         .agg(
             F.sum(w).alias("_w"), F.sum(w * v).alias("_wx"), F.sum(w * v * v).alias("_wxx"),
+            F.sum(v).alias("_x"), F.sum(v * v).alias("_xx"),
             *[F.max(F.when((F.col("dy") == dy) & (F.col("dx") == dx), v)).alias(f"_n{i}")
               for i, (dy, dx) in enumerate(RING)],
         )
@@ -49,7 +50,8 @@ def climatology(daily: DataFrame, col: str, ny: int, nx: int, window: int = 11,
     t = temporal_weight(F.col("offset"), half) if use_weights else F.lit(1.0)
     sums = windowed.groupBy("y", "x", "mmdd").agg(
         F.sum(t * F.col("_w")).alias("sum_w"), F.sum(t * F.col("_wx")).alias("_wx"),
-        F.sum(t * F.col("_wxx")).alias("_wxx"), F.array_sort(F.flatten(F.collect_list("_values"))).alias("_values"),
+        F.sum(t * F.col("_wxx")).alias("_wxx"), F.sum("_x").alias("_x"), F.sum("_xx").alias("_xx"),
+        F.sort_array(F.flatten(F.collect_list("_values"))).alias("_values"),
     )
     return _statistics(sums, half, years[1] - years[0] + 1, use_weights)
 
@@ -58,18 +60,22 @@ def _statistics(sums: DataFrame, half: int, n_years: int, use_weights: bool) ->
     values, n = F.col("_values"), F.col("nofobs")
     step = sums.withColumn("nofobs", F.size(values).cast("bigint"))
     step = step.withColumns({
-        "n_avg": F.aggregate(values, F.lit(0.0), lambda s, e: s + e) / n,
+        "n_avg": F.col("_x") / n,
         "w_avg": F.col("_wx") / F.col("sum_w"),
         "min": F.element_at(values, 1), "max": F.element_at(values, -1),
         "median": (
             F.get(values, F.floor((n - 1) / 2).cast("int")) + F.get(values, F.floor(n / 2).cast("int"))
         ) / 2,
     })
-    squares = F.aggregate(values, F.lit(0.0), lambda s, e: s + (e - F.col("n_avg")) * (e - F.col("n_avg")))
+    mean = F.col("n_avg")
+    quick = F.col("_xx") / n - mean * mean
+    exact = F.aggregate(values, F.lit(0.0), lambda s, e: s + (e - mean) * (e - mean)) / n
+    # sums lose digits where the values hardly differ; only there the values are visited again
+    variance = F.when(quick > mean * mean * 1e-6, quick).otherwise(exact)
     spread = F.greatest(F.col("_wxx") - F.col("_wx") * F.col("_wx") / F.col("sum_w"), F.lit(0.0))
     per_year = full_weight(half) if use_weights else 9.0 * (2 * half + 1)
     return step.withColumns({
-        "n_std": F.sqrt(squares / n),
+        "n_std": F.sqrt(variance),
         "w_std": F.sqrt(F.try_divide(spread, (n - 1) / n * F.col("sum_w"))),
         "porc_w": F.lit(100.0) * F.col("sum_w") / (F.lit(per_year * n_years)),
         "diff_n_w": F.abs(F.col("n_avg") - F.col("w_avg")),
