@@ -71,6 +71,8 @@ def chl_oc4(r443: Column, r490: Column, r510: Column, r560: Column, chl: Column
     """A-01. Maximum-band-ratio chlorophyll, bidirectionally corrected if a first estimate is given.
 
     NULL unless 510 and 560 are valid; 443 and 490 only take part if they are.
+    `chl` should be a named column: it is referred to many times, so an inlined
+    first pass would be copied as often (`kd490_two_pass` stages both passes).
     """
     return _chl(_log_ratio(r443, r490, r510, r560, chl))
 

@@ -38,7 +38,7 @@ def flag_code(catalogue: Mapping[str, int], names: Sequence[str]) -> int:
 
 def unsigned_to_signed(col: Column) -> Column:
     """A decimal(20,0) holding a uint64 as the signed bigint with the same bits."""
-    big = F.lit(1 << 63).cast("decimal(20,0)")
+    big = F.lit("9223372036854775808").cast("decimal(20,0)")
     whole = F.lit("18446744073709551616").cast("decimal(20,0)")
     wide = col.cast("decimal(20,0)")
     return F.when(wide >= big, (wide - whole).cast("bigint")).otherwise(wide.try_cast("bigint"))
