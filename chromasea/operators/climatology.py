@@ -18,12 +18,12 @@ def climatology(daily: DataFrame, col: str, ny: int, nx: int, window: int = 11,
     `daily` holds at most one value per day and cell, as composites do. Without
     `years` the range is that of the data (a one-row look-up while planning).
 
-    One shuffle: the nine spatial copies are partitioned by cell alone, and both
-    aggregations (day and cell, then month-day and cell) keep that partitioning.
-    The days are multiplied by the window only after the nine neighbours have
-    been folded into one row, so 9 + `window` copies replace 9 x `window`. A cell
-    keeps at most 9 values per day, hence the value lists for the exact median
-    are bounded by 9 x window x years whatever the size of the archive.
+    One shuffle: the nine spatial copies are partitioned by cell alone, and the
+    aggregations that follow keep that partitioning. They fold the neighbours of
+    a day, then the years of a month-day, and only what is left is multiplied by
+    the window of days: 9 + `window` / years copies instead of 9 x `window`. A
+    cell keeps at most 9 values per day, hence the value lists for the exact
+    median are bounded by 9 x window x years whatever the size of the archive.
     """
     half = window // 2
     value = F.log10(F.when(F.col(col) > 0, F.col(col))) if log else F.col(col)
@@ -46,7 +46,7 @@ def climatology(daily: DataFrame, col: str, ny: int, nx: int, window: int = 11,
     if years is None:
         bounds = source.agg(F.min(F.year("obs_date")), F.max(F.year("obs_date"))).first()
         years = (bounds[0] or 0, bounds[1] or 0)
-    windowed = day_window(per_day, half).where(F.year("target_date").between(*years))
+    windowed = day_window(_fold_years(per_day, half, years), half).where(F.year("target_date").between(*years))
     t = temporal_weight(F.col("offset"), half) if use_weights else F.lit(1.0)
     sums = windowed.groupBy("y", "x", "mmdd").agg(
         F.sum(t * F.col("_w")).alias("sum_w"), F.sum(t * F.col("_wx")).alias("_wx"),
@@ -56,6 +56,28 @@ def climatology(daily: DataFrame, col: str, ny: int, nx: int, window: int = 11,
     return _statistics(sums, half, years[1] - years[0] + 1, use_weights)
 
 
+def _fold_years(per_day: DataFrame, half: int, years: tuple[int, int]) -> DataFrame:
+    """Fold the days of all years that reach the same month-days, under one representative date.
+
+    The month-days a day reaches depend on its own month-day alone, unless its
+    window holds 29 February (then leap years are kept apart) or leaves the range
+    of years (then the year is kept).
+    """
+    day, year = F.col("obs_date"), F.year("obs_date")
+    first, last = F.make_date(F.lit(years[0]), F.lit(1), F.lit(1)), F.make_date(F.lit(years[1]), F.lit(12), F.lit(31))
+    leap = F.dayofyear(F.make_date(year, F.lit(12), F.lit(31))) == 366
+    near_leap_day = F.dayofyear(day).between(60 - half, 60 + half)
+    at_edge = (F.date_sub(day, half) < first) | (F.date_add(day, half) > last)
+    return (
+        per_day.where(day.between(F.date_sub(first, half), F.date_add(last, half)))
+        .groupBy("y", "x", F.date_format(day, "MMdd").alias("_md"), (leap & near_leap_day).alias("_leap"),
+                 F.when(at_edge, year).otherwise(0).alias("_edge"))
+        .agg(F.min(day).alias("obs_date"), *[F.sum(c).alias(c) for c in ("_w", "_wx", "_wxx", "_x", "_xx")],
+             F.flatten(F.collect_list("_values")).alias("_values"))
+        .drop("_md", "_leap", "_edge")
+    )
+
+
 def _statistics(sums: DataFrame, half: int, n_years: int, use_weights: bool) -> DataFrame:
     values, n = F.col("_values"), F.col("nofobs")
     step = sums.withColumn("nofobs", F.size(values).cast("bigint"))
