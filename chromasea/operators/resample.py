@@ -31,21 +31,26 @@ def search_ring(target: Area, radius_m: float) -> int:
 
 
 def resample_nearest(swath: DataFrame, target: Area, radius_m: float, cols: Sequence[str],
-                     keys: Sequence[str] = ("granule_id",), order: Sequence[str] = ("row", "col")) -> DataFrame:
+                     keys: Sequence[str] = ("granule_id",), bits: tuple[int, int] = (16, 16)) -> DataFrame:
     """G-07. Each target cell takes the nearest swath pixel within the radius.
 
     A swath pixel offers itself to the cells of a ring around its own position,
     thinned by the distance in the map plane, and each cell keeps the smallest
-    (chord distance, `order`): a grouped minimum with partial aggregation instead
+    (chord distance, row, col): a grouped minimum with partial aggregation instead
     of a spatial join, so no index is shipped and no cell gathers its candidates.
     The radius itself is applied to the winner only, which is equivalent.
+
+    The order is packed into one bigint, so that the aggregation hashes fixed-size
+    values instead of sorting structs: `bits` for row and column (a swath beyond
+    them is an error), the rest for the distance, which leaves steps far below a
+    millimetre.
     """
     k, reach = search_ring(target, radius_m), map_radius(target, radius_m)
     offsets = F.sequence(F.lit(-k), F.lit(k))
     xm, ym = lonlat_to_xy(F.col("lon"), F.col("lat"), target)
     px, py, pz = unit_vector(F.col("lon"), F.col("lat"))
     located = swath.select(
-        *keys, *order, *cols, xm.alias("_xm"), ym.alias("_ym"), px.alias("_px"), py.alias("_py"), pz.alias("_pz")
+        *keys, "row", "col", *cols, xm.alias("_xm"), ym.alias("_ym"), px.alias("_px"), py.alias("_py"), pz.alias("_pz")
     )
     row = (F.lit(float(target.extent[3])) - F.col("_ym")) / F.lit(target.pixel_y) - 0.5
     col = (F.col("_xm") - F.lit(float(target.extent[0]))) / F.lit(target.pixel_x) - 0.5
@@ -65,9 +70,16 @@ def resample_nearest(swath: DataFrame, target: Area, radius_m: float, cols: Sequ
         f"_d{a}": F.col(f"_p{a}") - F.col(f"_k{a}") for a in "xyz"
     })
     chord = F.lit(EARTH_RADIUS) * F.sqrt(sum((F.col(f"_d{a}") * F.col(f"_d{a}") for a in "xyz"), F.lit(0.0)))
-    offered = gaps.select(*keys, "y", "x", F.struct(chord.alias("distance"), *order, *cols).alias("_b"))
-    best = offered.groupBy(*keys, "y", "x").agg(F.min("_b").alias("_b")).where(F.col("_b.distance") <= radius_m)
-    return best.select(*keys, "y", "x", "_b.distance", *[F.col(f"_b.{c}").alias(c) for c in cols])
+    levels = (1 << (63 - sum(bits))) - 1
+    step = F.least(F.floor(F.col("distance") * F.lit(levels / (2 * radius_m))), F.lit(levels))
+    fits = F.col("row").between(0, (1 << bits[0]) - 1) & F.col("col").between(0, (1 << bits[1]) - 1)
+    packed = (step * F.lit(1 << bits[0]) + F.col("row")) * F.lit(1 << bits[1]) + F.col("col")
+    rank = F.when(fits, packed).otherwise(F.raise_error(F.lit("row or column exceeds its bits")).cast("bigint"))
+    offered = gaps.withColumn("distance", chord).withColumn("_rank", rank)
+    best = offered.groupBy(*keys, "y", "x").agg(
+        F.min_by("distance", "_rank").alias("distance"), *[F.min_by(c, "_rank").alias(c) for c in cols]
+    )
+    return best.where(F.col("distance") <= radius_m).select(*keys, "y", "x", "distance", *cols)
 
 
 def box_cells(boxes: DataFrame, keys: Sequence[str] = ("granule_id",)) -> DataFrame:
@@ -79,12 +91,12 @@ def box_cells(boxes: DataFrame, keys: Sequence[str] = ("granule_id",)) -> DataFr
 
 
 def resample_mask(swath: DataFrame, boxes: DataFrame, target: Area, radius_m: float, mask: str = "mask_default",
-                  keys: Sequence[str] = ("granule_id",), order: Sequence[str] = ("row", "col")) -> DataFrame:
+                  keys: Sequence[str] = ("granule_id",), bits: tuple[int, int] = (16, 16)) -> DataFrame:
     """G-08. Three-state mask over the granule's box: no neighbour NULL, masked 0, clean 1.
 
     Granules of which nothing lands in the grid are dropped.
     """
-    hits = resample_nearest(swath, target, radius_m, [mask], keys, order)
+    hits = resample_nearest(swath, target, radius_m, [mask], keys, bits)
     state = hits.select(*keys, "y", "x", F.when(F.col(mask) == 0, 1).otherwise(0).alias("mask"))
     landed = state.select(*keys).distinct()
     cells = box_cells(boxes, keys).join(landed, list(keys), "left_semi")

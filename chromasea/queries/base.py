@@ -70,7 +70,8 @@ VIEWS: dict[str, str] = {
           60e0 + (y_min + n_valid % 83) * 0.025e0 as site_lat
         from granules""",
     "swath_pts": """
-        select o_orderkey as pt, cast(o_custkey % 8 as bigint) as granule_id,
+        select o_orderkey as pt, o_orderkey DIV 512 as row, o_orderkey % 512 as col,
+          cast(o_custkey % 8 as bigint) as granule_id,
           65e0 + ((o_orderkey * 7919) % 25000) / 1000e0 as lat,
           -180e0 + ((o_orderkey * 104729) % 360000) / 1000e0 as lon,
           o_totalprice as v, case when o_orderstatus = 'F' then 1 else 0 end as mask_default

@@ -15,6 +15,7 @@ from chromasea.queries.base import query, table, view
 # Toy target area: the extent of the 300 m grid in 40 x 40 cells.
 TOY = proj.Area("polarn", 40, 40, (-2751778, 2751778, 2751778, -2751778))
 RADIUS = 60_000.0
+BITS = (24, 9)  # the fixture folds its running number into rows of 512
 
 # --- the projection written out in SQL, for the counterparts only ---
 _E2 = 0.00669437999014
@@ -181,7 +182,7 @@ _NEAREST = f"""
 @query("g07_resample_nearest", f"select granule_id, y, x, distance, pt, v from ({_NEAREST}) as q0", {"distance": 3})
 def _(spark, sf):
     s = view(spark, sf, "swath_pts")
-    return resample.resample_nearest(s.withColumn("seq", F.col("pt")), TOY, RADIUS, ["pt", "v"], order=["seq"])
+    return resample.resample_nearest(s, TOY, RADIUS, ["pt", "v"], bits=BITS)
 
 
 _SWATH_BOX = f"""
@@ -202,7 +203,7 @@ _MASKED = f"""
 
 def _mask(spark, sf):
     s = view(spark, sf, "swath_pts")
-    return resample.resample_mask(s, grid.granule_box(s, TOY), TOY, RADIUS, order=["pt"])
+    return resample.resample_mask(s, grid.granule_box(s, TOY), TOY, RADIUS, bits=BITS)
 
 
 @query("g08_resample_mask", _MASKED)

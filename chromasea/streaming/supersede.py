@@ -14,17 +14,20 @@ from chromasea.sources.catalogue import best_timeliness
 class SupersedeTable:
     """A daily product in which the best timeliness per (date, cell) is kept.
 
-    The table is a folder of versions; a small pointer table names the version
-    of each date. A micro-batch merges only the dates it holds: it reads their
+    The table is a folder of version=/date= partitions; of every date the latest
+    version counts. A micro-batch merges only the dates it holds: it reads their
     current version, keeps the best row per key and writes a version under the
     batch number. A repeated batch writes the same rows to the same place, so
     the merge is idempotent, and readers see a date either before or after it.
+
+    Both columns of the look-up are partition columns: finding the latest
+    versions lists folders, and the join with them prunes files of older ones.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, keys: Sequence[str] = ("obs_date", "y", "x"),
-                 day: str = "obs_date", tie: Sequence[str] = ()) -> None:
+                 day: str = "obs_date", tie: Sequence[str] = (), files_per_day: int = 1) -> None:
         self.spark, self.keys, self.day, self.tie = spark, list(keys), day, list(tie)
-        self.path = path or scratch_path(spark, "supersede")
+        self.path, self.files_per_day = path or scratch_path(spark, "supersede"), files_per_day
 
     def _rows(self, before: int | None = None) -> DataFrame | None:
         """Current rows: of every date those of its latest version."""
@@ -36,7 +39,7 @@ class SupersedeTable:
             raise
         if before is not None:
             every = every.where(F.col("version") < before)
-        latest = every.groupBy(self.day).agg(F.max("version").alias("version"))
+        latest = every.select(self.day, "version").groupBy(self.day).agg(F.max("version").alias("version"))
         return every.join(latest, [self.day, "version"], "left_semi")
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
@@ -47,7 +50,9 @@ class SupersedeTable:
             touched = batch.select(self.day).distinct()
             rows = current.drop("version").join(touched, self.day, "left_semi").unionByName(batch)
         best = best_timeliness(rows, self.keys, tie=self.tie).withColumn("version", F.lit(batch_id))
-        best.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(self.path)
+        salt = F.pmod(F.xxhash64(*self.keys), F.lit(self.files_per_day))
+        best.repartition(self.day, salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("version", self.day).parquet(self.path)
 
     def read(self) -> DataFrame:
         rows = self._rows()
