@@ -16,31 +16,38 @@ GROUP_CAP = 10
 
 
 class _OpenGroups:
-    """Extents of the groups of one day that can still grow."""
+    """Extents of the groups of one day that can still grow, oldest first."""
 
     def __init__(self) -> None:
-        self.ids = np.empty(0, dtype=np.int64)
-        self.box = np.empty((0, 4), dtype=np.int64)
-        self.size = np.empty(0, dtype=np.int64)
-        self.last = 0
+        self.box = np.empty((64, 4), dtype=np.int64)
+        self.ids, self.size = np.empty(64, dtype=np.int64), np.empty(64, dtype=np.int64)
+        self.open = self.last = 0
+
+    def _open_group(self, box: tuple[int, int, int, int], cap: int) -> int:
+        if self.open == len(self.ids):
+            self.box = np.concatenate([self.box, np.empty_like(self.box)])
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+            self.size = np.concatenate([self.size, np.empty_like(self.size)])
+        self.last += 1
+        if cap > 1:
+            self.box[self.open], self.ids[self.open], self.size[self.open] = box, self.last, 1
+            self.open += 1
+        return self.last
 
     def place(self, y0: int, y1: int, x0: int, x1: int, cap: int) -> int:
-        b = self.box
+        b = self.box[:self.open]
         hits = np.flatnonzero((b[:, 0] <= y1) & (b[:, 1] >= y0) & (b[:, 2] <= x1) & (b[:, 3] >= x0))
         if not hits.size:
-            self.last += 1
-            self.ids = np.append(self.ids, self.last)
-            self.box = np.vstack([b, [[y0, y1, x0, x1]]])
-            self.size = np.append(self.size, 1)
-            return self.last
-        at = hits[0]
+            return self._open_group((y0, y1, x0, x1), cap)
+        at, n = hits[0], self.open
         group = int(self.ids[at])
         self.size[at] += 1
-        if self.size[at] == cap:
-            self.ids, self.size = np.delete(self.ids, at), np.delete(self.size, at)
-            self.box = np.delete(b, at, axis=0)
-        else:
+        if self.size[at] < cap:
             b[at] = (min(b[at, 0], y0), max(b[at, 1], y1), min(b[at, 2], x0), max(b[at, 3], x1))
+        else:
+            for values in (self.box, self.ids, self.size):
+                values[at:n - 1] = values[at + 1:n]
+            self.open -= 1
         return group
 
 

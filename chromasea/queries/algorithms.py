@@ -9,7 +9,9 @@ from chromasea.operators import coefficients, gpr
 from chromasea.operators.climatology import climatology
 from chromasea.plans.archive import archive_quality
 from chromasea.plans.daily import add_band_ratio_products, daily_reflectance, mask_pixels, monthly_chlorophyll
+from chromasea.plans.multi import multi_products
 from chromasea.plans.plankton import plankton_chain
+from chromasea.queries import geography
 from chromasea.queries.aggregates import LIMITS
 from chromasea.queries.base import query, table, view
 from chromasea.queries.expressions import BANDS5, FLAGS, MASKING
@@ -333,6 +335,27 @@ def _(spark, sf):
     return add_band_ratio_products(daily_reflectance(masked, LIMITS, BANDS5)).select("obs_date", "y", "x", "chl", "kd490")
 
 
+_BANDS_FROM_V = {"rrs443": "v / 6e7 + 0.001e0", "rrs490": "v / 5e7 + 0.0015e0", "rrs510": "v / 7e7 + 0.001e0",
+                 "rrs560": "v / 9e7 + 0.0008e0"}
+_MULTI = f"""
+    (select granule_id, y, x, {', '.join(f'case when cell_lat >= 65 then {e} end as {b}' for b, e in _BANDS_FROM_V.items())}
+      from (select n.*, {geography.sql_lonlat('n.y', 'n.x', geography.TOY)[1]} as cell_lat
+        from ({geography.NEAREST}) as n) as m)
+"""
+
+
+@query("plan_multi_products", f"""
+    select granule_id, y, x, case when chl_second between 0.003 and 100 then chl_second end as chl,
+      case when kd490 between 0 and 100 then kd490 end as kd490
+    from ({_RATIO.replace('_SOURCE_', _MULTI + ' as src')}) as r
+""", 7, ("chl", "kd490"))
+def _(spark, sf):
+    s = view(spark, sf, "swath_pts").selectExpr(
+        "granule_id", "row", "col", "lat", "lon", *[f"{e} as {b}" for b, e in _BANDS_FROM_V.items()])
+    out = multi_products(s, geography.TOY, ["granule_id"], geography.RADIUS, geography.BITS)
+    return out.select("granule_id", "y", "x", "chl", "kd490")
+
+
 _DAY = "(case when strftime(d.obs_date, '%m%d') = '0229' then '0228' else strftime(d.obs_date, '%m%d') end)"
 _AVG = "(select obs_date, y, x, avg(rrs443) as rrs443, avg(rrs490) as rrs490, avg(rrs510) as rrs510, " \
        "avg(rrs560) as rrs560, dayofyear(obs_date) as doy from obs group by obs_date, y, x)"

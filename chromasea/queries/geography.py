@@ -167,7 +167,7 @@ def _(spark, sf):
     return limits.select("granule_id", "lat_min", "lat_max", "lon_min", "lon_max")
 
 
-_NEAREST = f"""
+NEAREST = f"""
     select granule_id, y, x, distance, pt, v, mask_default from (
       select s.granule_id, c.y, c.x, s.pt, s.v, s.mask_default,
         {sql_chord('s.lon', 's.lat', 'c.lon', 'c.lat')} as distance,
@@ -179,7 +179,7 @@ _NEAREST = f"""
 """
 
 
-@query("g07_resample_nearest", f"select granule_id, y, x, distance, pt, v from ({_NEAREST}) as q0", {"distance": 3})
+@query("g07_resample_nearest", f"select granule_id, y, x, distance, pt, v from ({NEAREST}) as q0", {"distance": 3})
 def _(spark, sf):
     s = view(spark, sf, "swath_pts")
     return resample.resample_nearest(s, TOY, RADIUS, ["pt", "v"], bits=BITS)
@@ -196,8 +196,8 @@ _MASKED = f"""
     select b.granule_id, c.y, c.x, case when n.pt is null then null when n.mask_default = 0 then 1 else 0 end as mask
     from ({_SWATH_BOX}) as b
     join ({_CELLS}) as c on c.y >= b.y_min and c.y < b.y_max and c.x >= b.x_min and c.x < b.x_max
-    left join ({_NEAREST}) as n on n.granule_id = b.granule_id and n.y = c.y and n.x = c.x
-    where b.granule_id in (select granule_id from ({_NEAREST}) as k)
+    left join ({NEAREST}) as n on n.granule_id = b.granule_id and n.y = c.y and n.x = c.x
+    where b.granule_id in (select granule_id from ({NEAREST}) as k)
 """
 
 

@@ -287,7 +287,30 @@ def _(spark, sf):
     return overlap.order_spectra(s.select("granules", "granule_id", "platform", "oza"))
 
 
-@query("o03_group_granules")
+_MEETS = "e.y0 <= s.y_max and e.y1 >= s.y_min and e.x0 <= s.x_max and e.x1 >= s.x_min"
+_FRESH = """{'i': cast(len(gs) + 1 as bigint), 'n': cast(1 as bigint), 'y0': y_min, 'y1': y_max, 'x0': x_min, 'x1': x_max}"""
+_GROWN = """{'i': e.i, 'n': e.n + 1, 'y0': least(e.y0, y_min), 'y1': greatest(e.y1, y_max),
+    'x0': least(e.x0, x_min), 'x1': greatest(e.x1, x_max)}"""
+_GROUPS = f"""
+    with recursive g as (
+      select obs_date, y_min, y_max, x_min, x_max,
+        row_number() over (partition by obs_date order by granule_id) as pos
+      from granules where n_valid > 50),
+    r as (
+      select distinct obs_date, cast(0 as bigint) as pos,
+        cast([] as struct(i bigint, n bigint, y0 integer, y1 integer, x0 integer, x1 integer)[]) as gs from g
+      union all
+      select obs_date, pos, case when k is null then list_append(gs, {_FRESH})
+        else list_transform(gs, lambda e: case when e.i = k then {_GROWN} else e end) end as gs
+      from (select s.*, list_min(list_transform(list_filter(gs, lambda e: e.n < 10 and {_MEETS}), lambda e: e.i)) as k
+        from (select r.gs, g.* from r join g on g.obs_date = r.obs_date and g.pos = r.pos + 1) as s) as t)
+    select obs_date, e.i as group_id, e.n as n, e.y0 as y_min, e.y1 as y_max, e.x0 as x_min, e.x1 as x_max
+    from (select r.obs_date, unnest(r.gs) as e
+      from r join (select obs_date, max(pos) as pos from g group by 1) as l on l.obs_date = r.obs_date and l.pos = r.pos) as u
+"""
+
+
+@query("o03_group_granules", _GROUPS)
 def _(spark, sf):
     g = view(spark, sf, "granules").withColumn("granule_index", F.col("granule_id"))
     grouped = grouping.group_granules(

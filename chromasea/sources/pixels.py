@@ -30,9 +30,12 @@ def read_pixels(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 
 def write_pixels(df: DataFrame, path: str, ystep: int, xstep: int, mode: str = "errorifexists") -> None:
-    """Pixel table laid out for S-04: files hold whole tiles, so that box reads skip most row groups."""
+    """Pixel table laid out for S-04: files hold neighbouring cells, so that box reads skip most row groups.
+
+    Ranges run over (tile, y, x): a tile with many rows is cut between its cells.
+    """
     tiles = [F.floor(F.col("y") / ystep), F.floor(F.col("x") / xstep)]
-    df.repartitionByRange(*tiles).sortWithinPartitions(*tiles, "y", "x").write.mode(mode).parquet(path)
+    df.repartitionByRange(*tiles, "y", "x").sortWithinPartitions(*tiles, "y", "x").write.mode(mode).parquet(path)
 
 
 def read_coefficients(spark: SparkSession, path: str) -> DataFrame:
