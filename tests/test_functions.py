@@ -194,3 +194,15 @@ def test_interpolation(spark):
     row = one(spark, *[numeric.interp_linear(F.lit(v), xs, ys) for v in (-0.1, 0.0, 0.5, 1.0, 2.0, 3.0, 3.1)])
     assert [row[0], *row[1:6], row[6]] == [None, 0.0, 5.0, 10.0, 5.0, 0.0, None]
     assert one(spark, numeric.poly(F.lit(2.0), (1.0, 2.0, 3.0))).c0 == 17.0
+
+
+def test_flags_of_other_widths(spark):
+    df = spark.sql("select cast(f as smallint) as f from values (1025), (6), (-32768) as t(f)")
+    got = df.select(flags.general_mask(F.col("f")).alias("g"), (flags.flag_mask(F.col("f"), 6) != 0).alias("m")).collect()
+    assert [(r.g, r.m) for r in got] == [(1, False), (6, True), (0, False)]
+
+
+def test_pi_repair_changes_collection_3_only(spark):
+    df = spark.createDataFrame([(0.02, 3), (0.02, 4), (None, 3)], "rho double, c int")
+    a, b, c = (r[0] for r in df.select(reflectance.to_rrs(F.col("rho"), F.col("c"))).collect())
+    assert a / 0.02 == pytest.approx(1 / math.pi) and b == 0.02 and c is None

@@ -283,3 +283,21 @@ def test_tie_points_reproduce_a_plane(spark):
     pix = spark.createDataFrame([(1, r, c) for r in range(16) for c in range(40)], "granule_id int, row int, col int")
     for r in resample.interpolate_tie(pix, tie, 4, 8, ["oza"], (4, 5)).collect():
         assert r.oza == pytest.approx(3 * (r.row + 0.5) / 4 + 2 * (r.col + 0.5) / 8)
+
+
+def test_composites_combine_before_the_shuffle(spark):
+    text = composite.daily_composite(pixels(spark, []), LIMITS, with_mask=True)._jdf.queryExecution().executedPlan().toString()
+    below = text.split("Exchange hashpartitioning")[1]
+    assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in below and "SortAggregate" not in text
+
+
+def test_a_swath_beyond_its_bits_is_an_error(spark):
+    df = spark.createDataFrame([(1, 1 << 16, 0, 89.0, 0.0, 1.0)], "granule_id int, row int, col int, lat double, lon double, v double")
+    with pytest.raises(Exception, match="exceeds its bits"):
+        resample.resample_nearest(df, TOY, 120_000.0, ["v"]).collect()
+    assert resample.resample_nearest(df, TOY, 120_000.0, ["v"], bits=(20, 12)).count() > 0
+
+
+def test_groups_of_one(spark):
+    df = boxes(spark, [(0, 9, 0, 9)] * 3).withColumn("granule_index", F.col("granule_id"))
+    assert sorted(r.group_id for r in grouping.group_granules(df, cap=1).collect()) == [1, 2, 3]
