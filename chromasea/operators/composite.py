@@ -34,17 +34,14 @@ def _weighted(col: str, weight: Column, keep: Column, alias: str) -> list[Column
     ]
 
 
-def _mask_aggregates(mask: Column, counted: Column) -> list[Column]:
-    used = counted & (mask > 0)
-    bit = reduce(
-        lambda chain, item: chain.when(F.col("platform") == item[0], F.lit(item[1])),
-        list(PLATFORM_BITS.items())[1:],
-        F.when(F.col("platform") == "S3A", F.lit(PLATFORM_BITS["S3A"])),
-    )
+def _mask_aggregates(mask: Column) -> list[Column]:
+    bit = F.lit(None).cast("int")
+    for platform, value in PLATFORM_BITS.items():
+        bit = F.when(F.col("platform") == platform, F.lit(value)).otherwise(bit)
     return [
         F.count_if(mask >= 0).alias("n_granules"),
-        F.coalesce(F.sum(F.when(used, mask)), F.lit(0)).cast("bigint").alias("sum_weights"),
-        F.coalesce(F.bit_or(F.when(used, bit)), F.lit(0)).alias("sensormask"),
+        F.coalesce(F.sum(F.when(mask > 0, mask)), F.lit(0)).cast("bigint").alias("sum_weights"),
+        F.coalesce(F.bit_or(F.when(mask > 0, bit)), F.lit(0)).alias("sensormask"),
     ]
 
 
@@ -59,7 +56,7 @@ def daily_composite(pixels: DataFrame, bands: Limits, mask: str = "mask", keys:
     w = F.col(mask)
     aggs = [a for b, lim in bands.items() for a in _weighted(b, w, (w > 0) & _in_range(b, lim), b)]
     if with_mask:
-        aggs += _mask_aggregates(w, F.lit(True))
+        aggs += _mask_aggregates(w)
     sums = pixels.groupBy(*keys).agg(*aggs)
     means = sums.withColumns({b: F.try_divide(F.col(f"_s_{b}"), F.col(f"_w_{b}")) for b in bands})
     extra = ["n_granules", "sum_weights", "sensormask"] if with_mask else []
@@ -68,7 +65,7 @@ def daily_composite(pixels: DataFrame, bands: Limits, mask: str = "mask", keys:
 
 def daily_mask(pixels: DataFrame, mask: str = "mask", keys: Sequence[str] = DAY_CELL) -> DataFrame:
     """R-04. Granule count, sum of weights and platform bits per cell."""
-    return pixels.groupBy(*keys).agg(*_mask_aggregates(F.col(mask), F.lit(True)))
+    return pixels.groupBy(*keys).agg(*_mask_aggregates(F.col(mask)))
 
 
 def enforce_central_bands(daily: DataFrame, central: Sequence[str]) -> DataFrame:
@@ -97,7 +94,7 @@ def daily_composite_joint(pixels: DataFrame, bands: Limits, central: Sequence[st
     for b, lim in bands.items():
         keep = (w > 0) if b in central else (w > 0) & _in_range(b, lim)
         aggs += _weighted(b, w, keep, b)
-    sums = src.groupBy(*keys).agg(*aggs, *_mask_aggregates(w, F.lit(True)))
+    sums = src.groupBy(*keys).agg(*aggs, *_mask_aggregates(w))
 
     def divisor(band: str) -> Column:
         own = F.col(f"_w_{band}")

@@ -109,8 +109,8 @@ def _(spark, sf):
         "vec_id", kernels.ard_rq_kernel(F.col("u"), F.col("v"), SIGMA_F, SCALES, ALPHA_RQ).alias("k"))
 
 
-# A regression model fitted on nothing, but shaped like a real one: mean feature
-# vectors per line number and return flag (21 vectors at any scale).
+# A regression model shaped like a real one: the mean feature vectors of seven
+# classes of granules on two platforms (14 vectors at any scale).
 _LON = "(x * 18e0 - 175e0)"
 _FEATURES = {
     "doy": (("doy", None), ("rrs443", 1e-8), ("rrs490", 1e-8), ("rrs510", 1e-8), ("rrs560", 1e-8)),
