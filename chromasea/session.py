@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,11 @@ def build_session(app: str = "chromasea", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="chromasea-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint directory of the session.
 
@@ -52,8 +58,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="chromasea-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_scratch()
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 

@@ -164,3 +164,18 @@ def test_model_sizes_must_agree():
 def test_coefficient_file(spark, tmp_path):
     (tmp_path / "c.txt").write_text("400.0\t0.1\t0.2\n402.5 0.3\n\n")
     assert [tuple(r) for r in pixels.read_coefficients(spark, str(tmp_path / "c.txt")).collect()] == [(400.0, 0.1, 0.2), (402.5, 0.3, None)]
+
+
+def test_scratch_needs_shared_storage_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from chromasea.session import scratch_path
+
+    def session(master, folder=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder),
+                               sparkContext=SimpleNamespace(master=master))
+
+    assert scratch_path(session("spark://x", "/shared"), "a").startswith("/shared/a-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session("spark://x"), "a")
+    assert "chromasea-" in scratch_path(session("local[2]"), "a")
