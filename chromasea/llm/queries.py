@@ -59,3 +59,89 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chromasea.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query("op4_rule_ledger", """
+    WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+    g AS (SELECT doc_id, i, words[i] || chr(10) || words[i + 1] || chr(10) || words[i + 2] AS gram FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+    r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) >= 2),
+    c AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM r) GROUP BY doc_id),
+    l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+          FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+    m AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+                 length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_lines, 0) AS n_lines,
+                 coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+          FROM w LEFT JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)),
+    f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT (base_failed OR 10 * word_chars < 25 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines) AS kept
+    FROM f""")
+def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule ledger of all documents under the current policy."""
+    from chromasea.llm.rules import POLICIES, fails, ledger, measure
+
+    rows = ledger(measure(table(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        fails(POLICIES["base"]).alias("base_failed"), (~fails(POLICIES["v1"])).alias("kept"),
+    )
+
+
+@query("op7_sentence_spans")
+def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that loses sentences to a repeated passage: how many, and a digest of what stays."""
+    from chromasea.llm.spans import remove_repeated
+
+    cleaned = remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
+    return cleaned.where("n_removed > 0").select("doc_id", "n_sentences", "n_removed", F.sha1(F.col("text").cast("binary")).alias("text_sha1"))
+
+
+@query("op8_ngram_jaccard_join")
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The size of every document's shingle set, and the component of similar ones it is in."""
+    from chromasea.llm.partenum import similar_components
+
+    return similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op5_benchmark_containment", """
+    WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents WHERE text IS NOT NULL),
+    b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark),
+    bi AS (SELECT item_id, w, least(len(w), 5) AS k FROM b WHERE len(w) > 0),
+    bs AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT item_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM bi)),
+    bn AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id),
+    ks AS (SELECT DISTINCT k FROM bs),
+    ds AS (SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM d, ks WHERE len(w) >= k)),
+    m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (k, s) GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM m JOIN bn USING (item_id) WHERE 10 * n_shared >= 8 * n_item""")
+def op5_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item."""
+    from chromasea.llm.containment import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_language_mixture")
+def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main language of every document's mixture."""
+    from chromasea.llm.mixture import predict
+
+    return predict(table(spark, sf_dir, "documents"))
+
+
+@query("op6_rule_ensemble")
+def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    from chromasea.llm.rulefit import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_attention_lm")
+def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log probability of every document under the word model and the attention model."""
+    import public_tokenizers
+
+    from chromasea.llm.lmscore import score
+
+    return score(table(spark, sf_dir, "documents"), (tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
