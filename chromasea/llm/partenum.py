@@ -15,10 +15,14 @@ pair is found as soon as one of its sets is covered, or both have arrived at the
 N depends on a band of sizes, an octave of the smaller set's size. A set gives signatures for
 its own octave, and for the next lower one if a partner can be there.
 
-Candidates are the sets of one signature. They are not compared pairwise: each set is compared
-with the set that is smallest in most of its signatures, links are contracted to components, and only
-signatures that still hold several components go on. Of those, sets that can't have a partner by the
-number of their shingles that occur elsewhere go; the pairs left are compared one by one.
+Candidates are the sets of one signature. Each set is first compared with the set that is smallest in
+most of its signatures, and links are contracted to components. Only signatures that still hold
+several components go on: their sets are dealt into blocks, and pairs of blocks are compared inside a
+task, so that a group of any size is spread over many tasks and no list of pairs is made.
+
+Sets are compared by sketches first, a byte for the content of each subpart. Every difference between
+two sets changes one subpart, so sets with more than k different bytes can't be similar. What is
+left, mostly links, is compared shingle by shingle.
 """
 
 from __future__ import annotations
@@ -36,7 +40,8 @@ from chromasea.llm.shared import broadcast_rows, materialise
 
 WIDTH = 5
 SEEDS = 2
-STAR_ROUNDS = 3
+BLOCK = 256  # sets of one block of a group that is compared
+OCTAVE_BITS = 6  # the lowest bits of a signature say its octave
 LEAST_SIZE = 4  # smaller sets are similar only if equal
 BROADCAST_IDS = 2_000_000
 
@@ -91,27 +96,38 @@ def instances(n: int) -> list[tuple[int, int]]:
     return out
 
 
+def _deal(elements: np.ndarray, octave: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the contents of the subparts (N x 3), and which of them have elements."""
+    n, tag = parts_of(octave), np.array([octave * 64 + seed + 1], np.uint64)
+    place = (_mix(elements + _C * tag) % np.uint64(3 * n)).astype(np.int64)
+    order = np.argsort(place)
+    edges = np.searchsorted(place[order], np.arange(3 * n + 1))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(elements[order]))])
+    return (total[edges[1:]] - total[edges[:-1]]).reshape(n, 3), np.diff(edges).reshape(n, 3) > 0
+
+
+def sketch(elements: np.ndarray, octave: int) -> bytes:
+    """A byte for each subpart of an octave's first deal: 0 if it is empty, else 1 to 255 by its content."""
+    content, filled = _deal(elements, octave, 0)
+    return np.where(filled, _mix(content) % np.uint64(255) + np.uint64(1), np.uint64(0)).astype(np.uint8).tobytes()
+
+
 def signatures(elements: np.ndarray) -> np.ndarray:
     """All signatures of a set of hashes."""
     out = []
+    low = np.uint64(2**OCTAVE_BITS - 1)
     for octave, most in instances(len(elements)):
         n = parts_of(octave)
         for seed in range(SEEDS):
-            tag = np.array([octave * 64 + seed + 1], np.uint64)
-            place = (_mix(elements + _C * tag) % np.uint64(3 * n)).astype(np.int64)
-            order = np.argsort(place)
-            edges = np.searchsorted(place[order], np.arange(3 * n + 1))
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(elements[order]))])
-            content = (total[edges[1:]] - total[edges[:-1]]).reshape(n, 3)
-            filled = np.diff(edges).reshape(n, 3) > 0
-            number = _mix(np.arange(n, dtype=np.uint64) * _A + tag)
+            content, filled = _deal(elements, octave, seed)
+            number = _mix(np.arange(n, dtype=np.uint64) * _A + np.array([octave * 64 + seed + 1], np.uint64))
             for i, j in ((0, 1), (0, 2), (1, 2)):
                 value = _mix(_mix(content[:, i] * _C + number) + content[:, j] * _B + np.uint64(4 * i + j))
-                out.append(value[filled[:, i] | filled[:, j]])
+                out.append(value[filled[:, i] | filled[:, j]] & ~low | np.uint64(octave))
             if n - most // 2 > int((filled.sum(1) < 2).sum()):
                 break
         else:
-            out.append(_mix(elements * _A + np.uint64(octave * 64 + SEEDS)))
+            out.append(_mix(elements * _A + np.uint64(octave * 64 + SEEDS)) & ~low | np.uint64(octave))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -200,20 +216,59 @@ def shared_signatures(sigs: DataFrame) -> DataFrame:
     return sigs.repartition("sig").sortWithinPartitions("sig", "doc_id").mapInArrow(run, "sig long, doc_id long")
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of the documents that are nodes."""
-    chosen = _usable(docs).join(broadcast_rows(nodes.select(F.col("node").alias("doc_id")), BROADCAST_IDS), "doc_id", "left_semi")
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents that are nodes; an id has all its different texts."""
+    chosen = broadcast_rows(nodes.select(F.col("node").alias("doc_id")).distinct(), BROADCAST_IDS)
+    texts = _usable(docs).join(chosen, "doc_id", "left_semi").withColumn("_hash", F.xxhash64("text"))
+    return texts.dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+
+
+def sketches_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, octave, n, sketch) for each octave that a node takes part in."""
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(t.as_py()).view(np.int64) for t in batch.column("text")]
-            yield pa.RecordBatch.from_pydict({"node": batch.column("doc_id"), "shingles": pa.array(sets, pa.list_(pa.int64()))})
+            rows = []
+            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                s = shingles(text.as_py())
+                rows += [(key, octave, len(s), sketch(s, octave)) for octave, _ in instances(len(s))]
+            columns = list(zip(*rows)) or [()] * 4
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_pydict({n: pa.array(c, k) for n, c, k in zip(("node", "octave", "n", "sketch"), columns, kinds)})
+
+    return _texts_of(docs, nodes).mapInArrow(run, "node long, octave int, n long, sketch binary")
 
-    return chosen.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
 
+def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches allow for enough shared shingles."""
+    a = sketches.select(F.col("node").alias("a"), "octave", F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    b = sketches.select(F.col("node").alias("b"), "octave", F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    sizes = (4 * F.greatest("n_a", "n_b") <= 5 * F.least("n_a", "n_b")) & (F.col("octave") == F.floor(F.log2(F.least("n_a", "n_b").cast("double"))))
+    both = pairs.join(a, "a").join(b, ["b", "octave"]).where(sizes).select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of which 100 * intersection >= 80 * union."""
+    def run(batches):
+        for batch in batches:
+            most = (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()) // 9
+            apart = [
+                int((np.frombuffer(x, np.uint8) != np.frombuffer(y, np.uint8)).sum())
+                for x, y in zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist())
+            ]
+            kept = batch.filter(pa.array(np.array(apart, np.int64) <= most))
+            yield pa.RecordBatch.from_pydict({"a": kept.column("a"), "b": kept.column("b")})
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of which 100 * intersection >= 80 * union. `pairs` is read twice, so pass a written table."""
+
+    def collect(batches):
+        for batch in batches:
+            sets = [shingles(t.as_py()).view(np.int64) for t in batch.column("text")]
+            yield pa.RecordBatch.from_pydict({"node": batch.column("doc_id"), "shingles": pa.array(sets, pa.list_(pa.int64()))})
+
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    sets = materialise(_texts_of(docs, nodes).mapInArrow(collect, "node long, shingles array<long>"), "sets")
     with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     both = with_a.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
 
@@ -231,23 +286,73 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (sig, node) with their component so far, where the signature holds several components."""
+    """Members (sig, node) with their component so far, where the signature holds several; `size` is their number."""
     named = members.join(components(links), "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component"))
-    spread = named.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sig", "low")
+    spread = named.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high").drop("high")
     return named.join(spread, "sig")
 
 
-def _can_link(open_members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, n, shared): nodes that have enough shingles in common with the others to link with any of them.
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Number of different bytes of each row of x and each of y."""
+    return np.stack([(y != row).sum(1) for row in x]) if len(x) else np.zeros((0, len(y)), np.int64)
 
-    A partner of set r has at least 0.8 of r's elements, and with it at least 4/9 of both sizes.
+
+def block_pairs(rows: DataFrame, sketches: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Distinct pairs (a, b) of one signature, of different components, whose sizes and sketches allow for a link.
+
+    rows: sig, node, component, size (of the signature's group). A group of n sets has n / block blocks
+    by a hash of the node; a set goes to each pair of blocks that its own is in, so that a task
+    compares two blocks at a time and holds no more than their sketches.
     """
-    nodes = open_members.select("node").distinct()
-    held = sets.join(nodes, "node", "left_semi")
-    each = held.select("node", F.explode("shingles").alias("s"))
-    common = each.groupBy("s").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("s")
-    shared = each.join(common, "s").groupBy("node").agg(F.count("*").alias("shared"))
-    return held.select("node", F.size("shingles").cast("long").alias("n")).join(shared, "node").where("10 * shared >= 8 * n")
+    octave = F.col("sig").bitwiseAND(F.lit(2**OCTAVE_BITS - 1)).cast("int")
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    known = rows.withColumn("octave", octave).join(sketches, ["node", "octave"])
+    dealt = known.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    keyed = dealt.select("sig", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "node", "component", "n", "sketch")
+
+    def compare(sig, i, j, own, node, component, n, sketch):
+        table = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(node), -1)
+        left = np.flatnonzero(own == i)
+        right = left if i == j else np.flatnonzero(own == j)
+        near = _apart(table[left], table[right]) <= (n[left][:, None] + n[right][None, :]) // 9
+        # the smaller set's own octave is the one whose sketches are fine enough
+        near &= np.minimum.outer(n[left], n[right]) < 2 ** ((sig & (2**OCTAVE_BITS - 1)) + 1)
+        near &= (component[left][:, None] != component[right][None, :]) & (4 * np.maximum.outer(n[left], n[right]) <= 5 * np.minimum.outer(n[left], n[right]))
+        if i == j:
+            near &= np.triu(np.ones(near.shape, bool), 1)
+        x, y = np.nonzero(near)
+        a, b = node[left[x]], node[right[y]]
+        return np.minimum(a, b), np.maximum(a, b)
+
+    def run(batches):
+        held = None
+        for batch in _and_end(batches):
+            parts = [b for b in (held, batch) if b is not None and b.num_rows]
+            if not parts:
+                continue
+            table = pa.Table.from_batches(parts).combine_chunks()
+            key = np.stack([table.column(c).to_numpy() for c in ("sig", "i", "j")], 1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+            whole = len(cuts) - 1 - (batch is not None)  # the last group may go on
+            own, node, component, n = (table.column(c).to_numpy() for c in ("_own", "node", "component", "n"))
+            sketch, found = table.column("sketch").to_pylist() if whole else [], []
+            for start, end in zip(cuts[:whole], cuts[1 : whole + 1]):
+                if end - start > 1:
+                    some = slice(start, end)
+                    found.append(compare(int(key[start, 0]), key[start, 1], key[start, 2], own[some], node[some], component[some], n[some], sketch[some]))
+            held = table.slice(cuts[whole]).combine_chunks().to_batches()[0] if batch is not None else None
+            if found:
+                a, b = (np.concatenate(c) for c in zip(*found))
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
+
+    ordered = keyed.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
+def _and_end(batches):
+    yield from batches
+    yield None
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -266,37 +371,18 @@ def similar_components(docs: DataFrame) -> DataFrame:
     members = materialise(
         held.join(nodes.select("doc_id", "node").distinct(), "doc_id").select("sig", "node").distinct(), "members"
     )
-    sets = materialise(sets_of(docs, members.select("node").distinct()), "sets")
-    # Rows that share an id join their sets' nodes.
-    links = nodes.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    sketches = materialise(sketches_of(docs, members), "sketches")
+    # Rows that share an id but not a set join the nodes of both.
     twice = nodes.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("a", "b")
-    links = materialise(links.unionByName(twice).distinct(), "equal-sets")
-    tried = None
-    for _ in range(STAR_ROUNDS):
-        open_members = materialise(_labelled(members, links), "open-members")
-        centre = open_members.where("component = low").groupBy("sig", "low").agg(F.min("node").alias("centre"))
-        star = open_members.where("component <> low").join(centre, ["sig", "low"]).groupBy("node", "centre").agg(F.count("*").alias("n"))
-        if tried is not None:
-            star = star.join(tried, ["node", "centre"], "left_anti")
-        best = materialise(star.groupBy("node").agg(F.max_by("centre", "n").alias("centre")), "star")
-        good = materialise(verified(best.select(F.col("node").alias("a"), F.col("centre").alias("b")), sets), "star-links")
-        tried = best if tried is None else materialise(tried.unionByName(best), "tried")
-        if good.isEmpty():
-            break
-        links = materialise(links.unionByName(good), "links-so-far")
-
+    links = materialise(twice, "links")
     open_members = materialise(_labelled(members, links), "open-members")
-    able = materialise(_can_link(open_members, sets), "able")
-    left = materialise(open_members.select("sig", "node", "component").join(able, "node"), "left")
-    x, y = (left.select("sig", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n", "shared"))) for s in "xy")
-    total = F.col("n_x") + F.col("n_y")
-    possible = (
-        (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y"))
-        & (4 * total <= 9 * F.least("shared_x", "shared_y")) & (4 * F.greatest("n_x", "n_y") <= 5 * F.least("n_x", "n_y"))
-    )
-    pairs = materialise(x.join(y, "sig").where(possible).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct(), "pairs")
-    links = links.unionByName(verified(pairs, sets))
-    found = components(links)
+    star = open_members.where("node <> low").groupBy("node", F.col("low").alias("centre")).agg(F.count("*").alias("n"))
+    best = star.groupBy("node").agg(F.max_by("centre", F.struct("n", "centre")).alias("centre"))
+    near = materialise(possible(best.select(F.col("node").alias("a"), F.col("centre").alias("b")), sketches), "star-pairs")
+    links = materialise(links.unionByName(verified(near, docs)), "links")
+    near = materialise(block_pairs(_labelled(members, links), sketches), "pairs")
+    links = links.unionByName(verified(near, docs))
+    found = materialise(components(links), "components")
     named = nodes.join(found, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     unnamed = docs.where(F.col("doc_id").isNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 

@@ -174,6 +174,22 @@ def test_one_of_each(spark, awkward):
     assert partenum.one_of_each(frame(spark, [])).count() == 0
 
 
+def test_blocks_are_compared_in_full(spark):
+    texts = variants(3, 60, 60, 3)
+    sets = [partenum.shingles(t) for t in texts]
+    docs = list(enumerate(texts))
+    groups = {2**10 | 5: range(60), 2**11 | 5: range(20), 2**12 | 5: [7], 2**13 | 5: [3, 50]}
+    rows = spark.createDataFrame([(s, n, n, len(g)) for s, g in groups.items() for n in g], "sig long, node long, component long, size long")
+    sketches = partenum.sketches_of(frame(spark, docs), rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        got = sorted(map(tuple, partenum.block_pairs(rows, sketches, block=8).collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    links = {(a, b) for a in range(60) for b in range(a + 1, 60) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert links and links <= set(got) and len(got) == len(set(got)) < 60 * 59 / 2
+
+
 def test_similar_sets_share_a_signature():
     r = np.random.default_rng(1)
     for _ in range(1500):
