@@ -1,12 +1,13 @@
 """Benchmark items inside documents, by MinHash containment search on size partitions.
 
 Items are partitioned by the number of their word shingles. Each partition has a sketch size:
-the smallest hashes of an item, one more than an item of the partition may miss at the asked
+the shingles with the smallest hashes, one more than an item of the partition may miss at the asked
 containment. A document that contains the item has at least one of them, so the search finds every such
 pair, however long the document is; documents too short for an item are left out. Candidates are
-then verified on the shingles themselves.
+then verified on all shingles.
 
-DataFrame functions only: arrays of hashes are built in place, so texts are not shuffled.
+DataFrame functions only. Sketch shingles are looked up by their longest word, so a document's
+shingles are only formed where that word stands, and texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -21,54 +22,50 @@ CONTAINMENT = 0.8
 # Rows of a side that may be broadcast, as counted; larger sides are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# The ASCII white space that separates words.
+_SPACES = " \t\n\v\f\r"
 
 
 def words_of(text: str) -> Column:
-    """Words of a text in lower case (A-Z); null and empty texts have none."""
-    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _LOWER)
-    return F.filter(F.split(lowered, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    """Words of a text in lower case; null and blank texts have none."""
+    trimmed = F.btrim(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(_SPACES))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
 
-def _next(left: str, right: str, ahead: int) -> Column:
-    """Hashes of element i of `left` with element i + ahead of `right`, as far as both go."""
-    n = F.greatest(F.size(right) - F.lit(ahead), F.lit(0))
-    return F.zip_with(F.slice(F.col(left), F.lit(1), n), F.slice(F.col(right), F.lit(ahead + 1), n), lambda a, b: F.xxhash64(a, b))
-
-
-def with_hashes(df: DataFrame, widths: list[int]) -> DataFrame:
-    """Columns h1 ... h5 as needed: hashes of the runs of 1 to 5 words of column `words`, in text order."""
-    out = df.withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
-    steps = {2: ("h1", "h1", 1), 3: ("h2", "h1", 2), 4: ("h2", "h2", 2), 5: ("h4", "h1", 4)}
-    needed = {w: {1: {1}, 2: {1, 2}, 3: {1, 2, 3}, 4: {1, 2, 4}, 5: {1, 2, 4, 5}}[w] for w in widths}
-    for w in sorted(set().union(*needed.values()) - {1} if widths else ()):
-        out = out.withColumn(f"h{w}", _next(*steps[w]))
-    return out
+def _shingles(words: str, width: Column) -> Column:
+    """Distinct runs of `width` words, as arrays; none where there are fewer words."""
+    last = F.size(words) - width + 1
+    places = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.slice(words, i, width)))
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
-    """(item_id, width, hash, n): distinct shingles of every item and their number.
+    """(item_id, width, run, n): the distinct shingles of every item, as arrays of words, and their number.
 
     An item of fewer than five words is one shingle of all of them; one without words has none.
     """
     split = items.select("item_id", words_of("text").alias("words")).withColumn("width", F.least(F.size("words"), F.lit(WIDTH))).where("width > 0")
-    hashed = with_hashes(split, [1, 2, 3, 4, 5])
-    own = F.array_distinct(F.coalesce(*(F.when(F.col("width") == w, F.col(f"h{w}")) for w in range(1, WIDTH + 1))))
-    return hashed.select("item_id", "width", own.alias("h")).select("item_id", "width", F.explode("h").alias("hash"), F.size("h").cast("long").alias("n"))
+    runs = split.select("item_id", "width", _shingles("words", F.col("width")).alias("runs"))
+    return runs.select("item_id", "width", F.explode("runs").alias("run"), F.size("runs").cast("long").alias("n"))
 
 
 def sketches(shingled: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
-    """(item_id, width, hash, least): the bottom hashes of every item, and the least shingles of a document that holds it.
+    """(item_id, width, shingle, key, place, least): the bottom shingles of every item by hash.
 
-    A partition is a power of two of sizes; its sketch size suits its largest item, so it suits the others.
+    `key` is the longest word of the shingle and `place` its position; `least` is the least
+    number of shingles of a document that holds the item. A partition is a power of two of sizes; its
+    sketch size suits its largest item, so it suits the others.
     """
     size_class = F.floor(F.log2(F.col("n").cast("double")))
     largest = F.pow(F.lit(2.0), size_class + 1) - 1
     missing = F.floor(largest * F.lit(1 - containment) + F.lit(1e-9)).cast("int")
-    bottom = F.slice(F.sort_array(F.collect_list("hash")), F.lit(1), F.first("k"))
-    return (
-        shingled.withColumn("k", missing + 1).groupBy("item_id", "width", "n").agg(bottom.alias("low"))
-        .select("item_id", "width", F.explode("low").alias("hash"), F.ceil(F.col("n") * F.lit(containment) - F.lit(1e-9)).alias("least"))
+    text = F.array_join("run", " ")
+    bottom = F.slice(F.sort_array(F.collect_list(F.struct(F.xxhash64(text).alias("hash"), text.alias("shingle"), F.col("run").alias("run")))), F.lit(1), F.first("k"))
+    low = shingled.withColumn("k", missing + 1).groupBy("item_id", "width", "n").agg(bottom.alias("low")).select("item_id", "width", "n", F.explode("low").alias("s"))
+    longest = F.array_max(F.transform("s.run", lambda w, i: F.struct(F.length(w).alias("size"), i.alias("place"), w.alias("word"))))
+    return low.withColumn("longest", longest).select(
+        "item_id", "width", "s.shingle", F.col("longest.word").alias("key"), F.col("longest.place").alias("place"),
+        F.ceil(F.col("n") * F.lit(containment) - F.lit(1e-9)).alias("least"),
     )
 
 
@@ -80,29 +77,24 @@ def contained(docs: DataFrame, items: DataFrame, containment: float = CONTAINMEN
     texts hold nothing. Empty tables give no rows.
     """
     shingled = materialise(item_shingles(items), "item-shingles")
-    widths = sorted(r.width for r in shingled.select("width").distinct().collect())
-    sketch = materialise(sketches(shingled, containment), "sketches")
+    sketch = broadcast_rows(materialise(sketches(shingled, containment), "sketches"), BROADCAST_ROWS)
     texts = docs.where(F.col("text").isNotNull()).select("text", F.xxhash64("text").alias("_text"))
-    hashed = with_hashes(texts.select("_text", words_of("text").alias("words")), widths or [WIDTH])
-    by_hash = broadcast_rows(sketch, BROADCAST_ROWS)
-    found = None
-    for w in widths or [WIDTH]:
-        each = hashed.select("_text", F.size(f"h{w}").alias("_n"), F.explode(f"h{w}").alias("hash"))
-        part = by_hash.where(F.col("width") == w).select("item_id", "hash", "least")
-        some = each.join(part, "hash").where("_n >= least").select("_text", "item_id")
-        found = some if found is None else found.unionByName(some)
-    candidates = materialise(found.distinct(), "candidates")
+    each = texts.select("_text", words_of("text").alias("words")).select("_text", "words", F.posexplode("words").alias("_at", "key"))
+    n, start = F.size("words"), F.col("_at") - F.col("place") + 1
+    inside = (n - F.col("width") + 1 >= F.col("least")) & (start >= 1) & (start + F.col("width") - 1 <= n)
+    here = F.array_join(F.slice("words", F.greatest(start, F.lit(1)), F.col("width")), " ")
+    found = each.join(sketch, "key").where(inside & (here == F.col("shingle")))
+    candidates = materialise(found.select("_text", "item_id").distinct(), "candidates")
 
     some_texts = texts.join(broadcast_rows(candidates.select("_text").distinct(), 5 * BROADCAST_ROWS), "_text", "left_semi").dropDuplicates(["_text"])
-    sure = None
-    item_words = items.select("item_id", words_of("text").alias("words")).withColumn("width", F.least(F.size("words"), F.lit(WIDTH)))
-    text_words = some_texts.select("_text", words_of("text").alias("words"))
-    for w in widths or [WIDTH]:
-        theirs = _exact(item_words.where(F.col("width") == w), w, "item_id")
-        ours = _exact(text_words, w, "_text")
-        some = ours.join(broadcast_rows(theirs, 5 * BROADCAST_ROWS), "shingle").select("_text", "item_id")
-        sure = some if sure is None else sure.unionByName(some)
-    shared = sure.groupBy("_text", "item_id").agg(F.count("*").alias("n_shared"))
+    widths = [r.width for r in shingled.select("width").distinct().collect()]  # 1 to 5
+    split = some_texts.select("_text", words_of("text").alias("words"), F.explode(F.array(*map(F.lit, widths or [WIDTH]))).alias("width"))
+    ours = split.select("_text", "width", F.explode(_shingles("words", F.col("width"))).alias("run")).select("_text", "width", F.array_join("run", " ").alias("shingle"))
+    theirs = shingled.select("item_id", "width", F.array_join("run", " ").alias("shingle"))
+    shared = (
+        ours.join(broadcast_rows(theirs, 5 * BROADCAST_ROWS), ["width", "shingle"])
+        .groupBy("_text", "item_id").agg(F.count("*").alias("n_shared"))
+    )
     sizes = shingled.select("item_id", F.col("n").alias("n_item")).distinct()
     return (
         shared.join(candidates, ["_text", "item_id"], "left_semi").join(sizes, "item_id")
@@ -111,14 +103,6 @@ def contained(docs: DataFrame, items: DataFrame, containment: float = CONTAINMEN
     )
 
 
-def _exact(df: DataFrame, width: int, key: str) -> DataFrame:
-    """(key, shingle) with the words themselves, distinct within a row."""
-    last = F.size("words") - F.lit(width) + 1
-    places = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    runs = F.transform(places, lambda i: F.array_join(F.slice("words", i, F.lit(width)), " "))
-    return df.select(key, F.explode(F.array_distinct(runs)).alias("shingle"))
-
-
 def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """(doc_id, item_id, n_item, n_shared, containment) for every document that holds a benchmark item.
 
