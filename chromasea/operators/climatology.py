@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chromasea.functions.weights import full_weight, spatial_weight, temporal_weight
-from chromasea.operators.neighbours import RING, day_window, neighbours_3x3
+from chromasea.operators.neighbours import RING, day_window, neighbours_in_tiles
 
 STATS = ("w_avg", "n_avg", "diff_n_w", "n_std", "w_std", "sum_w", "porc_w", "median", "min", "max", "nofobs")
 
@@ -18,12 +18,12 @@ def climatology(daily: DataFrame, col: str, ny: int, nx: int, window: int = 11,
     `daily` holds at most one value per day and cell, as composites do. Without
     `years` the range is that of the data (a one-row look-up while planning).
 
-    One shuffle: the nine spatial copies are partitioned by cell alone, and the
-    aggregations that follow keep that partitioning. They fold the neighbours of
-    a day, then the years of a month-day, and only what is left is multiplied by
-    the window of days: 9 + `window` / years copies instead of 9 x `window`. A
-    cell keeps at most 9 values per day, hence the value lists for the exact
-    median are bounded by 9 x window x years whatever the size of the archive.
+    One shuffle, of the values and copies of the tiles' rims: the nine spatial
+    copies are made behind it, and the aggregations that follow keep its
+    partitioning. They fold the neighbours of a day, then the years of a
+    month-day, and only what is left is multiplied by the window of days. A cell
+    keeps at most 9 values per day, hence the value lists for the exact median are
+    bounded by 9 x window x years whatever the size of the archive.
     """
     half = window // 2
     value = F.log10(F.when(F.col(col) > 0, F.col(col))) if log else F.col(col)
@@ -31,13 +31,12 @@ def climatology(daily: DataFrame, col: str, ny: int, nx: int, window: int = 11,
     w = spatial_weight(F.col("dy"), F.col("dx")) if use_weights else F.lit(1.0)
     v = F.col("_v")
     per_day = (
-        neighbours_3x3(source, ny, nx)
-        .repartition("y", "x")
-        .groupBy("y", "x", "obs_date")
+        neighbours_in_tiles(source, ny, nx)
+        .groupBy("_ty", "_tx", "y", "x", "obs_date")
         .agg(
             F.sum(w).alias("_w"), F.sum(w * v).alias("_wx"), F.sum(w * v * v).alias("_wxx"),
             F.sum(v).alias("_x"), F.sum(v * v).alias("_xx"),
-            *[F.max(F.when((F.col("dy") == dy) & (F.col("dx") == dx), v)).alias(f"_n{i}")
+            *[F.max(F.when((F.col("dy") == dy) & (F.col("dx") == dx), F.struct(v.alias("v"), w.alias("w")))).alias(f"_n{i}")
               for i, (dy, dx) in enumerate(RING)],
         )
         .withColumn("_values", F.array_compact(F.array(*[F.col(f"_n{i}") for i in range(len(RING))])))
@@ -46,13 +45,13 @@ def climatology(daily: DataFrame, col: str, ny: int, nx: int, window: int = 11,
     if years is None:
         bounds = source.agg(F.min(F.year("obs_date")), F.max(F.year("obs_date"))).first()
         years = (bounds[0] or 0, bounds[1] or 0)
-    windowed = day_window(_fold_years(per_day, half, years), half).where(F.year("target_date").between(*years))
+    windowed = day_window(_fold_years(per_day, half, years), half, cell=None).where(F.year("target_date").between(*years))
     t = temporal_weight(F.col("offset"), half) if use_weights else F.lit(1.0)
-    sums = windowed.groupBy("y", "x", "mmdd").agg(
+    sums = windowed.groupBy("_ty", "_tx", "y", "x", "mmdd").agg(
         F.sum(t * F.col("_w")).alias("sum_w"), F.sum(t * F.col("_wx")).alias("_wx"),
         F.sum(t * F.col("_wxx")).alias("_wxx"), F.sum("_x").alias("_x"), F.sum("_xx").alias("_xx"),
-        F.sort_array(F.flatten(F.collect_list("_values"))).alias("_values"),
-    )
+        F.collect_list(F.struct(t.alias("t"), F.col("_values").alias("p"))).alias("_weighted"),
+    ).withColumn("_values", F.sort_array(F.flatten(F.transform("_weighted", lambda e: e["p"]["v"]))))
     return _statistics(sums, half, years[1] - years[0] + 1, use_weights)
 
 
@@ -70,7 +69,7 @@ def _fold_years(per_day: DataFrame, half: int, years: tuple[int, int]) -> DataFr
     at_edge = (F.date_sub(day, half) < first) | (F.date_add(day, half) > last)
     return (
         per_day.where(day.between(F.date_sub(first, half), F.date_add(last, half)))
-        .groupBy("y", "x", F.date_format(day, "MMdd").alias("_md"), (leap & near_leap_day).alias("_leap"),
+        .groupBy("_ty", "_tx", "y", "x", F.date_format(day, "MMdd").alias("_md"), (leap & near_leap_day).alias("_leap"),
                  F.when(at_edge, year).otherwise(0).alias("_edge"))
         .agg(F.min(day).alias("obs_date"), *[F.sum(c).alias(c) for c in ("_w", "_wx", "_wxx", "_x", "_xx")],
              F.flatten(F.collect_list("_values")).alias("_values"))
@@ -94,7 +93,13 @@ def _statistics(sums: DataFrame, half: int, n_years: int, use_weights: bool) ->
     exact = F.aggregate(values, F.lit(0.0), lambda s, e: s + (e - mean) * (e - mean)) / n
     # sums lose digits where the values hardly differ; only there the values are visited again
     variance = F.when(quick > mean * mean * 1e-6, quick).otherwise(exact)
-    spread = F.greatest(F.col("_wxx") - F.col("_wx") * F.col("_wx") / F.col("sum_w"), F.lit(0.0))
+    centre = F.col("w_avg")
+    quick_spread = F.col("_wxx") - F.col("_wx") * centre
+    exact_spread = F.aggregate(
+        "_weighted", F.lit(0.0),
+        lambda s, e: s + e["t"] * F.aggregate(e["p"], F.lit(0.0), lambda r, p: r + p["w"] * (p["v"] - centre) * (p["v"] - centre)),
+    )
+    spread = F.when(quick_spread > F.col("sum_w") * centre * centre * 1e-6, quick_spread).otherwise(exact_spread)
     per_year = full_weight(half) if use_weights else 9.0 * (2 * half + 1)
     return step.withColumns({
         "n_std": F.sqrt(variance),

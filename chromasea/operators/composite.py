@@ -45,27 +45,40 @@ def _mask_aggregates(mask: Column) -> list[Column]:
     ]
 
 
+def _within(weight: Column, domain: Column | None) -> Column:
+    """The mask, missing outside the domain: an expression of the cell, so no grid is joined."""
+    return weight if domain is None else F.when(domain, weight)
+
+
+def _beyond(df: DataFrame, domain: Column | None, cols: Sequence[str]) -> DataFrame:
+    """Columns of the mask product are missing outside the domain."""
+    return df if domain is None else df.withColumns({c: F.when(domain, F.col(c)) for c in cols})
+
+
 def daily_composite(pixels: DataFrame, bands: Limits, mask: str = "mask", keys: Sequence[str] = DAY_CELL,
-                    with_mask: bool = False) -> DataFrame:
+                    with_mask: bool = False, domain: Column | None = None) -> DataFrame:
     """R-03 (and R-04 with `with_mask`). Weighted mean per cell and band.
 
     Each band has its own range filter, so bands may rest on different granules.
     The mask is the weight: NULL no data, 0 masked, 1 valid. A mean outside the
-    range is missing. All bands and the mask product share one aggregation.
+    range is missing. All bands and the mask product share one aggregation. Cells
+    outside `domain`, a condition on the cell, have neither values nor a mask.
     """
-    w = F.col(mask)
+    w = _within(F.col(mask), domain)
     aggs = [a for b, lim in bands.items() for a in _weighted(b, w, (w > 0) & _in_range(b, lim), b)]
     if with_mask:
         aggs += _mask_aggregates(w)
     sums = pixels.groupBy(*keys).agg(*aggs)
     means = sums.withColumns({b: F.try_divide(F.col(f"_s_{b}"), F.col(f"_w_{b}")) for b in bands})
     extra = ["n_granules", "sum_weights", "sensormask"] if with_mask else []
-    return means.select(*keys, *[F.when(_in_range(b, lim), F.col(b)).alias(b) for b, lim in bands.items()], *extra)
+    out = means.select(*keys, *[F.when(_in_range(b, lim), F.col(b)).alias(b) for b, lim in bands.items()], *extra)
+    return _beyond(out, domain, extra)
 
 
-def daily_mask(pixels: DataFrame, mask: str = "mask", keys: Sequence[str] = DAY_CELL) -> DataFrame:
-    """R-04. Granule count, sum of weights and platform bits per cell."""
-    return pixels.groupBy(*keys).agg(*_mask_aggregates(F.col(mask)))
+def daily_mask(pixels: DataFrame, mask: str = "mask", keys: Sequence[str] = DAY_CELL, domain: Column | None = None) -> DataFrame:
+    """R-04. Granule count, sum of weights and platform bits per cell; all missing outside `domain`."""
+    counts = pixels.groupBy(*keys).agg(*_mask_aggregates(_within(F.col(mask), domain)))
+    return _beyond(counts, domain, ["n_granules", "sum_weights", "sensormask"])
 
 
 def enforce_central_bands(daily: DataFrame, central: Sequence[str]) -> DataFrame:
@@ -79,7 +92,7 @@ def enforce_central_bands(daily: DataFrame, central: Sequence[str]) -> DataFrame
 
 def daily_composite_joint(pixels: DataFrame, bands: Limits, central: Sequence[str], mask: str = "mask",
                           keys: Sequence[str] = DAY_CELL, compat_joint_divisor: bool = False,
-                          mask_negatives: bool = False) -> DataFrame:
+                          mask_negatives: bool = False, domain: Column | None = None) -> DataFrame:
     """R-06. A granule pixel counts only if all central bands are in range.
 
     Outer bands are tested on their own in addition. With `compat_joint_divisor`
@@ -88,7 +101,8 @@ def daily_composite_joint(pixels: DataFrame, bands: Limits, central: Sequence[st
     joint = reduce(lambda a, b: a & b, [F.coalesce(_in_range(c, bands[c]), F.lit(False)) for c in central])
     if mask_negatives:
         joint = joint & all_positive([F.col(c) for c in central])
-    src = pixels.withColumn("_m", F.when(F.col(mask).isNotNull(), F.when(joint, F.col(mask)).otherwise(F.lit(0))))
+    given = _within(F.col(mask), domain)
+    src = pixels.withColumn("_m", F.when(given.isNotNull(), F.when(joint, given).otherwise(F.lit(0))))
     w = F.col("_m")
     aggs = []
     for b, lim in bands.items():
@@ -102,10 +116,11 @@ def daily_composite_joint(pixels: DataFrame, bands: Limits, central: Sequence[st
             return own
         return F.when(own > 0, F.col("sum_weights"))
 
-    return sums.select(
+    out = sums.select(
         *keys, *[F.try_divide(F.col(f"_s_{b}"), divisor(b)).alias(b) for b in bands],
         "n_granules", "sum_weights", "sensormask",
     )
+    return _beyond(out, domain, ["n_granules", "sum_weights", "sensormask"])
 
 
 def monthly_composite(daily: DataFrame, col: str, weights: DataFrame | None = None, date: str = "obs_date",
@@ -151,9 +166,9 @@ def sum_masks(pixels: DataFrame, mask: str = "mask", cell: Sequence[str] = CELL)
     return pixels.groupBy(*cell).agg(F.coalesce(F.sum(mask), F.lit(0)).cast("bigint").alias("mask_sum"))
 
 
-def last_granule(pixels: DataFrame, limit: int | None = 10, angle: str = "oza",
+def last_granule(pixels: DataFrame, limit: int | None = None, angle: str = "oza",
                  cell: Sequence[str] = CELL) -> DataFrame:
-    """R-18. Index of the last granule that has an angle there, among the first `limit` granules."""
+    """R-18. Index of the last granule that has an angle there; among the first `limit` granules if one is given."""
     seen = F.col(angle).isNotNull()
     if limit is not None:
         seen = seen & (F.col("granule_index") <= limit)
@@ -163,8 +178,8 @@ def last_granule(pixels: DataFrame, limit: int | None = 10, angle: str = "oza",
 
 
 def orbit_bits(pixels: DataFrame, cell: Sequence[str] = CELL) -> DataFrame:
-    """R-19. Sum of the orbit bits of the granules touching a cell, and their union."""
-    return pixels.groupBy(*cell).agg(
+    """R-19. Sum of the orbit bits of the granules touching a cell, and their union, one row per block of bits."""
+    return pixels.groupBy(*cell, "orbit_block").agg(
         F.sum("orbit_bit").alias("orbit_sum"), F.bit_or("orbit_bit").alias("orbit_set")
     )
 

@@ -7,14 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# --- fixed values: largest group ---
-GROUP_CAP = 10
-# --- end of fixed values ---
-
-
 class _OpenGroups:
     """Extents of the groups of one day that can still grow, oldest first."""
 
@@ -51,31 +47,43 @@ class _OpenGroups:
         return group
 
 
-def group_granules(granules: DataFrame, th: int = -1, cap: int = GROUP_CAP, day: str = "obs_date",
+def group_granules(granules: DataFrame, cap: int, th: int = -1, day: str = "obs_date",
                    order: str = "granule_index") -> DataFrame:
     """O-03. Groups of at most `cap` granules per day, each growing from its first granule.
 
     In listing order every granule joins the first group, not yet full, whose
     grown extent it meets (rule J-05), or opens a new one; this gives the groups
-    of a repeated scan in a single pass. The pass is sequential by definition, so
-    it runs once per day on the sorted catalogue (one row per granule), streamed
-    in Arrow batches: a task holds the extents of open groups, never the day.
+    of a repeated scan in a single pass.
+
+    A group never spans a gap between rows of the grid, so a day falls into blocks
+    of granules whose row ranges meet, found by a running maximum. Blocks are
+    independent: each is one sequential pass over the sorted catalogue (one row
+    per granule), streamed in Arrow batches, and a task holds the extents of open
+    groups only. Group numbers of the day follow from each group's first granule.
+    A day without gaps is one block.
     """
     kept = granules if th < 0 else granules.where(F.col("n_valid") > th)
-    schema = T.StructType([*kept.schema.fields, T.StructField("group_id", T.LongType())])
+    rows = W.partitionBy(day).orderBy("y_min", "y_max", order)
+    reach = F.max("y_max").over(rows.rowsBetween(W.unboundedPreceding, -1))
+    fresh = F.when(F.col("y_min") > reach, 1).otherwise(0)
+    blocks = kept.withColumn("_fresh", fresh).withColumn("_block", F.sum("_fresh").over(rows.rowsBetween(W.unboundedPreceding, 0))).drop("_fresh")
+    schema = T.StructType([*blocks.schema.fields, T.StructField("_group", T.LongType())])
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, groups = None, _OpenGroups()
         for pdf in batches:
             out = np.empty(len(pdf), dtype=np.int64)
-            rows = zip(pdf[day], pdf["y_min"], pdf["y_max"], pdf["x_min"], pdf["x_max"])
-            for i, (d, *box) in enumerate(rows):
-                if d != current:
-                    current, groups = d, _OpenGroups()
+            boxes = zip(pdf[day], pdf["_block"], pdf["y_min"], pdf["y_max"], pdf["x_min"], pdf["x_max"])
+            for i, (d, block, *box) in enumerate(boxes):
+                if (d, block) != current:
+                    current, groups = (d, block), _OpenGroups()
                 out[i] = groups.place(*box, cap)
-            yield pdf.assign(group_id=out)
+            yield pdf.assign(_group=out)
 
-    return kept.repartition(day).sortWithinPartitions(day, order).mapInPandas(assign, schema)
+    placed = blocks.repartition(day, "_block").sortWithinPartitions(day, "_block", order).mapInPandas(assign, schema)
+    first = placed.groupBy(day, "_block", "_group").agg(F.min(order).alias("_first"))
+    number = F.row_number().over(W.partitionBy(day).orderBy("_first", "_block", "_group")).cast("bigint")
+    return placed.join(first.withColumn("group_id", number).drop("_first"), [day, "_block", "_group"]).select(*granules.columns, "group_id")
 
 
 def group_limits(grouped: DataFrame, day: str = "obs_date") -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chromasea.functions.weights import spatial_weight
@@ -28,27 +29,53 @@ def neighbours_3x3(df: DataFrame, ny: int, nx: int) -> DataFrame:
     return moved.where(inside).drop("_o")
 
 
+def tile_side(ny: int, nx: int) -> int:
+    """Side of the tiles of a grid: small enough for some hundred tiles, large enough that rims stay a small part."""
+    return max(4, min(32, isqrt(ny * nx) // 16))
+
+
+def neighbours_in_tiles(df: DataFrame, ny: int, nx: int, keys: Sequence[str] = ()) -> DataFrame:
+    """X-01 for an aggregation by cell: rows are partitioned by tile before they are copied to their neighbours.
+
+    A row goes to the tile of its cell and, on a rim, to the tiles next to it; the copies to the nine
+    targets are made behind the exchange, and a tile keeps those on its own cells. Grouping by
+    (`keys`, `_ty`, `_tx`, `y`, `x`, ...) needs no further exchange.
+    """
+    t = tile_side(ny, nx)
+
+    def tile(c: str, d: int) -> Column:
+        return F.floor((F.greatest(F.least(F.col(c) + d, F.lit(ny - 1 if c == "y" else nx - 1)), F.lit(0))) / t).cast("int")
+
+    tiles = F.array_distinct(F.array(*[F.struct(tile("y", dy).alias("_ty"), tile("x", dx).alias("_tx")) for dy, dx in RING]))
+    dealt = df.withColumn("_t", F.explode(tiles)).withColumns({"_ty": F.col("_t._ty"), "_tx": F.col("_t._tx")}).drop("_t")
+    near = neighbours_3x3(dealt.repartition(*keys, "_ty", "_tx"), ny, nx)
+    return near.where((F.floor(F.col("y") / t) == F.col("_ty")) & (F.floor(F.col("x") / t) == F.col("_tx")))
+
+
 def smooth_3x3(df: DataFrame, col: str, ny: int, nx: int, keys: Sequence[str] = ("obs_date",)) -> DataFrame:
     """X-03. Plain and weighted mean of the present values in the neighbourhood."""
     v = F.col(col)
     w = F.when(v.isNotNull(), spatial_weight(F.col("dy"), F.col("dx")))
     return (
-        neighbours_3x3(df, ny, nx)
-        .groupBy(*keys, "y", "x")
+        neighbours_in_tiles(df, ny, nx, keys)
+        .groupBy(*keys, "_ty", "_tx", "y", "x")
         .agg(F.avg(v).alias("avg"), F.sum(v * w).alias("_swx"), F.sum(w).alias("_sw"), F.count(v).alias("n"))
         .where(F.col("n") > 0)
         .withColumn("weighted_avg", F.col("_swx") / F.col("_sw"))
-        .drop("_swx", "_sw")
+        .drop("_swx", "_sw", "_ty", "_tx")
     )
 
 
-def day_window(daily: DataFrame, half: int = 5, date: str = "obs_date") -> DataFrame:
+def day_window(daily: DataFrame, half: int = 5, date: str = "obs_date", cell: Sequence[str] | None = ("y", "x")) -> DataFrame:
     """W-02. Send every day to the target days whose window of +-`half` days holds it.
 
     Adds `target_date`, `offset` (source day minus target day) and `mmdd`. The
-    29th of February is never a target.
+    29th of February is never a target. Rows are partitioned by `cell` before they
+    are copied, so that aggregations by cell and target day stay in place; with
+    None the partitioning is left as it is.
     """
-    out = daily.withColumn("offset", F.explode(F.sequence(F.lit(-half), F.lit(half))))
+    out = daily.repartition(*cell) if cell else daily
+    out = out.withColumn("offset", F.explode(F.sequence(F.lit(-half), F.lit(half))))
     out = out.withColumn("target_date", F.date_sub(F.col(date), F.col("offset")))
     out = out.withColumn("mmdd", F.date_format("target_date", "MMdd"))
     return out.where(F.col("mmdd") != "0229")

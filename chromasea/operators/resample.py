@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chromasea.functions.projection import EARTH_RADIUS, Area, lonlat_to_xy, unit_vector, with_cell_vector
+from chromasea.session import materialise
 
 # --- fixed values: search radii in metres ---
 RADIUS_FULL_RESOLUTION = 500.0
@@ -98,6 +99,8 @@ def resample_mask(swath: DataFrame, boxes: DataFrame, target: Area, radius_m: fl
     """
     hits = resample_nearest(swath, target, radius_m, [mask], keys, bits)
     state = hits.select(*keys, "y", "x", F.when(F.col(mask) == 0, 1).otherwise(0).alias("mask"))
+    # a written table: the granules that landed and their cells come from one resampling
+    state = materialise(state, "resampled")
     landed = state.select(*keys).distinct()
     cells = box_cells(boxes, keys).join(landed, list(keys), "left_semi")
     return cells.join(state, [*keys, "y", "x"], "left")

@@ -166,7 +166,7 @@ def _(spark, sf):
 
 
 @query("r18_last_granule", """
-    select obs_date, y, x, coalesce(max(case when oza > 20 and granule_id % 30 + 1 <= 10 then granule_id % 30 + 1 end), 0)
+    select obs_date, y, x, coalesce(max(case when oza > 20 then granule_id % 30 + 1 end), 0)
       as sensor_id from obs group by 1, 2, 3
 """)
 def _(spark, sf):
@@ -176,14 +176,17 @@ def _(spark, sf):
 
 
 @query("r19_orbit_bits", """
-    select obs_date, y, x, cast(sum(bit) as bigint) as orbit_sum, cast(bit_or(bit) as bigint) as orbit_set
-    from (select distinct obs_date, y, x, granule_id, cast(1 as bigint) << cast(granule_id % 40 as integer) as bit from obs) as b
-    group by 1, 2, 3
+    select obs_date, y, x, orbit_block, cast(sum(bit) as bigint) as orbit_sum, cast(bit_or(bit) as bigint) as orbit_set
+    from (select distinct obs_date, y, x, granule_id, cast(granule_id % 200 // 62 as integer) as orbit_block,
+      cast(1 as bigint) << cast(granule_id % 200 % 62 as integer) as bit from obs) as b
+    group by 1, 2, 3, 4
 """)
 def _(spark, sf):
-    bit = F.expr("shiftleft(1L, cast(granule_id % 40 as int))")
-    o = view(spark, sf, "obs").select("obs_date", "y", "x", "granule_id", bit.alias("orbit_bit")).distinct()
-    return composite.orbit_bits(o, cell=("obs_date", "y", "x"))
+    # two hundred passes, in four blocks of bits
+    block = F.expr("cast(floor(granule_id % 200 / 62) as int)")
+    bit = F.expr("shiftleft(1L, cast(granule_id % 200 % 62 as int))")
+    o = view(spark, sf, "obs").select("obs_date", "y", "x", "granule_id", block.alias("orbit_block"), bit.alias("orbit_bit"))
+    return composite.orbit_bits(o.distinct(), cell=("obs_date", "y", "x"))
 
 
 @query("r20_time_extent", """

@@ -13,7 +13,7 @@ from chromasea.plans.multi import multi_products
 from chromasea.plans.plankton import plankton_chain
 from chromasea.queries import geography
 from chromasea.queries.aggregates import LIMITS
-from chromasea.queries.base import query, table, view
+from chromasea.queries.base import VECTOR, query, table, view
 from chromasea.queries.expressions import BANDS5, FLAGS, MASKING
 from chromasea.queries.joins import ALPHA_RQ, SCALES, SIGMA_F, SIGMA_L
 from chromasea.queries.windows import SIDE, clim_sql
@@ -80,14 +80,14 @@ def _(spark, sf):
     return bandratio.kd490_two_pass(o).select("granule_id", "y", "x", "q490", "kd490")
 
 
-_D2 = " + ".join(f"power(cast(e.embedding[{i}] as double) - m.f{i}, 2)" for i in range(1, 6))
+_D2 = " + ".join(f"power(cast(e.embedding[{i}] as double) - m.f{i}, 2)" for i in range(1, VECTOR + 1))
 _ARD = " + ".join(f"power((cast(e.embedding[{i}] as double) - m.f{i}) / {s}, 2)" for i, s in enumerate(SCALES, 1))
 
 
 def _pairs(spark, sf):
     """Every vector beside the mean vector of its own label."""
-    means = view(spark, sf, "gpr_active").select("label", F.array(*[F.col(f"f{i}") for i in range(1, 6)]).alias("v"))
-    u = F.transform(F.slice("embedding", 1, 5), lambda e: e.cast("double"))
+    means = view(spark, sf, "gpr_active").select("label", F.array(*[F.col(f"f{i}") for i in range(1, VECTOR + 1)]).alias("v"))
+    u = F.transform("embedding", lambda e: e.cast("double"))
     return table(spark, sf, "embeddings").select("vec_id", "label", u.alias("u")).join(means, "label")
 
 
@@ -203,38 +203,39 @@ def _(spark, sf):
 
 # the inversion in SQL: one nested step per line of the method
 _C = iop.COEFFICIENTS
+_TABLES = {n: {w: c[i] for w, c in _C.items()} for i, n in enumerate(("aw", "bbw", "aph_a", "aph_b"))}
 
 
-def sql_qaa(source: str) -> str:
-    """The inversion over columns r412, r443, r490, r560, r665 of a subquery."""
-    aw = {b: _C[b][0] for b in iop.INPUT_BANDS}
-    bw = {b: _C[b][1] for b in iop.INPUT_BANDS}
+def sql_qaa(source: str, bands: tuple = iop.INPUT_BANDS) -> str:
+    """The inversion over columns r412, r443, r490, r560, r665 of a subquery, which stand for five wavelengths."""
+    aw = [_C[b][0] for b in bands]
+    bw = [_C[b][1] for b in bands]
     u = ", ".join(
         f"(sqrt(0.089 * 0.089 + 4 * 0.1245 * b{n}) - 0.089) / (2 * 0.1245) as u{n}" for n in ("412", "443", "490", "560", "665"))
     b = ", ".join(f"{v} / (0.52 + 1.7 * {v}) as b{n}" for n, v in
                   (("412", "r412"), ("443", "r443"), ("490", "r490"), ("560", "r560"), ("665", "red")))
 
-    def a(n: str, wl: float) -> str:
-        return f"(1 - u{n}) * ({bw[wl]!r} + bbp0 * power(lam0 / {wl}, eta)) / u{n}"
+    def a(n: str, i: int) -> str:
+        return f"(1 - u{n}) * ({bw[i]!r} + bbp0 * power(lam0 / {bands[i]}, eta)) / u{n}"
 
     steps = [
         """case when r665 <= 0 or r665 > 20 * power(r560, 1.5) or r665 < 0.9 * power(r560, 1.7)
              then 1.27 * power(r560, 1.47) + 0.00018 * power(r490 / r560, -3.19) else r665 end as red""",
         b, u,
         "log10((b443 + b490) / (b560 + 5 * (b665 / b490) * b665)) as chi, b443 / b560 as ratio",
-        f"""case when red >= 0.0015 then 665e0 else 560e0 end as lam0,
-           case when red >= 0.0015 then {aw[665.0]!r} + 0.39 * power(b665 / (b443 + b490), 1.14)
-             else {aw[560.0]!r} + power(10e0, -1.1459 - 1.3658 * chi - 0.4693 * chi * chi) end as a0,
+        f"""case when red >= 0.0015 then {bands[4]}e0 else {bands[3]}e0 end as lam0,
+           case when red >= 0.0015 then {aw[4]!r} + 0.39 * power(b665 / (b443 + b490), 1.14)
+             else {aw[3]!r} + power(10e0, -1.1459 - 1.3658 * chi - 0.4693 * chi * chi) end as a0,
            2 * (1 - 1.2 * exp(-0.9 * ratio)) as eta, 0.74 + 0.2 / (0.8 + ratio) as zeta, 0.015 + 0.002 / (0.6 + ratio) as s""",
-        f"""case when red >= 0.0015 then u665 * a0 / (1 - u665) - {bw[665.0]!r}
-             else u560 * a0 / (1 - u560) - {bw[560.0]!r} end as bbp0""",
-        f"{a('412', 412.5)} as a412, {a('443', 442.5)} as a443, {a('560', 560.0)} as a555, exp(s * 27) as z",
-        f"((a412 - zeta * a443) - ({aw[412.5]!r} - zeta * {aw[442.5]!r})) / (z - zeta) as adg1",
-        f"a443 - adg1 - {aw[442.5]!r} as aph1",
+        f"""case when red >= 0.0015 then u665 * a0 / (1 - u665) - {bw[4]!r}
+             else u560 * a0 / (1 - u560) - {bw[3]!r} end as bbp0""",
+        f"{a('412', 0)} as a412, {a('443', 1)} as a443, {a('560', 3)} as a555, exp(s * 27) as z",
+        f"((a412 - zeta * a443) - ({aw[0]!r} - zeta * {aw[1]!r})) / (z - zeta) as adg1",
+        f"a443 - adg1 - {aw[1]!r} as aph1",
         f"""case when aph1 / a443 < 0.15 or aph1 / a443 > 0.6 then a443 * least(greatest(
-             -0.8 + 1.4 * (a443 - {aw[442.5]!r} / a412 - {aw[412.5]!r}), 0.15), 0.6) else aph1 end as aph443""",
-        f"""case when aph1 / a443 < 0.15 or aph1 / a443 > 0.6 then a443 - aph443 - {aw[442.5]!r} else adg1 end as adg443,
-           bbp0 * power(lam0 / 442.5, eta) as bbp443, bbp0 * power(lam0 / 490, eta) as bbp510""",
+             -0.8 + 1.4 * (a443 - {aw[1]!r} / a412 - {aw[0]!r}), 0.15), 0.6) else aph1 end as aph443""",
+        f"""case when aph1 / a443 < 0.15 or aph1 / a443 > 0.6 then a443 - aph443 - {aw[1]!r} else adg1 end as adg443,
+           bbp0 * power(lam0 / {bands[1]}, eta) as bbp443, bbp0 * power(lam0 / {bands[2]}, eta) as bbp510""",
     ]
     text = source
     for i, step in enumerate(steps):
@@ -243,7 +244,8 @@ def sql_qaa(source: str) -> str:
 
 
 def sql_forward(wl: float, reference: float) -> str:
-    aw, bw, ca, cb = _C[wl]
+    # between the built-in wavelengths the coefficients are interpolated
+    aw, bw, ca, cb = (iop.coefficient(n, wl, _TABLES[n]) for n in ("aw", "bbw", "aph_a", "aph_b"))
     _, _, ra, rb = _C[reference]
     bb = f"(bbp0 * power(lam0 / {wl}, eta) + {bw!r})"
     a = (f"(adg443 * exp(-s * ({wl} - 443)) + {ca!r} * power(aph443 / {ra!r}, {(1 - cb) / (1 - rb)!r}) + {aw!r})")
@@ -282,6 +284,32 @@ def _(spark, sf):
     return shifted.select("l_orderkey", "l_linenumber", "s443", "s510", "s555", "s670")
 
 
+# the same columns read as the bands of the multi-sensor product
+_OTHER_BANDS = (412.0, 443.0, 490.0, 555.0, 670.0)
+_G = {w: sql_forward(w, 443.0) for w in (490.0, 520.0, 555.0, 560.0, 620.0, 665.0, 670.0)}
+
+
+@query("a10_qaa_iop_multi", f"""
+    select l_orderkey, l_linenumber, bbp443, adg443, aph443, lam0 as lambda0, eta, s, a555, bbp0, a0, bbp510
+    from ({sql_qaa(_INPUTS, _OTHER_BANDS)}) as q
+""", _IOP_DIGITS)
+def _(spark, sf):
+    d = iop.with_iop(view(spark, sf, "spectra5"), dict(zip(_OTHER_BANDS, _SPECTRA)))
+    return d.select("l_orderkey", "l_linenumber", *[F.col("iop")[f].alias(f) for f in iop.IOP_FIELDS])
+
+
+@query("a11_band_shift_multi", f"""
+    select l_orderkey, l_linenumber,
+      (35 * f520 * r490 / f490 + 30 * f520 * r560 / f555) / 65 as s520, f560 * r560 / f555 as s560,
+      (50 * f620 * r560 / f555 + 65 * f620 * red / f670) / 115 as s620, f665 * red / f670 as s665
+    from (select *, {', '.join(f'{q} as f{w:g}' for w, q in _G.items())} from ({sql_qaa(_INPUTS, _OTHER_BANDS)}) as q) as f
+""", 9, ("s520", "s560", "s620", "s665"))
+def _(spark, sf):
+    shifted = iop.band_shift(view(spark, sf, "spectra5"), [520.0, 560.0, 620.0, 665.0], dict(zip(_OTHER_BANDS, _SPECTRA)),
+                             names=["s520", "s560", "s620", "s665"], tables=_TABLES)
+    return shifted.select("l_orderkey", "l_linenumber", "s520", "s560", "s620", "s665")
+
+
 _KNOTS = "(select 400e0 + 6e0 * p_size as wl, avg(p_retailprice) as v from part group by 1)"
 
 

@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# Elements of a vector of the table `embeddings`.
+VECTOR = 64
+
 TABLES = ("lineitem", "orders", "events", "part", "embeddings", "supplier", "customer", "nation")
 
+# Divisors are no round numbers, so that means of few decimals don't lie on rounding ties.
 # Views over the driver tables, in an SQL that both engines accept but for the
 # macros FMT (compact timestamp), DIV (integer division) and ELT (array element,
 # from 1). A view may refer to tables in braces and to other views by name.
@@ -26,11 +30,11 @@ VIEWS: dict[str, str] = {
             + (case when l_returnflag = 'R' and l_linenumber = 7 then 4 else 0 end)
             + (case when l_discount > 0.095e0 then 65536 else 0 end) as bigint) as flags,
           case when l_tax > 0.075e0 and l_linenumber = 1 then null
-               else l_extendedprice / 1e7 - 0.0004e0 end as rrs443,
-          (l_extendedprice + 1000e0 * l_quantity) / 1.5e7 as rrs490,
-          (0.6e0 * l_extendedprice + 1500e0 * l_quantity) / 1.6e7 as rrs510,
-          (0.3e0 * l_extendedprice + 2000e0 * l_quantity) / 2e7 as rrs560,
-          (0.02e0 * l_extendedprice + 100e0 * l_quantity) / 2e7 - 0.00005e0 as rrs665,
+               else l_extendedprice / 1.00037e7 - 0.0004e0 end as rrs443,
+          (l_extendedprice + 1000e0 * l_quantity) / 1.50037e7 as rrs490,
+          (0.6e0 * l_extendedprice + 1500e0 * l_quantity) / 1.60037e7 as rrs510,
+          (0.3e0 * l_extendedprice + 2000e0 * l_quantity) / 2.00037e7 as rrs560,
+          (0.02e0 * l_extendedprice + 100e0 * l_quantity) / 2.00037e7 - 0.00005e0 as rrs665,
           l_quantity * 1.1e0 as oza
         from {lineitem}""",
     # obs with its default mask and the three-state weight mask
@@ -43,7 +47,7 @@ VIEWS: dict[str, str] = {
     "daily": """
         select cast(l_shipdate as date) as obs_date,
           cast(l_partkey % 20 as int) as y, cast(l_orderkey % 20 as int) as x,
-          avg(case when l_quantity > 3 then l_extendedprice / 2e4 else null end) as chl
+          avg(case when l_quantity > 3 then l_extendedprice / 1.99937e4 else null end) as chl
         from {lineitem} group by 1, 2, 3""",
     "granules": """
         select event_id as granule_id,
@@ -79,7 +83,7 @@ VIEWS: dict[str, str] = {
     # one 5 x 6 tie grid per block of thirty parts, and the pixels that ask for it
     "tie": """
         select p_partkey DIV 30 as granule_id, cast((p_partkey % 30) DIV 6 as int) as j,
-          cast(p_partkey % 6 as int) as i, p_retailprice / 20e0 as oza
+          cast(p_partkey % 6 as int) as i, p_retailprice / 20.0137e0 as oza
         from {part}""",
     "tie_pixels": """
         select l_partkey DIV 30 as granule_id, cast((l_orderkey * 7) % 32 as int) as row,
@@ -87,13 +91,11 @@ VIEWS: dict[str, str] = {
         from {lineitem}""",
     # a regression model from averaged spectra, and the spectra it is applied to
     "gpr_active": """
-        select label, avg(ELT(embedding, 1)) as f1, avg(ELT(embedding, 2)) as f2, avg(ELT(embedding, 3)) as f3,
-          avg(ELT(embedding, 4)) as f4, avg(ELT(embedding, 5)) as f5, (label - 4.5e0) * 0.01e0 as alpha
+        select label, """ + ", ".join(f"avg(ELT(embedding, {i})) as f{i}" for i in range(1, VECTOR + 1)) + """,
+          (label - 4.5e0) * 0.01e0 as alpha
         from {embeddings} group by label""",
     "gpr_query": """
-        select vec_id, cast(ELT(embedding, 1) as double) as f1, cast(ELT(embedding, 2) as double) as f2,
-          cast(ELT(embedding, 3) as double) as f3, cast(ELT(embedding, 4) as double) as f4,
-          cast(ELT(embedding, 5) as double) as f5
+        select vec_id, """ + ", ".join(f"cast(ELT(embedding, {i}) as double) as f{i}" for i in range(1, VECTOR + 1)) + """
         from {embeddings}""",
     # five positive bands in realistic proportions for the inversion
     "spectra5": """
@@ -112,7 +114,7 @@ def _names_in(text: str) -> list[str]:
 
 def _expand(text: str, fmt: str, div: str, elt: str) -> str:
     text = re.sub(r"FMT\(([^()]*)\)", lambda m: fmt.format(m.group(1)), text)
-    text = re.sub(r"ELT\((\w+), (\d)\)", lambda m: elt.format(m.group(1), m.group(2)), text)
+    text = re.sub(r"ELT\((\w+), (\d+)\)", lambda m: elt.format(m.group(1), m.group(2)), text)
     return text.replace(" DIV ", div)
 
 
@@ -155,14 +157,9 @@ def with_views(body: str, *extra: tuple[str, str]) -> str:
     return "with " + ",\n".join(f"{n} as ({t})" for n, t in ctes) + "\n" + body
 
 
-def _offset(digits: int) -> float:
-    """Shift below the last digit: means of few decimals lie on rounding ties, where engines may differ."""
-    return 0.1371828 * 10.0 ** -digits
-
-
 def rounded(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
     """Round the named doubles; adding zero turns a negative zero into zero."""
-    return df.withColumns({c: F.round(F.col(c) + F.lit(_offset(d)), d) + F.lit(0.0) for c, d in digits.items()})
+    return df.withColumns({c: F.round(F.col(c), d) + F.lit(0.0) for c, d in digits.items()})
 
 
 def query(name: str, sql: str | None = None, digits: int | Mapping[str, int] | None = None,
@@ -180,7 +177,7 @@ def query(name: str, sql: str | None = None, digits: int | Mapping[str, int] | N
         if sql is not None:
             body = sql
             if spec:
-                replaced = ", ".join(f"round({c} + {_offset(d):.17e}, {d}) + 0e0 as {c}" for c, d in spec.items())
+                replaced = ", ".join(f"round({c}, {d}) + 0e0 as {c}" for c, d in spec.items())
                 body = f"select * replace ({replaced}) from (\n{sql}\n) as q"
             ORACLES[name] = with_views(body, *views)
         return fn

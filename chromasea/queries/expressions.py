@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from chromasea.functions import dates, flags, numeric, reflectance
 from chromasea.operators import grid, quality
+from chromasea.session import scratch_path
+from chromasea.sources.models import read_model
 from chromasea.queries.base import query, table, view
 from chromasea.schema import fill_to_null, null_to_fill
 from chromasea.sources import catalogue
@@ -385,6 +387,36 @@ def _(spark, sf):
     return table(spark, sf, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
+@query("f39_model_file", """
+    select label as vector, i as element, value, (label - 4.5e0) * 0.01e0 as alpha, 0.5e0 + i as scale, i * 0.25e0 as beta
+    from (select label, unnest(range(1, 65)) as i, unnest(list_transform(range(1, 65), lambda k: m[k])) as value
+      from (select label, [""" + ", ".join(f"avg(embedding[{i}])" for i in range(1, 65)) + """] as m from embeddings group by label) as a) as b
+""", 6, ("value",))
+def _(spark, sf):
+    """A model file of 64 predictors written from the mean vectors, read back and laid out again."""
+    e = table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("i", "v"))
+    means = e.groupBy("label", "i").agg(F.avg("v").alias("v")).groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("m"))
+    rows = F.sort_array(F.collect_list(F.struct("label", F.col("m.v").alias("v"), ((F.col("label") - 4.5) * 0.01).alias("a"))))
+    kernel = F.map_concat(
+        F.create_map(F.lit("AlphaRQ"), F.lit("0.7"), F.lit("SigmaF"), F.lit("1.3")),
+        F.map_from_entries(F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.struct(F.concat(F.lit("LengthScale"), i.cast("string")), (i + 0.5).cast("string")))),
+    )
+    file = means.agg(rows.alias("r")).select(
+        kernel.alias("Kernel"), F.col("r.v").alias("ActiveSetVectors"), F.col("r.a").alias("Alpha"), F.lit(0.1).alias("Sigma"),
+        F.transform(F.sequence(F.lit(0), F.lit(64)), lambda i: i * 0.25).alias("Beta"), F.col("r.label").alias("labels"),
+    )
+    path = scratch_path(spark, "model")
+    file.coalesce(1).write.json(path)
+    model = read_model(spark, path)
+    labels = [r.label for r in means.select("label").orderBy("label").collect()]
+    out = [
+        (label, i + 1, value, alpha, model.length_scales[i], model.beta[i + 1])
+        for label, vector, alpha in zip(labels, model.vectors, model.alpha) for i, value in enumerate(vector)
+    ]
+    kind = table(spark, sf, "embeddings").schema["label"].dataType.simpleString()
+    return spark.createDataFrame(out, f"vector {kind}, element bigint, value double, alpha double, scale double, beta double")
+
+
 @query("o02_two_nearest", """
     select l_orderkey, l_linenumber, l_quantity,
       list_aggregate(list_slice(list_filter(bands, lambda b: abs(b - wl) = list_min(list_transform(bands, lambda c: abs(c - wl)))), 1, 2), 'string_agg', ',') as bands

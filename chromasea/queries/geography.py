@@ -227,12 +227,12 @@ def _(spark, sf):
 @query("g10_overlay_tiles", """
     select y, x, arg_max(rrs443, tile) filter (where rrs443 is not null) as rrs443, arg_max(rrs560, tile) as rrs560
     from (select y, x, granule_id % 7 as tile, avg(rrs443) as rrs443, avg(rrs560) as rrs560
-      from obs where granule_id % 7 <> 6 or rrs443 > 0.008 group by 1, 2, 3) as t
+      from obs group by 1, 2, 3) as t
     group by 1, 2
 """, 11, ("rrs443", "rrs560"))
 def _(spark, sf):
     o = view(spark, sf, "obs").withColumn("tile", F.col("granule_id") % 7)
-    tiles = o.where((F.col("tile") != 6) | (F.col("rrs443") > 0.008)).groupBy("y", "x", "tile").agg(
+    tiles = o.groupBy("y", "x", "tile").agg(
         F.avg("rrs443").alias("rrs443"), F.avg("rrs560").alias("rrs560"))
     return resample.overlay_tiles(tiles, "tile", ["rrs443", "rrs560"])
 

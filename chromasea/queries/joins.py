@@ -6,16 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from chromasea.operators import climatology, gpr, grid, grouping, overlap
-from chromasea.queries.base import query, table, view
+from chromasea.queries.base import VECTOR, query, table, view
 from chromasea.queries.expressions import BANDS5
 from chromasea.queries.windows import SIDE, clim_sql
 from chromasea.sources import catalogue
 from chromasea.sources.models import model_from_frame
 
-# Constants of the toy regression model.
-BETA = (0.1, 0.2, -0.1, 0.05, 0.0, 0.3)
+# Constants of the toy regression model, for all elements of a vector.
+BETA = (0.1, *(round(0.3 - 0.01 * i, 2) for i in range(VECTOR)))
 SIGMA_F, SIGMA_L, ALPHA_RQ = 1.5, 0.4, 0.8
-SCALES = (0.3, 0.4, 0.5, 0.6, 0.7)
+SCALES = tuple(round(0.6 + 0.02 * i, 2) for i in range(VECTOR))
 
 
 def array_of(*names: str) -> Column:
@@ -112,7 +112,7 @@ def _(spark, sf):
 
 
 def toy_model(spark, sf):
-    active = view(spark, sf, "gpr_active").select(array_of("f1", "f2", "f3", "f4", "f5").alias("vector"), "alpha")
+    active = view(spark, sf, "gpr_active").select(array_of(*[f"f{i}" for i in range(1, VECTOR + 1)]).alias("vector"), "alpha")
     return model_from_frame(active, BETA, SIGMA_F, ALPHA_RQ, SCALES)
 
 
@@ -127,14 +127,14 @@ _GPR = f"""
 @query("j08_gpr_sql", _GPR, 9, ("log_chl",))
 def _(spark, sf):
     q = view(spark, sf, "gpr_query")
-    vector = array_of("f1", "f2", "f3", "f4", "f5")
+    vector = array_of(*[f"f{i}" for i in range(1, VECTOR + 1)])
     return gpr.gpr_predict_sql(q, toy_model(spark, sf), vector).select("vec_id", "log_chl")
 
 
 @query("j08_gpr_arrow", _GPR, 9, ("log_chl",))
 def _(spark, sf):
     q = view(spark, sf, "gpr_query")
-    vector = array_of("f1", "f2", "f3", "f4", "f5")
+    vector = array_of(*[f"f{i}" for i in range(1, VECTOR + 1)])
     return gpr.gpr_predict(q, toy_model(spark, sf), vector).select("vec_id", "log_chl")
 
 
@@ -314,5 +314,5 @@ _GROUPS = f"""
 def _(spark, sf):
     g = view(spark, sf, "granules").withColumn("granule_index", F.col("granule_id"))
     grouped = grouping.group_granules(
-        g.select("obs_date", "granule_index", "n_valid", "y_min", "y_max", "x_min", "x_max"), th=50)
+        g.select("obs_date", "granule_index", "n_valid", "y_min", "y_max", "x_min", "x_max"), cap=10, th=50)
     return grouping.group_limits(grouped)

@@ -17,7 +17,7 @@ def _pixels(events):
     """A measurement per event, in a 6 x 5 grid."""
     return events.select(
         F.col("ts").alias("start_ts"), (F.col("user_id") % 6).cast("int").alias("y"),
-        (F.col("event_id") % 5).cast("int").alias("x"), F.col("value").alias("chl"))
+        (F.col("event_id") % 5).cast("int").alias("x"), (F.col("value") / 1.0037).alias("chl"))
 
 
 def _event_stream(spark, sf):
@@ -26,7 +26,7 @@ def _event_stream(spark, sf):
     return composites.read_stream(spark, f"{sf}/event[s].parquet", schema)
 
 
-_PIX = "select ts, cast(user_id % 6 as integer) as y, cast(event_id % 5 as integer) as x, value as chl from events"
+_PIX = "select ts, cast(user_id % 6 as integer) as y, cast(event_id % 5 as integer) as x, value / 1.0037e0 as chl from events"
 _TUMBLING = f"""
     select cast(ts as date) as day, y, x, avg(chl) as chl, count(chl) as n_chl from ({_PIX}) as p group by 1, 2, 3
 """
@@ -44,7 +44,7 @@ def _(spark, sf):
 @query("t01_tumbling_stream", _TUMBLING, 8, ("chl",))
 def _(spark, sf):
     stream = composites.tumbling_composite(_pixels(_event_stream(spark, sf)), ["chl"], KEYS)
-    return composites.run_to_table(stream, "tumbling", "complete")
+    return composites.run_to_table(stream, "tumbling", "update")
 
 
 @query("t02_sliding_batch", _SLIDING, 8, ("chl",))
@@ -54,8 +54,9 @@ def _(spark, sf):
 
 @query("t02_sliding_stream", _SLIDING, 8, ("chl",))
 def _(spark, sf):
-    stream = composites.sliding_composite(_pixels(_event_stream(spark, sf)), ["chl"], KEYS)
-    return composites.run_to_table(stream, "sliding", "complete")
+    # the state of the stream is one row per day and cell; windows are folded from its table
+    stream = composites.tumbling_composite(_pixels(_event_stream(spark, sf)), ["chl"], KEYS)
+    return composites.slide_days(composites.run_to_table(stream, "sliding", "update"), ["chl"], KEYS)
 
 
 _PASSES = """
@@ -87,13 +88,13 @@ def _granule_stream(spark, sf):
 
 
 @query("t03_passes_stream", f"""
-    select * from ({_PASSES}) as p
-    where pass_end <= (select epoch_us(max(start_ts)) from granules) - 86400000000
+    select *, pass_end <= (select epoch_us(max(start_ts)) from granules) - 86400000000 as closed from ({_PASSES}) as p
 """)
 def _(spark, sf):
     # append mode: a pass is final once the watermark, a day behind the latest granule, has gone by
     stream = composites.detect_passes(_granule_stream(spark, sf), "12 hours")
-    return _micros(composites.run_to_table(stream, "passes", "append"))
+    closed = composites.run_to_table(stream, "passes", "append")
+    return _micros(composites.passes_with_open(closed, view(spark, sf, "granules"), "12 hours"))
 
 
 @query("t04_late_data", f"""
@@ -112,8 +113,8 @@ _BEST = """
         case when event_type = 'purchase' then 'NR' when event_type = 'error' then 'NT' else 'other' end as timeliness,
         value as chl, event_id,
         row_number() over (partition by cast(ts as date), user_id % 6, event_id % 5
-          order by case event_type when 'error' then 1 else 2 end, event_id) as rn
-      from events where event_type in ('purchase', 'error')) as s where rn = 1
+          order by case event_type when 'error' then 1 when 'purchase' then 2 else 3 end, event_id) as rn
+      from events) as s where rn = 1
 """
 
 
@@ -132,13 +133,13 @@ def _(spark, sf):
 
 @query("t05_supersede_stream", _BEST, 8, ("chl",))
 def _(spark, sf):
-    # near-real-time rows arrive in a first file, their replacements in a second
+    # rows of other timeliness arrive first, near-real-time rows then, their replacements last
     source = scratch_path(spark, "arrivals")
     rows = _timely(table(spark, sf, "events"))
     merged = SupersedeTable(spark, tie=["event_id"])
     checkpoint = scratch_path(spark, "arrivals-checkpoint")
     out = None
-    for kind in ("NR", "NT"):
+    for kind in ("other", "NR", "NT"):
         rows.where(F.col("timeliness") == kind).write.mode("append").parquet(source)
         out = merged.run(composites.read_stream(spark, source, rows.schema), checkpoint)
     return out.select("obs_date", "y", "x", "timeliness", "chl", "event_id")

@@ -10,6 +10,8 @@ from chromasea.queries.base import query, view
 from chromasea.sources import catalogue
 
 SIDE = 20
+# The years of the archive that the fixture stands for.
+YEARS = (1995, 2001)
 
 
 @query("w01_index_granules", """
@@ -19,12 +21,13 @@ SIDE = 20
         cast(row_number() over (partition by obs_date order by min(granule_index)) as integer) as orbit_rank
         from i group by 1, 2, 3)
     select i.obs_date, granule_id, granule_index, orbit_rank,
-      case when orbit_rank <= 63 then cast(power(2, orbit_rank - 1) as bigint) end as orbit_bit
+      cast((orbit_rank - 1) // 62 as integer) as orbit_block,
+      cast(power(2, (orbit_rank - 1) % 62) as bigint) as orbit_bit
     from i join p on i.obs_date = p.obs_date and i.platform = p.platform and i.rel_orbit = p.rel_orbit
 """)
 def _(spark, sf):
     indexed = catalogue.index_granules(view(spark, sf, "granules"))
-    return indexed.select("obs_date", "granule_id", "granule_index", "orbit_rank", "orbit_bit")
+    return indexed.select("obs_date", "granule_id", "granule_index", "orbit_rank", "orbit_block", "orbit_bit")
 
 
 _SHIFTED = """
@@ -56,7 +59,7 @@ def _(spark, sf):
 @query("w04_best_timeliness", """
     select obs_date, rel_orbit, platform, timeliness, granule_id from (
       select *, row_number() over (partition by obs_date, rel_orbit, platform
-        order by case timeliness when 'NT' then 1 else 2 end, granule_id) as rn from granules) as g where rn = 1
+        order by case timeliness when 'NT' then 1 when 'NR' then 2 else 3 end, granule_id) as rn from granules) as g where rn = 1
 """)
 def _(spark, sf):
     g = view(spark, sf, "granules").select("obs_date", "rel_orbit", "platform", "timeliness", "granule_id")
@@ -104,14 +107,13 @@ def clim_sql(value: str) -> str:
         from daily cross join range(-5, 6) as r(k) cross join range(-1, 2) as p(a) cross join range(-1, 2) as q(b)
         where chl > 0) as e
       where ty between 0 and {SIDE - 1} and tx between 0 and {SIDE - 1} and strftime(t, '%m%d') <> '0229'
-        and year(t) between (select year(min(obs_date)) from daily where chl > 0)
-          and (select year(max(obs_date)) from daily where chl > 0)),
+        and year(t) between {YEARS[0]} and {YEARS[1]}),
     m as (select mmdd, y, x, sum(w * v) / sum(w) as mu from s group by 1, 2, 3)
     select s.mmdd, s.y, s.x, any_value(mu) as w_avg, avg(v) as n_avg, abs(avg(v) - any_value(mu)) as diff_n_w,
       stddev_pop(v) as n_std,
       sqrt(sum(w * power(v - mu, 2)) / nullif((count(v) - 1) / cast(count(v) as double) * sum(w), 0)) as w_std,
       sum(w) as sum_w,
-      100e0 * sum(w) / (24 * (select year(max(obs_date)) - year(min(obs_date)) + 1 from daily where chl > 0)) as porc_w,
+      100e0 * sum(w) / (24 * {YEARS[1] - YEARS[0] + 1}) as porc_w,
       median(v) as median, min(v) as min, max(v) as max, count(v) as nofobs
     from s join m on s.mmdd = m.mmdd and s.y = m.y and s.x = m.x group by 1, 2, 3
     """
@@ -122,9 +124,9 @@ _STATS = ("w_avg", "n_avg", "diff_n_w", "n_std", "w_std", "sum_w", "porc_w", "me
 
 @query("r09_climatology", clim_sql("chl"), 7, _STATS)
 def _(spark, sf):
-    return climatology.climatology(view(spark, sf, "daily"), "chl", SIDE, SIDE)
+    return climatology.climatology(view(spark, sf, "daily"), "chl", SIDE, SIDE, years=YEARS)
 
 
 @query("r09_climatology_log", clim_sql("log10(chl)"), 7, _STATS)
 def _(spark, sf):
-    return climatology.climatology(view(spark, sf, "daily"), "chl", SIDE, SIDE, log=True)
+    return climatology.climatology(view(spark, sf, "daily"), "chl", SIDE, SIDE, log=True, years=YEARS)

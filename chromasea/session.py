@@ -1,4 +1,4 @@
-"""Session settings, shared scratch space, and size-checked broadcasts."""
+"""Session settings, shared scratch space, and bounded tables for plans."""
 
 from __future__ import annotations
 
@@ -8,10 +8,7 @@ import uuid
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Largest side that `broadcast_if_small` may ship to every executor.
-BROADCAST_ROWS = 200_000
 # Largest table that may become a plan-time constant (kernel models, band lists).
 PLAN_TIME_ROWS = 50_000
 
@@ -76,9 +73,3 @@ def collect_bounded(df: DataFrame, limit: int = PLAN_TIME_ROWS) -> list:
     if len(rows) > limit:
         raise ValueError(f"more than {limit} rows: too large for a plan-time table")
     return rows
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only if a counted check proves the side small; otherwise a shuffle join."""
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df

@@ -22,6 +22,9 @@ MONTH_SOURCES = ("my", "myint")
 TIMELINESS_ORDER = ("NT", "NR")
 # --- end of fixed values ---
 
+# Passes per block of orbit bits: their sum stays a positive bigint.
+BLOCK = 62
+
 
 def discover_granules(names: DataFrame, timeliness: str, resolution: str, collection: int,
                       name: str = "name") -> DataFrame:
@@ -58,7 +61,9 @@ def _best(df: DataFrame, keys: Sequence[str], rank: Column, tie: Sequence[str])
 
 
 def _rank(col: str, priority: Sequence[str]) -> Column:
-    return F.coalesce(F.array_position(F.lit(list(priority)), F.col(col)), F.lit(0)).cast("int")
+    """Place in `priority`; what isn't in it comes last."""
+    place = F.coalesce(F.array_position(F.lit(list(priority)), F.col(col)), F.lit(0)).cast("int")
+    return F.when(place == 0, F.lit(len(priority) + 1)).otherwise(place)
 
 
 def pick_source(df: DataFrame, key: str | Sequence[str], priority: Sequence[str] = MONTH_SOURCES,
@@ -71,8 +76,8 @@ def pick_source(df: DataFrame, key: str | Sequence[str], priority: Sequence[str]
 
 def best_timeliness(df: DataFrame, keys: Sequence[str], priority: Sequence[str] = TIMELINESS_ORDER,
                     col: str = "timeliness", tie: Sequence[str] = ()) -> DataFrame:
-    """W-04. Per key the row with the best timeliness: NT supersedes NR."""
-    return _best(df.where(F.col(col).isin(list(priority))), list(keys), _rank(col, priority), tie)
+    """W-04. Per key the row with the best timeliness: NT supersedes NR, and both any other, which is never lost."""
+    return _best(df, list(keys), _rank(col, priority), tie)
 
 
 def calendar(spark: SparkSession, start: str, end: str, name: str = "obs_date") -> DataFrame:
@@ -112,8 +117,10 @@ def pending_dates(wanted: DataFrame, existing: DataFrame, overwrite: bool = Fals
 def index_granules(granules: DataFrame, day: str = "obs_date", name: str = "name", prefix: int = 29) -> DataFrame:
     """W-01. Granule index 1, 2, 3... by name within a day, and the orbit bit.
 
-    Each new pair of platform and relative orbit gets the next power of two, in
-    order of first appearance.
+    Each new pair of platform and relative orbit gets the next bit, in order of
+    first appearance. Bits lie in blocks of 62 (`orbit_block` from 0, `orbit_bit` a
+    power of two), so that a day may have any number of passes; the first 62 have
+    block 0 and the bits of a single sum.
 
     The index is a count of earlier name prefixes plus a rank within the prefix:
     a prefix reaches down to the acquisition hour, so no window has to sort a
@@ -130,10 +137,11 @@ def index_granules(granules: DataFrame, day: str = "obs_date", name: str = "name
     passes = indexed.groupBy(day, "platform", "rel_orbit").agg(F.min("granule_index").alias("_first"))
     rank = F.row_number().over(W.partitionBy(day).orderBy("_first"))
     bits = passes.withColumn("orbit_rank", rank.cast("int")).drop("_first")
-    # 63 powers fit a positive bigint; a later pass of the same day keeps its rank but has no bit
-    power = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("orbit_rank") - 1)
-    bit = F.when(F.col("orbit_rank") <= 63, power)
-    return indexed.join(bits, [day, "platform", "rel_orbit"]).withColumn("orbit_bit", bit)
+    place = F.col("orbit_rank") - 1
+    return indexed.join(bits, [day, "platform", "rel_orbit"]).withColumns({
+        "orbit_block": F.floor(place / BLOCK).cast("int"),
+        "orbit_bit": F.call_function("shiftleft", F.lit(1).cast("bigint"), place % BLOCK),
+    })
 
 
 def union_scenes(*dfs: DataFrame) -> DataFrame:

@@ -9,14 +9,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chromasea.session import collect_bounded
+from chromasea.session import PLAN_TIME_ROWS, collect_bounded
 
 # --- fixed values: keys of a model file ---
-SCHEMA = (
-    "Kernel struct<Name:string,AlphaRQ:double,SigmaF:double,SigmaL:double,"
-    + ",".join(f"LengthScale{i}:double" for i in range(1, 11))
-    + ">, ActiveSetVectors array<array<double>>, Alpha array<double>, Sigma double, Beta array<double>"
-)
+SCHEMA = "Kernel map<string,string>, ActiveSetVectors array<array<double>>, Alpha array<double>, Sigma double, Beta array<double>"
+SCALE = "LengthScale"
 # --- end of fixed values ---
 
 
@@ -42,15 +39,27 @@ class KernelModel:
 
 
 def read_model(spark: SparkSession, path: str) -> KernelModel:
-    """F-39. A model file; either one length scale for all features or one per feature."""
-    row = spark.read.schema(SCHEMA).json(path, multiLine=True).first()
+    """F-39. A model file; either one length scale for all features or one per feature, however many.
+
+    The size of the active set is checked before it comes to the driver.
+    """
+    return model_of_row(spark.read.schema(SCHEMA).json(path, multiLine=True))
+
+
+def model_of_row(models: DataFrame) -> KernelModel:
+    """F-39. The model in the one row of a table of the schema of model files."""
+    sizes = models.select(F.size("ActiveSetVectors").alias("n")).first()
+    if sizes is None or sizes["n"] > PLAN_TIME_ROWS:
+        raise ValueError("no model" if sizes is None else f"{sizes['n']} vectors: too large for a plan-time table")
+    row = models.first()
     kernel, vectors = row["Kernel"], row["ActiveSetVectors"]
     n = len(vectors[0])
-    scales = [kernel[f"LengthScale{i}"] for i in range(1, n + 1) if i <= 10]
-    if kernel["SigmaL"] is not None:
-        scales = [kernel["SigmaL"]] * n
+    if kernel.get("SigmaL") is not None:
+        scales = [float(kernel["SigmaL"])] * n
+    else:
+        scales = [float(kernel[f"{SCALE}{i}"]) for i in range(1, n + 1)]
     return KernelModel(tuple(map(tuple, vectors)), tuple(row["Alpha"]), tuple(row["Beta"]),
-                       kernel["SigmaF"], kernel["AlphaRQ"], tuple(scales))
+                       float(kernel["SigmaF"]), float(kernel["AlphaRQ"]), tuple(scales))
 
 
 def model_from_frame(df: DataFrame, beta: Sequence[float], sigma_f: float, alpha_rq: float,

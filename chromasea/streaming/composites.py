@@ -8,6 +8,7 @@ plan is the batch twin.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,17 +44,23 @@ def sliding_composite(df: DataFrame, cols: Mapping | Sequence[str], keys: Sequen
                       ts: str = "start_ts", days: int = 11, lateness: str = "1 day") -> DataFrame:
     """T-02. Running composite over `days` days, one result per day.
 
-    Measurements are folded per day before they are repeated over the windows
-    that hold the day, so a batch shuffles days, not measurements times `days`.
+    Measurements are folded per day; on a stream that fold alone is state (run
+    `tumbling_composite` to a table, then `slide_days` over it).
     """
-    timed = _timed(df, ts, lateness)
     if df.isStreaming:
-        grouped = timed.groupBy(F.window(ts, f"{days} days", "1 day").alias("_w"), *keys)
-        return grouped.agg(*_means(cols)).withColumn("day", F.col("_w.start").cast("date")).drop("_w")
-    names = list(cols)
-    daily = tumbling_composite(df, cols, keys, ts).select(
+        raise ValueError("run tumbling_composite on the stream and slide_days on its table")
+    return slide_days(tumbling_composite(df, cols, keys, ts, lateness), list(cols), keys, days)
+
+
+def slide_days(tumbling: DataFrame, names: Sequence[str], keys: Sequence[str] = ("y", "x"), days: int = 11) -> DataFrame:
+    """T-02. Fold daily means and counts over `days` days, one result per day.
+
+    Days are partitioned by cell before they are repeated over the windows that
+    hold them, and folded in place.
+    """
+    daily = tumbling.select(
         *keys, "day", *[(F.col(c) * F.col(f"n_{c}")).alias(f"_s_{c}") for c in names], *[f"n_{c}" for c in names]
-    )
+    ).repartition(*keys)
     spread = daily.withColumn("day", F.explode(F.sequence(F.date_sub("day", days - 1), F.col("day"))))
     sums = spread.groupBy(*keys, "day").agg(
         *[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in names], *[F.sum(f"n_{c}").alias(f"n_{c}") for c in names]
@@ -73,6 +80,21 @@ def detect_passes(df: DataFrame, gap: str = "30 minutes", keys: Sequence[str] =
     )
 
 
+def passes_with_open(closed: DataFrame, granules: DataFrame, gap: str = "30 minutes",
+                     keys: Sequence[str] = ("platform", "rel_orbit"), ts: str = "start_ts") -> DataFrame:
+    """T-03. Closed passes of a stream, and those still open, from its granules; `closed` tells them apart.
+
+    A stream gives a pass once the watermark has gone by its end. Granules outside every
+    closed pass of their key form the open ones, by the same rule on the static table.
+    """
+    timed = granules.withColumn(ts, F.col(ts).cast("timestamp"))
+    ended = closed.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("pass_start").alias("_start"), F.col("pass_end").alias("_end"))
+    same = [timed[k].eqNullSafe(F.col(f"_{k}")) for k in keys]
+    inside = reduce(lambda a, b: a & b, [*same, timed[ts] >= F.col("_start"), timed[ts] < F.col("_end")])
+    still = detect_passes(timed.join(ended, inside, "left_anti"), gap, keys, ts)
+    return closed.withColumn("closed", F.lit(True)).unionByName(still.withColumn("closed", F.lit(False)))
+
+
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, per_trigger: int | None = None) -> DataFrame:
     """Files of a folder (or one file) as a stream, in the order of their arrival."""
     reader = spark.readStream.schema(schema)
@@ -82,12 +104,14 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, per_trigge
 
 
 def run_to_table(stream: DataFrame, name: str, mode: str = "append", out: str | None = None,
-                 checkpoint: str | None = None) -> DataFrame:
+                 checkpoint: str | None = None, keys: Sequence[str] = ("day", "y", "x")) -> DataFrame:
     """Run a stream over everything available and give back what it wrote.
 
     Results and checkpoint lie in shared storage. In append mode Spark writes
-    the files itself and emits a group when the watermark has passed it; the
-    other modes replace the table at each trigger (`complete`).
+    the files itself and emits a group when the watermark has passed it. In update
+    mode each trigger adds the groups that it changed under its number, and the
+    latest row of every `keys` counts; groups leave the state with the watermark.
+    A repeated trigger writes the same place again.
     """
     spark = stream.sparkSession
     out = out or scratch_path(spark, f"{name}-out")
@@ -95,10 +119,16 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append", out: str |
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if mode == "append":
         query = writer.outputMode("append").format("parquet").option("path", out).start()
-    else:
-        def replace(batch: DataFrame, _: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
-
-        query = writer.outputMode(mode).foreachBatch(replace).start()
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+        query.awaitTermination()
+        return spark.read.schema(stream.schema).parquet(out)
+    if mode != "update":
+        raise ValueError(f"mode {mode!r}: append or update")
+
+    def add(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    writer.outputMode("update").foreachBatch(add).start().awaitTermination()
+    every = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(out)
+    rest = [c for c in stream.columns if c not in keys]
+    latest = every.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_row"))
+    return latest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in stream.columns])

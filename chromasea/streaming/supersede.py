@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,14 +15,17 @@ from chromasea.sources.catalogue import best_timeliness
 class SupersedeTable:
     """A daily product in which the best timeliness per (date, cell) is kept.
 
-    The table is a folder of version=/date= partitions; of every date the latest
-    version counts. A micro-batch merges only the dates it holds: it reads their
-    current version, keeps the best row per key and writes a version under the
-    batch number. A repeated batch writes the same rows to the same place, so
-    the merge is idempotent, and readers see a date either before or after it.
+    The table is a folder of date=/version=/batch= partitions; of every date the
+    latest version counts. A micro-batch merges only the dates it holds: it reads
+    their current version, keeps the best row per key and writes the next version,
+    one more than any the date has, under the name of its checkpoint and its
+    number. A batch that is repeated finds its own name, merges with the version
+    before it and writes the same place again, so the merge is idempotent, and a
+    new checkpoint never hides rows that an older one stored.
 
-    Both columns of the look-up are partition columns: finding the latest
-    versions lists folders, and the join with them prunes files of older ones.
+    All columns of the look-up are partition columns: finding the latest versions
+    lists folders, and the join with them prunes files of older ones. The
+    checkpoint lies beside the table unless another is named.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, keys: Sequence[str] = ("obs_date", "y", "x"),
@@ -29,43 +33,56 @@ class SupersedeTable:
         self.spark, self.keys, self.day, self.tie = spark, list(keys), day, list(tie)
         self.path, self.files_per_day = path or scratch_path(spark, "supersede"), files_per_day
 
-    def _rows(self, before: int | None = None) -> DataFrame | None:
-        """Current rows: of every date those of its latest version."""
+    def _every(self) -> DataFrame | None:
+        """All versions, or None before the first."""
         try:
-            every = self.spark.read.parquet(self.path)
+            return self.spark.read.parquet(f"{self.path}/rows")
         except Exception as error:  # nothing written yet
             if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
                 return None
             raise
-        if before is not None:
-            every = every.where(F.col("version") < before)
+
+    def _latest(self, every: DataFrame) -> DataFrame:
+        """Of every date the rows of its latest version."""
         latest = every.select(self.day, "version").groupBy(self.day).agg(F.max("version").alias("version"))
         return every.join(latest, [self.day, "version"], "left_semi")
 
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        """Fold one micro-batch into the dates it touches."""
-        current = self._rows(before=batch_id)
-        rows = batch
-        if current is not None:
+    def merge(self, batch: DataFrame, batch_id: int, source: str = "direct") -> None:
+        """Fold one micro-batch of a source (a checkpoint) into the dates it touches."""
+        name = f"{source}-{batch_id}"
+        every = self._every()
+        rows, before = batch, None
+        if every is not None:
             touched = batch.select(self.day).distinct()
-            rows = current.drop("version").join(touched, self.day, "left_semi").unionByName(batch)
-        best = best_timeliness(rows, self.keys, tie=self.tie).withColumn("version", F.lit(batch_id))
+            others = every.where(F.col("batch") != name)
+            own = every.where(F.col("batch") == name).select(self.day, F.col("version").alias("_own")).distinct()
+            # what a repeated batch merges with is what lay below its own version then
+            held = others.join(touched, self.day, "left_semi").join(own, self.day, "left").where(F.col("_own").isNull() | (F.col("version") < F.col("_own"))).drop("_own")
+            current = self._latest(held)
+            before = current.select(self.day, "version").distinct()
+            rows = current.drop("version", "batch").unionByName(batch)
+        best = best_timeliness(rows, self.keys, tie=self.tie)
+        if before is None:
+            best = best.withColumn("version", F.lit(0).cast("bigint"))
+        else:
+            best = best.join(before, self.day, "left").withColumn("version", F.coalesce(F.col("version") + 1, F.lit(0)).cast("bigint"))
         salt = F.pmod(F.xxhash64(*self.keys), F.lit(self.files_per_day))
-        best.repartition(self.day, salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("version", self.day).parquet(self.path)
+        best.withColumn("batch", F.lit(name)).repartition(self.day, salt).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(self.day, "version", "batch").parquet(f"{self.path}/rows")
 
     def read(self) -> DataFrame:
-        rows = self._rows()
-        if rows is None:
+        every = self._every()
+        if every is None:
             raise ValueError("nothing merged yet")
-        return rows.drop("version")
+        return self._latest(every).drop("version", "batch")
 
     def run(self, stream: DataFrame, checkpoint: str | None = None) -> DataFrame:
         """Merge everything a stream has available and return the table."""
-        checkpoint = checkpoint or scratch_path(self.spark, "supersede-checkpoint")
+        checkpoint = checkpoint or f"{self.path}/checkpoint"
+        source = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
         query = (
             stream.writeStream.option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).foreachBatch(self.merge).start()
+            .trigger(availableNow=True).foreachBatch(lambda batch, n: self.merge(batch, n, source)).start()
         )
         query.awaitTermination()
         return self.read()

@@ -67,7 +67,7 @@ def test_plankton_values_and_closure(spark):
 def test_band_shift(spark, bands, r443, adg, aph, eta, lam):
     names = ["rrs412", "rrs443", "rrs490", "rrs560", "rrs665"]
     df = spark.createDataFrame([bands, (None, *bands[1:])], ", ".join(f"{n} double" for n in names))
-    row, missing = iop.with_iop(iop.band_shift(df, [443.0], names=["out"]), *names).collect()
+    row, missing = iop.with_iop(iop.band_shift(df, [443.0], names, names=["out"]), *names).collect()
     assert row.out == pytest.approx(r443, rel=1e-7)
     assert [row.iop.adg443, row.iop.aph443, row.iop.lambda0] == pytest.approx([adg, aph, lam], rel=1e-7)
     assert eta is None or row.iop.eta == pytest.approx(eta, rel=1e-6)
@@ -77,10 +77,23 @@ def test_band_shift(spark, bands, r443, adg, aph, eta, lam):
 def test_band_shift_to_an_input_band_returns_it(spark):
     names = ["rrs412", "rrs443", "rrs490", "rrs560", "rrs665"]
     df = spark.createDataFrame([(0.0045, 0.005, 0.006, 0.003, 0.0004)], ", ".join(f"{n} double" for n in names))
-    row = iop.band_shift(df, [490.0, 560.0]).first()
+    row = iop.band_shift(df, [490.0, 560.0], names).first()
     assert [row.rrs490_shifted, row.rrs560_shifted] == pytest.approx([0.006, 0.003])
 
 
+def test_inputs_are_chosen_by_wavelength(spark):
+    df = spark.createDataFrame([(0.0045, 0.005, 0.006, 0.0055, 0.003, 0.0004)], ", ".join(f"r{w} double" for w in (412, 443, 490, 510, 555, 670)))
+    bands = {float(w): f"r{w}" for w in (412, 443, 490, 510, 555, 670)}
+    row = iop.band_shift(df, [510.0, 520.0], bands, tables={n: {w: c[i] for w, c in iop.COEFFICIENTS.items()} for i, n in enumerate(("aw", "bbw", "aph_a", "aph_b"))}).first()
+    assert row.rrs510_shifted == pytest.approx(0.0055) and 0.003 < row.rrs520_shifted < 0.0055
+    assert iop.wanted_bands([412.5, 442.5, 490.0, 510.0, 560.0, 665.0]) == (412.5, 442.5, 490.0, 560.0, 665.0)
+    for odd, text in (([412.0, 443.0, 490.0, 530.0, 670.0], "green"), ([412.0, 443.0, 490.0, 555.0, 681.0], "red")):
+        with pytest.raises(ValueError, match=text):
+            iop.wanted_bands(odd)
+    with pytest.raises(KeyError):
+        iop.band_shift(df, [520.0], bands)
+
+
 def test_coefficient_table():
     table = {400.0: 1.0, 410.0: 3.0, 430.0: 5.0}
     assert [iop.coefficient("aw", w, table) for w in (390, 400, 405, 420, 430, 500)] == [1, 1, 2, 4, 5, 5]

@@ -7,11 +7,12 @@ import statistics
 from collections import defaultdict
 from datetime import date, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from chromasea.functions import projection
-from chromasea.operators import climatology, composite, coefficients, grid, grouping, overlap, quality, resample
+from chromasea.operators import climatology, composite, coefficients, grid, grouping, neighbours, overlap, quality, resample
 from chromasea.operators.neighbours import smooth_3x3
 from chromasea.sources import catalogue
 
@@ -217,7 +218,7 @@ def test_group_granules_is_the_repeated_scan(spark):
     rows = [(y, y + rng.randint(5, 60), x, x + rng.randint(5, 60)) for y, x in ((rng.randint(0, 700), rng.randint(0, 700)) for _ in range(300))]
     df = boxes(spark, rows).withColumn("granule_index", F.col("granule_id"))
     two_days = df.unionByName(df.withColumn("obs_date", F.lit(D + timedelta(days=1))))
-    got = {(r.obs_date, r.granule_id): r.group_id for r in grouping.group_granules(two_days).collect()}
+    got = {(r.obs_date, r.granule_id): r.group_id for r in grouping.group_granules(two_days, cap=10).collect()}
     free, want, group = list(range(len(rows))), {}, 0
     while free:
         group += 1
@@ -261,7 +262,65 @@ def test_index_granules(spark):
     seen, bits = {}, []
     for r in got:
         bits.append(seen.setdefault((r.platform, r.rel_orbit), 1 << len(seen)))
-    assert [r.orbit_bit for r in got] == bits
+    assert [r.orbit_bit for r in got] == bits and {r.orbit_block for r in got} == {0}
+
+
+def test_any_number_of_passes_has_its_bits(spark):
+    rows = [(D, f"S3A_OL_2_WFR____20240101T{i // 60:02d}{i % 60:02d}00_x", "S3A", i, 0, 0) for i in range(200)]
+    df = catalogue.index_granules(spark.createDataFrame(rows, "obs_date date, name string, platform string, rel_orbit int, y int, x int"))
+    got = {(r.orbit_block, r.orbit_bit) for r in df.collect()}
+    assert len(got) == 200 and all(b > 0 for _, b in got)
+    cells = {r.orbit_block: (r.orbit_sum, r.orbit_set) for r in composite.orbit_bits(df).collect()}
+    full = (1 << 62) - 1
+    assert cells == {0: (full, full), 1: (full, full), 2: (full, full), 3: ((1 << 14) - 1,) * 2}
+
+
+def test_last_granule_has_no_limit_of_its_own(spark):
+    df = spark.createDataFrame([(0, 0, i, 1.0 if i != 12 else None) for i in range(1, 13)], "y int, x int, granule_index int, oza double")
+    assert composite.last_granule(df).first().sensor_id == 11 and composite.last_granule(df, limit=10).first().sensor_id == 10
+
+
+def test_any_timeliness_is_kept_but_comes_last(spark):
+    df = spark.createDataFrame([(1, "ST", 1.0), (2, "ST", 2.0), (2, "NR", 3.0), (3, None, 4.0)], "k int, timeliness string, v double")
+    got = {r.k: r.v for r in catalogue.best_timeliness(df, ["k"]).collect()}
+    assert got == {1: 1.0, 2: 3.0, 3: 4.0}
+
+
+def test_deviations_of_values_that_hardly_differ(spark):
+    values = [1000 + 1e-5 * k for k in range(11)]
+    df = spark.createDataFrame([(date(2001, 6, 10 + k), 1, 1, v) for k, v in enumerate(values)], "obs_date date, y int, x int, chl double")
+    row = climatology.climatology(df, "chl", 3, 3, years=(2001, 2001)).where("mmdd = '0615' AND y = 1 AND x = 1").first()
+    w = [(6 - abs(k - 5)) / 6 for k in range(11)]
+    mean = sum(a * v for a, v in zip(w, values)) / sum(w)
+    exact = (sum(a * (v - mean) ** 2 for a, v in zip(w, values)) / (10 / 11 * sum(w))) ** 0.5
+    assert row.w_std == pytest.approx(exact, rel=1e-6) and row.n_std == pytest.approx(np.std(values), rel=1e-6)
+
+
+def test_copies_are_made_behind_the_exchange(spark):
+    df = spark.createDataFrame([], "obs_date date, y int, x int, chl double")
+    for out in (neighbours.smooth_3x3(df, "chl", 400, 400), climatology.climatology(df, "chl", 400, 400, years=(2000, 2001)),
+                neighbours.day_window(df).groupBy("target_date", "y", "x").count()):
+        text = out._jdf.queryExecution().executedPlan().toString()
+        below = text.split("Exchange hashpartitioning", 1)[1]
+        assert text.count("Exchange hashpartitioning") == 1 and below.count("Generate") <= 1 and "[struct(dy" not in below
+
+
+def test_tiles_give_every_neighbour_once(spark):
+    rng = random.Random(4)
+    rows = [(D, y, x, rng.random()) for y in range(23) for x in range(17) if rng.random() < 0.7]
+    df = spark.createDataFrame(rows, "obs_date date, y int, x int, chl double")
+    a = {(r.y, r.x, r.dy, r.dx): r.chl for r in neighbours.neighbours_3x3(df, 23, 17).collect()}
+    b = [((r.y, r.x, r.dy, r.dx), r.chl) for r in neighbours.neighbours_in_tiles(df, 23, 17, ["obs_date"]).collect()]
+    assert len(b) == len(a) and dict(b) == a
+
+
+def test_domain_leaves_cells_outside_without_a_mask(spark):
+    p = pixels(spark, [(1, "S3A", D, 0, 0, 1, 0.1, 0.1), (1, "S3A", D, 0, 5, 1, 0.1, 0.1)])
+    inside = F.col("x") < 3
+    for df in (composite.daily_mask(p, domain=inside), composite.daily_composite(p, {"a": (0, 1)}, with_mask=True, domain=inside),
+               composite.daily_composite_joint(p, {"a": (0, 1)}, ["a"], domain=inside)):
+        got = {r.x: (r.sensormask, r.n_granules) for r in df.collect()}
+        assert got == {0: (1, 1), 5: (None, None)}
 
 
 def test_counters_without_water(spark):

@@ -37,11 +37,30 @@ def same(a, b):
             [round(v, 9) if isinstance(v, float) else v for v in p] == [round(v, 9) if isinstance(v, float) else v for v in q]
 
 
-@pytest.mark.parametrize("operator", [composites.tumbling_composite, composites.sliding_composite])
-def test_stream_equals_batch(spark, folder, operator):
+def test_stream_equals_batch(spark, folder):
     stream = composites.read_stream(spark, folder, spark.read.parquet(folder).schema, per_trigger=2)
-    out = composites.run_to_table(operator(stream, ["chl"]), "t", "complete")
-    same(out, operator(spark.read.parquet(folder), ["chl"]))
+    out = composites.run_to_table(composites.tumbling_composite(stream, ["chl"]), "t", "update")
+    same(out, composites.tumbling_composite(spark.read.parquet(folder), ["chl"]))
+    same(composites.slide_days(out, ["chl"]), composites.sliding_composite(spark.read.parquet(folder), ["chl"]))
+
+
+def test_groups_change_over_triggers(spark, tmp_path):
+    path, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for rows in ([row(1, 1, 1.0)], [row(1, 5, 3.0), row(2, 1, 5.0)]):
+        write(spark, path, rows)
+        stream = composites.tumbling_composite(composites.read_stream(spark, path, schema), ["chl"], lateness="3 days")
+        got = composites.run_to_table(stream, "u", "update", out, check)
+    assert {r.day.day: (r.chl, r.n_chl) for r in got.collect()} == {1: (2.0, 2), 2: (5.0, 1)}
+
+
+def test_open_passes_are_told_apart(spark, folder):
+    static = spark.read.parquet(folder)
+    stream = composites.read_stream(spark, folder, static.schema, per_trigger=2)
+    closed = composites.run_to_table(composites.detect_passes(stream, "9 hours"), "p", "append")
+    every = composites.passes_with_open(closed, static, "9 hours")
+    assert {r.closed for r in every.collect()} == {True, False}
+    same(every.drop("closed"), composites.detect_passes(static, "9 hours"))
 
 
 def test_range_filter_in_composite(spark, folder):
@@ -83,6 +102,19 @@ def test_supersede_is_idempotent_and_keeps_the_best(spark):
     table.merge(second, 1)
     table.merge(second, 1)  # a repeated batch after a failure
     table.merge(batch([(d1, 0, 0, "NR", 5.0)]), 2)  # a late near-real-time row changes nothing
+    table.merge(batch([(d2, 0, 0, "NR", 4.0), (d2, 1, 1, "ST", 7.0)]), 0, "another checkpoint")  # numbers start again
     got = {(str(r.obs_date), r.x): (r.timeliness, r.v) for r in table.read().collect()}
     assert got == {("2024-01-01", 0): ("NT", 10.0), ("2024-01-01", 1): ("NR", 2.0), ("2024-01-01", 2): ("NT", 30.0),
-                   ("2024-01-02", 0): ("NR", 3.0)}
+                   ("2024-01-02", 0): ("NR", 3.0), ("2024-01-02", 1): ("ST", 7.0)}
+
+
+def test_a_new_checkpoint_keeps_what_is_stored(spark, tmp_path):
+    from datetime import date
+    schema = "obs_date date, y int, x int, timeliness string, v double"
+    table = SupersedeTable(spark, str(tmp_path / "table"))
+    for n, rows in enumerate(([(date(2024, 1, 1), 0, 0, "NT", 1.0)], [(date(2024, 1, 1), 1, 1, "NR", 2.0)])):
+        path = str(tmp_path / f"in{n}")
+        df = spark.createDataFrame(rows, schema)
+        df.write.parquet(path)
+        out = table.run(composites.read_stream(spark, path, df.schema), str(tmp_path / f"check{n}"))
+    assert {(r.y, r.v) for r in out.collect()} == {(0, 1.0), (1, 2.0)}
