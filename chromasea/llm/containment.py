@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chromasea.llm.shared import broadcast_rows, materialise
+from chromasea.llm.shared import broadcast_rows, materialise, unused
 
 WIDTH = 5
 CONTAINMENT = 0.8
@@ -117,6 +117,7 @@ def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAIN
 
 def without_contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """Documents that hold no benchmark item, with all their columns; null and empty texts stay."""
-    found = materialise(contained(docs, items, containment).select("_text").distinct(), "contained")
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    return keyed.join(broadcast_rows(found, 5 * BROADCAST_ROWS), "_text", "left_anti").drop("_text")
+    key = unused(docs, "_text")
+    found = materialise(contained(docs, items, containment).select(F.col("_text").alias(key)).distinct(), "contained")
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    return keyed.join(broadcast_rows(found, 5 * BROADCAST_ROWS), key, "left_anti").drop(key)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chromasea.llm.graph import components
-from chromasea.llm.shared import broadcast_rows, materialise
+from chromasea.llm.shared import broadcast_rows, materialise, unused
 
 WIDTH = 5
 SEEDS = 2
@@ -401,8 +401,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    kept = similar_components(docs.select("doc_id", "text")).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    key, row = unused(docs, "_kept"), unused(docs, "_row")
+    kept = similar_components(docs.select("doc_id", "text")).where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
     own = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
     named = docs.where(F.col("doc_id").isNotNull())
-    chosen = named.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").withColumn("_row", F.row_number().over(own)).where("_row = 1").drop("_row")
+    chosen = named.join(kept, F.col("doc_id") == F.col(key), "left_semi").withColumn(row, F.row_number().over(own)).where(F.col(row) == 1).drop(row)
     return chosen.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -72,6 +72,14 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it as needed to differ from all columns of df."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def broadcast_rows(df: DataFrame, limit: int) -> DataFrame:
     """A broadcast hint for a side of at most `limit` rows, as counted; beyond it Spark joins by shuffle."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

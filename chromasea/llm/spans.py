@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chromasea.llm.shared import materialise
+from chromasea.llm.shared import materialise, unused
 
 RUN_SENTENCES = 3
 RUN_WORDS = 20
@@ -129,17 +129,17 @@ def remove_repeated(docs: DataFrame, report: bool = False) -> DataFrame:
     Rows that share an id count as one document given twice: both keep the same sentences. With
     `report`, columns n_sentences and n_removed are added.
     """
-    names = docs.columns
-    keyed = docs.where(F.col("doc_id").isNotNull()).alias("d")
-    hits = repeated_runs(docs).select(F.col("doc_id").alias("_key"), "_hashes")
-    joined = keyed.join(hits, F.col("d.doc_id") == F.col("_key"), "left").select("d.*", "_hashes")
-    rest = docs.where(F.col("doc_id").isNull()).withColumn("_hashes", F.lit(None).cast("array<bigint>"))
+    names, key, found = docs.columns, unused(docs, "_key"), unused(docs, "_hashes")
+    keyed = docs.where(F.col("doc_id").isNotNull())
+    hits = repeated_runs(docs).select(F.col("doc_id").alias(key), F.col("_hashes").alias(found))
+    joined = keyed.join(hits, F.col("doc_id") == F.col(key), "left").select(*names, found)
+    rest = docs.where(F.col("doc_id").isNull()).withColumn(found, F.lit(None).cast("array<bigint>"))
     rows = joined.unionByName(rest)
 
     def rewrite(batches):
         for batch in batches:
             texts, sums, gone = [], [], []
-            for text, hashes in zip(batch.column("text"), batch.column("_hashes")):
+            for text, hashes in zip(batch.column("text"), batch.column(found)):
                 text, n, k = cut_text(text.as_py(), hashes.values.to_numpy() if hashes.is_valid else None)
                 texts.append(text)
                 sums.append(n)
