@@ -4,7 +4,9 @@ Every run of at least RUN_SENTENCES sentences and RUN_WORDS words is hashed, one
 sentence on. Hashes are joined over all documents; the sentences under a run that an earlier
 document, or the same one further up, has too are removed. A run lies inside any repeated passage
 of whole sentences that is a little longer than RUN_WORDS, while a single common line or a
-few common words aren't a run.
+few common words aren't a run. Long sentences are cut where their words say so, not by number: any
+passage of RUN_WORDS + 3 * PART_WORDS words has a run of its own, wherever it stands in its sentences,
+and what stays of it is less than two parts at either end.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +23,7 @@ from chromasea.llm.shared import materialise, unused
 
 RUN_SENTENCES = 3
 RUN_WORDS = 20
-# A longer sentence is cut every so many words from its start, as if each part were a sentence.
+# A longer sentence is cut into parts of at most so many words, as if each part were a sentence.
 PART_WORDS = 10
 
 _END = re.compile(r"[.!?。！？]+[\"')\]»”]*\s+|\s*\n\s*")
@@ -29,6 +32,31 @@ _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 
 
+def part_starts(longer: list[list[bytes]]) -> list[list[int]]:
+    """For each of the sentences, all of more than PART_WORDS words: the numbers of the words at which its parts begin.
+
+    The word of smallest hash in each stretch of PART_WORDS words begins a part, of equal ones the last. So no
+    part is longer than that, and all cuts from the first to the last that a passage's own stretches
+    make are the same whatever words stand around it.
+    """
+    from xxhash import xxh64_intdigest
+
+    if not longer:
+        return []
+    sizes = np.array([len(words) for words in longer])
+    firsts = np.cumsum(sizes) - sizes
+    values = np.fromiter((xxh64_intdigest(w) for words in longer for w in words), np.uint64, int(sizes.sum()))
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    lowest = np.arange(PART_WORDS - 1, len(values)) - sliding_window_view(values, PART_WORDS)[:, ::-1].argmin(1)
+    chosen = np.zeros(len(values), bool)
+    chosen[lowest[owner[: 1 - PART_WORDS] == owner[PART_WORDS - 1 :]]] = True
+    chosen[firsts] = True
+    cuts = np.flatnonzero(chosen)
+    bounds = [*np.searchsorted(cuts, firsts).tolist(), len(cuts)]
+    numbers = (cuts - firsts[owner[cuts]]).tolist()
+    return [numbers[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
 def sentences(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts (characters), word counts and hashes of the sentences; a sentence reaches to the next start.
 
@@ -37,25 +65,29 @@ def sentences(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     from xxhash import xxh64_intdigest
 
-    starts, counts, hashes = [], [], []
+    units = []
     begin, ends = 0, [m.end() for m in _END.finditer(text)]
     if not ends or ends[-1] != len(text):
         ends.append(len(text))
     for end in ends:
         unit = text[begin:end]
         words = unit.encode().lower().split()
+        if words:
+            units.append((begin, unit, words))
+        begin = end
+    parts = iter(part_starts([words for _, _, words in units if len(words) > PART_WORDS]))
+    starts, counts, hashes = [], [], []
+    for begin, unit, words in units:
         if len(words) > PART_WORDS:
-            places = [m.start() for m in _WORD.finditer(unit)]
-            for i in range(0, len(words), PART_WORDS):
+            places, firsts = [m.start() for m in _WORD.finditer(unit)], next(parts)
+            for i, j in zip(firsts, [*firsts[1:], len(words)]):
                 starts.append(begin + (places[i] if i else 0))
-                part = words[i : i + PART_WORDS]
-                counts.append(len(part))
-                hashes.append(xxh64_intdigest(b" ".join(part)))
-        elif words:
+                counts.append(j - i)
+                hashes.append(xxh64_intdigest(b" ".join(words[i:j])))
+        else:
             starts.append(begin)
             counts.append(len(words))
             hashes.append(xxh64_intdigest(b" ".join(words)))
-        begin = end
     if starts:
         starts[0] = 0
     return np.array(starts, np.int64), np.array(counts, np.int64), np.array(hashes, np.uint64)

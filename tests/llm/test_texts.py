@@ -282,6 +282,37 @@ def test_spans_against_every_run(spark):
     assert got == {k: len(v) for k, v in hits.items()} and got
 
 
+def test_passages_at_any_offset_in_a_sentence(spark):
+    """50 words without a sentence end, behind any number of words: found as by windows of raw words."""
+    passage = [f"q{i * i % 83}r{i % 7}" for i in range(50)]
+    docs = [(k, " ".join([f"a{k}x{i}" for i in range(k)] + passage + [f"b{k}x{i}" for i in range(3 * k % 17)])) for k in range(21)]
+    docs += [(30 + k, " ".join([*prose(30 + k, 2), f"c{k}", *["d"] * k, *passage, f"e{k}.", *prose(60 + k, 2)])) for k in range(3)]
+    seen, expected = set(), {}
+    for key, text in docs:
+        w = split(text)
+        windows = {tuple(w[i : i + 50]) for i in range(len(w) - 49)}
+        expected[key], seen = bool(windows & seen), seen | windows
+    got = {r.doc_id: r for r in spans.remove_repeated(frame(spark, docs), report=True).collect()}
+    assert {k: r.n_removed > 0 for k, r in got.items()} == expected and sum(expected.values()) == len(docs) - 1
+    for key, text in docs[1:]:
+        kept = split(got[key].text)
+        # Everything around stays, and of the passage less than two parts at either end.
+        assert [x for x in split(text) if x not in passage] == [x for x in kept if x not in passage]
+        assert sum(x in passage for x in kept) < 4 * spans.PART_WORDS
+        assert sum(x in passage for x in kept) <= 50 - spans.RUN_WORDS
+
+
+def test_every_passage_of_fifty_words_has_a_common_run():
+    r = random.Random(4)
+    for n in range(300):
+        passage = [f"v{r.randrange(30 if n % 2 else 3000)}" + r.choice(["", "", "", "", ".", "\n"] if n % 3 == 0 else [""]) for _ in range(50)]
+        found = []
+        for side in "ab":
+            text = " ".join([f"{side}{i}" for i in range(r.randrange(25))] + passage + [f"z{side}{i}" for i in range(r.randrange(25))])
+            found.append(set(spans.runs(*spans.sentences(text)[1:])[1].tolist()))
+        assert found[0] & found[1], passage
+
+
 def test_spans_of_nothing(spark):
     assert spans.remove_repeated(frame(spark, [])).count() == 0
 
