@@ -145,3 +145,70 @@ def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chromasea.llm.lmscore import score
 
     return score(table(spark, sf_dir, "documents"), (tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
+def _kmeans_sql(k: int = 8, rounds: int = 10) -> str:
+    """Assignment and means by turns, a pair of CTEs a round."""
+    distance = "list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+    steps = [
+        """WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+               WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)""",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS n, x FROM v ORDER BY sha256('3:' || vec_id) LIMIT {k})",
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"a{r} AS MATERIALIZED (SELECT v.vec_id, v.x, min(({distance}, c.n)) AS best FROM v, c{r} c GROUP BY ALL)"
+        )
+        if r < rounds:
+            steps.append(
+                f"c{r + 1} AS MATERIALIZED (SELECT c.n, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (SELECT n, list(floored ORDER BY i) AS x FROM "
+                f"(SELECT n, i, (s - ((s % q) + q) % q) // q AS floored FROM (SELECT best[2] AS n, i, sum(x[i])::BIGINT AS s, count(*) AS q "
+                f"FROM a{r}, range(1, 65) d(i) GROUP BY ALL)) GROUP BY n) m USING (n))"
+            )
+    return ", ".join(steps) + f"""
+        SELECT vec_id, best[2]::INTEGER AS cluster, best[1]::BIGINT AS distance, (sum(best[1]) OVER (PARTITION BY best[2]))::BIGINT AS cluster_inertia,
+               (sum(best[1]) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c ON c.n = a.best[2]"""
+
+
+@query("op11_threshold_centroids", _kmeans_sql())
+def op11_threshold_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector after ten rounds of means."""
+    from chromasea.llm.centroids import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_main_text")
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from chromasea.llm.maintext import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)), lambda a, b:
+    list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+@query("op13_prefix_trie", f"""
+    WITH t AS (SELECT conv_id AS c, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS u,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, ''))) AS i
+               FROM conversations WHERE conv_id IS NOT NULL),
+    o AS (SELECT c, list(u ORDER BY i) AS own, ({_CRC32} % 9)::BIGINT AS h FROM t GROUP BY c),
+    s AS (SELECT a.c, list_concat(coalesce(b.own, [])[1:a.h], a.own[a.h + 1:]) AS turns FROM o a LEFT JOIN o b ON b.c = a.c - a.c % 5),
+    m AS MATERIALIZED (SELECT c, d, sha256(turns[1:d]::JSON::VARCHAR) AS node, CASE WHEN d > 0 THEN sha256(turns[1:d - 1]::JSON::VARCHAR) END AS parent,
+                 CASE WHEN d > 0 THEN strlen(turns[d].t) ELSE 0 END AS bytes, len(turns) = d AS ends FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM s)),
+    n AS MATERIALIZED (SELECT node, parent, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS own,
+                 sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY ALL),
+    k AS MATERIALIZED (SELECT parent, count(*) AS n_children FROM n GROUP BY parent),
+    p AS (SELECT DISTINCT a.node, a.d, b.node AS below, b.d AS below_d FROM m a JOIN m b ON a.c = b.c AND b.d >= a.d),
+    g AS (SELECT p.node, p.d, count(*) FILTER (k.parent IS NULL) AS n_leaves, sum(n.own)::BIGINT AS saved_tokens
+          FROM p JOIN n ON n.node = p.below AND n.d = p.below_d LEFT JOIN k ON k.parent = n.node GROUP BY ALL)
+    SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, g.n_leaves, g.saved_tokens, n.ends_sha256
+    FROM n JOIN g USING (node, d) LEFT JOIN k ON k.parent = n.node LEFT JOIN n u ON u.node = n.parent""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    from chromasea.llm.prefixtrie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
