@@ -2,111 +2,113 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chromasea.functions.weights import full_weight, spatial_weight, temporal_weight
-from chromasea.operators.neighbours import RING, day_window, neighbours_in_tiles
+from chromasea.functions.weights import SPATIAL_WEIGHTS, full_weight
+from chromasea.operators.neighbours import RING, deal_to_tiles, tile_side
 
 STATS = ("w_avg", "n_avg", "diff_n_w", "n_std", "w_std", "sum_w", "porc_w", "median", "min", "max", "nofobs")
+# Values of one step of a tile's work, about.
+STEP_VALUES = 1_500_000
 
 
 def climatology(daily: DataFrame, col: str, ny: int, nx: int, window: int = 11, log: bool = False,
                 years: tuple[int, int] | None = None, use_weights: bool = True) -> DataFrame:
     """R-09. Eleven statistics per month-day and cell over a moving window of days and neighbours.
 
-    `daily` holds at most one value per day and cell, as composites do. Without
-    `years` the range is that of the data (a one-row look-up while planning).
+    `daily` holds at most one value per day and cell, as composites do. Without `years` the range is that of
+    the data (a subquery of the plan). Standard deviations of equal values are 0; `w_std` of one value is null.
 
-    One shuffle, of the values and copies of the tiles' rims: the nine spatial
-    copies are made behind it, and the aggregations that follow keep its
-    partitioning. They fold the neighbours of a day, then the years of a
-    month-day, and only what is left is multiplied by the window of days. A cell
-    keeps at most 9 values per day, hence the value lists for the exact median are
-    bounded by 9 x window x years whatever the size of the archive.
+    One shuffle, of the values and copies of the tiles' rims, to the tile of their cell. A task lays the days of a tile
+    out as a grid (cells by days, as large as a tile of the archive is) and slices the windows of all years and neighbours
+    from it, some month-days at a time: nothing is copied to its 99 targets as a row, and no list of values is
+    aggregated, since order statistics are read off the sorted slices.
     """
     half = window // 2
-    value = F.log10(F.when(F.col(col) > 0, F.col(col))) if log else F.col(col)
-    source = daily.select("obs_date", "y", "x", value.alias("_v")).where(F.col("_v").isNotNull())
-    w = spatial_weight(F.col("dy"), F.col("dx")) if use_weights else F.lit(1.0)
-    v = F.col("_v")
-    per_day = (
-        neighbours_in_tiles(source, ny, nx)
-        .groupBy("_ty", "_tx", "y", "x", "obs_date")
-        .agg(
-            F.sum(w).alias("_w"), F.sum(w * v).alias("_wx"), F.sum(w * v * v).alias("_wxx"),
-            F.sum(v).alias("_x"), F.sum(v * v).alias("_xx"),
-            *[F.max(F.when((F.col("dy") == dy) & (F.col("dx") == dx), F.struct(v.alias("v"), w.alias("w")))).alias(f"_n{i}")
-              for i, (dy, dx) in enumerate(RING)],
-        )
-        .withColumn("_values", F.array_compact(F.array(*[F.col(f"_n{i}") for i in range(len(RING))])))
-        .drop(*[f"_n{i}" for i in range(len(RING))])
-    )
+    value = F.log10(F.when(F.col(col) > 0, F.col(col))) if log else F.col(col).cast("double")
+    source = daily.select(F.col("obs_date").cast("date").alias("obs_date"), "y", "x", value.alias("_v")).where(F.col("_v").isNotNull())
     if years is None:
-        bounds = source.agg(F.min(F.year("obs_date")), F.max(F.year("obs_date"))).first()
-        years = (bounds[0] or 0, bounds[1] or 0)
-    windowed = day_window(_fold_years(per_day, half, years), half, cell=None).where(F.year("target_date").between(*years))
-    t = temporal_weight(F.col("offset"), half) if use_weights else F.lit(1.0)
-    sums = windowed.groupBy("_ty", "_tx", "y", "x", "mmdd").agg(
-        F.sum(t * F.col("_w")).alias("sum_w"), F.sum(t * F.col("_wx")).alias("_wx"),
-        F.sum(t * F.col("_wxx")).alias("_wxx"), F.sum("_x").alias("_x"), F.sum("_xx").alias("_xx"),
-        F.collect_list(F.struct(t.alias("t"), F.col("_values").alias("p"))).alias("_weighted"),
-    ).withColumn("_values", F.sort_array(F.flatten(F.transform("_weighted", lambda e: e["p"]["v"]))))
-    return _statistics(sums, half, years[1] - years[0] + 1, use_weights)
-
-
-def _fold_years(per_day: DataFrame, half: int, years: tuple[int, int]) -> DataFrame:
-    """Fold the days of all years that reach the same month-days, under one representative date.
-
-    The month-days a day reaches depend on its own month-day alone, unless its
-    window holds 29 February (then leap years are kept apart) or leaves the range
-    of years (then the year is kept).
-    """
-    day, year = F.col("obs_date"), F.year("obs_date")
-    first, last = F.make_date(F.lit(years[0]), F.lit(1), F.lit(1)), F.make_date(F.lit(years[1]), F.lit(12), F.lit(31))
-    leap = F.dayofyear(F.make_date(year, F.lit(12), F.lit(31))) == 366
-    near_leap_day = F.dayofyear(day).between(60 - half, 60 + half)
-    at_edge = (F.date_sub(day, half) < first) | (F.date_add(day, half) > last)
-    return (
-        per_day.where(day.between(F.date_sub(first, half), F.date_add(last, half)))
-        .groupBy("_ty", "_tx", "y", "x", F.date_format(day, "MMdd").alias("_md"), (leap & near_leap_day).alias("_leap"),
-                 F.when(at_edge, year).otherwise(0).alias("_edge"))
-        .agg(F.min(day).alias("obs_date"), *[F.sum(c).alias(c) for c in ("_w", "_wx", "_wxx", "_x", "_xx")],
-             F.flatten(F.collect_list("_values")).alias("_values"))
-        .drop("_md", "_leap", "_edge")
-    )
-
-
-def _statistics(sums: DataFrame, half: int, n_years: int, use_weights: bool) -> DataFrame:
-    values, n = F.col("_values"), F.col("nofobs")
-    step = sums.withColumn("nofobs", F.size(values).cast("bigint"))
-    step = step.withColumns({
-        "n_avg": F.col("_x") / n,
-        "w_avg": F.col("_wx") / F.col("sum_w"),
-        "min": F.element_at(values, 1), "max": F.element_at(values, -1),
-        "median": (
-            F.get(values, F.floor((n - 1) / 2).cast("int")) + F.get(values, F.floor(n / 2).cast("int"))
-        ) / 2,
-    })
-    mean = F.col("n_avg")
-    quick = F.col("_xx") / n - mean * mean
-    exact = F.aggregate(values, F.lit(0.0), lambda s, e: s + (e - mean) * (e - mean)) / n
-    # sums lose digits where the values hardly differ; only there the values are visited again
-    variance = F.when(quick > mean * mean * 1e-6, quick).otherwise(exact)
-    centre = F.col("w_avg")
-    quick_spread = F.col("_wxx") - F.col("_wx") * centre
-    exact_spread = F.aggregate(
-        "_weighted", F.lit(0.0),
-        lambda s, e: s + e["t"] * F.aggregate(e["p"], F.lit(0.0), lambda r, p: r + p["w"] * (p["v"] - centre) * (p["v"] - centre)),
-    )
-    spread = F.when(quick_spread > F.col("sum_w") * centre * centre * 1e-6, quick_spread).otherwise(exact_spread)
-    per_year = full_weight(half) if use_weights else 9.0 * (2 * half + 1)
-    return step.withColumns({
-        "n_std": F.sqrt(variance),
-        "w_std": F.sqrt(F.try_divide(spread, (n - 1) / n * F.col("sum_w"))),
-        "porc_w": F.lit(100.0) * F.col("sum_w") / (F.lit(per_year * n_years)),
-        "diff_n_w": F.abs(F.col("n_avg") - F.col("w_avg")),
-    }).select("mmdd", "y", "x", *STATS)
+        bounds = source.agg(F.struct(F.min(F.year("obs_date")).alias("first"), F.max(F.year("obs_date")).alias("last"))).scalar()
+    else:
+        bounds = F.struct(F.lit(years[0]).alias("first"), F.lit(years[1]).alias("last"))
+    side = tile_side(ny, nx)
+    # The number is given because small tables would else come to a single task, however much work a tile is.
+    tasks = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = deal_to_tiles(source, ny, nx).withColumns({"_first": bounds["first"], "_last": bounds["last"]}).repartition(tasks, "_ty", "_tx")
+    schema = "mmdd string, y int, x int, " + ", ".join(f"{c} {'bigint' if c == 'nofobs' else 'double'}" for c in STATS)
+
+    def statistics(key: tuple, rows: pa.Table) -> pa.Table:
+        top, left = int(key[0].as_py()) * side, int(key[1].as_py()) * side
+        shape = (min(side, ny - top), min(side, nx - left))
+        first, last = rows.column("_first")[0].as_py(), rows.column("_last")[0].as_py()
+        names, targets = _month_days(first, last)
+        start = targets.min() - half
+        grid = np.full((shape[0] + 2, shape[1] + 2, targets.max() + half + 1 - start), np.nan)
+        day, y, x, v = (rows.column(c).to_numpy() for c in ("_day", "y", "x", "_v"))
+        inside = (day >= start) & (day - start < grid.shape[2])
+        grid[y[inside] - top + 1, x[inside] - left + 1, day[inside] - start] = v[inside]
+        weights = _weights(half, len(targets[0]), use_weights)
+        step = max(1, STEP_VALUES // (shape[0] * shape[1] * len(weights)))
+        parts = [_slices(grid, names[i:i + step], targets[i:i + step] - start, half, weights, top, left) for i in range(0, len(names), step)]
+        per_year = full_weight(half) if use_weights else 9.0 * (2 * half + 1)
+        columns = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+        columns["porc_w"] = 100.0 * columns["sum_w"] / (per_year * (last - first + 1))
+        return pa.table({c: pa.array(columns[c], from_pandas=True) for c in ("mmdd", "y", "x", *STATS)})
+
+    return tiles.withColumn("_day", F.unix_date("obs_date")).drop("obs_date").groupBy("_ty", "_tx").applyInArrow(statistics, schema)
+
+
+def _month_days(first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the 365 month-days and their day numbers in every year (month-day, year)."""
+    days = np.arange(np.datetime64(f"{first}-01-01"), np.datetime64(f"{last + 1}-01-01"))
+    names = np.array([f"{d[5:7]}{d[8:]}" for d in days.astype(str)])
+    days = days.astype(np.int64)[names != "0229"].reshape(-1, 365)
+    return names[names != "0229"][:365], days.T
+
+
+def _weights(half: int, n_years: int, use_weights: bool) -> np.ndarray:
+    """Weights of a slice: neighbours, then years, then days."""
+    if not use_weights:
+        return np.ones(len(RING) * n_years * (2 * half + 1))
+    triangle = (half + 1 - np.abs(np.arange(-half, half + 1))) / (half + 1)
+    near = [SPATIAL_WEIGHTS[abs(dy) + abs(dx)] for dy, dx in RING]
+    return np.concatenate([np.tile(w * triangle, n_years) for w in near])
+
+
+def _slices(grid: np.ndarray, names: np.ndarray, targets: np.ndarray, half: int, weights: np.ndarray, top: int, left: int) -> dict:
+    """Statistics of the month-days of `targets` in all cells of a tile that have a value."""
+    h, w = grid.shape[0] - 2, grid.shape[1] - 2
+    days = (targets[:, :, None] + np.arange(-half, half + 1)).reshape(len(targets), -1)
+    near = grid[:, :, days]
+    values = np.stack([near[1 + dy:1 + dy + h, 1 + dx:1 + dx + w] for dy, dx in RING], axis=3).reshape(h, w, len(names), -1)
+    n = np.count_nonzero(~np.isnan(values), axis=-1)
+    y, x, at = np.nonzero(n)
+    values, n = values[y, x, at], n[y, x, at]
+    absent = np.isnan(values)
+
+    def total(a: np.ndarray) -> np.ndarray:
+        return np.where(absent, 0.0, a).sum(axis=1)
+
+    def weighted(a: np.ndarray) -> np.ndarray:
+        return np.where(absent, 0.0, a) @ weights
+
+    ordered = np.sort(values, axis=1)
+    row = np.arange(len(n))
+    least, most = ordered[:, 0] if len(n) else np.empty(0), ordered[row, n - 1]
+    same = least == most
+    mean = np.where(same, least, total(values) / n)
+    sum_w = weighted(np.ones_like(values))
+    centre = np.where(same, least, weighted(values) / sum_w)
+    spread = weighted((values - centre[:, None]) ** 2)
+    share = np.where(n > 1, (n - 1) / n, np.nan)
+    return {
+        "mmdd": names[at], "y": (y + top).astype(np.int32), "x": (x + left).astype(np.int32), "w_avg": centre, "n_avg": mean,
+        "diff_n_w": np.abs(mean - centre), "n_std": np.sqrt(total((values - mean[:, None]) ** 2) / n), "w_std": np.sqrt(spread / (share * sum_w)),
+        "sum_w": sum_w, "median": (ordered[row, (n - 1) // 2] + ordered[row, n // 2]) / 2, "min": least, "max": most, "nofobs": n.astype(np.int64),
+    }
 
 
 def clim_key(date: Column) -> Column:

@@ -310,25 +310,38 @@ def _(spark, sf):
     return shifted.select("l_orderkey", "l_linenumber", "s520", "s560", "s620", "s665")
 
 
-_KNOTS = "(select 400e0 + 6e0 * p_size as wl, avg(p_retailprice) as v from part group by 1)"
+# A knot for every part, at places of their own and some at one place.
+_KNOTS = "(select 400e0 + (p_partkey * 7919 % 20011) / 64e0 as wl, max(p_retailprice) as v from part group by 1)"
 
 
 @query("a12_coefficient", f"""
     with k as (select wl, v, lead(wl) over (order by wl) as wl1, lead(v) over (order by wl) as v1 from {_KNOTS} as t),
       e as (select min(wl) as lo, max(wl) as hi, arg_min(v, wl) as vlo, arg_max(v, wl) as vhi from {_KNOTS} as t),
-      p as (select l_orderkey, l_linenumber, 380e0 + l_quantity * 7.3e0 as w from lineitem)
+      p as (select l_orderkey, l_linenumber, 380e0 + l_quantity * 7.3e0 + l_suppkey / 7e0 as w from lineitem)
     select l_orderkey, l_linenumber, w, case when w <= lo then vlo when w >= hi then vhi
       else v + (v1 - v) * (w - wl) / (wl1 - wl) end as coefficient
-    from p cross join e left join k on p.w > lo and p.w < hi and p.w >= k.wl and p.w < k.wl1
+    from p cross join e asof left join k on p.w >= k.wl
 """, 6, ("w", "coefficient"))
 def _(spark, sf):
-    knots = table(spark, sf, "part").groupBy((F.lit(400.0) + F.col("p_size") * 6.0).alias("wl")).agg(
-        F.avg("p_retailprice").alias("v"))
+    place = F.lit(400.0) + (F.col("p_partkey") * 7919 % 20011) / 64.0
+    knots = table(spark, sf, "part").groupBy(place.alias("wl")).agg(F.max("p_retailprice").alias("v"))
     points = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", (F.lit(380.0) + F.col("l_quantity") * 7.3).alias("w"))
+        "l_orderkey", "l_linenumber", (F.lit(380.0) + F.col("l_quantity") * 7.3 + F.col("l_suppkey") / 7.0).alias("w"))
     return coefficients.interpolate_table(points, knots, "w", "wl", "v", "coefficient")
 
 
+@query("f06_band_table", """
+    with b as (select p_partkey as position, 400e0 + (p_partkey * 7919 % 20011) / 64e0 as band from part),
+      p as (select distinct 380e0 + l_quantity * 7e0 as w from lineitem),
+      n as (select w, arg_min(band, position) as band from p join b on abs(b.band - p.w) < 0.5 group by 1)
+    select l_orderkey, l_linenumber, n.band from lineitem left join n on n.w = 380e0 + l_quantity * 7e0
+""", 6, ("band",))
+def _(spark, sf):
+    bands = table(spark, sf, "part").select(F.col("p_partkey").alias("position"), (F.lit(400.0) + (F.col("p_partkey") * 7919 % 20011) / 64.0).alias("band"))
+    points = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.lit(380.0) + F.col("l_quantity") * 7.0).alias("w"))
+    return coefficients.nearest_in_table(points, bands, "w", "position", "band", "band", 0.5).drop("w")
+
+
 # --- chains ---
 _REFLECTANCE = ", ".join(
     f"case when v_{b} between {lo} and {hi} then v_{b} end as {b}" for b, (lo, hi) in LIMITS.items())
@@ -394,7 +407,7 @@ _CHAIN = f"""
 
 
 @query("a14_plankton_chain", f"""
-    select p.*, (log10(case when p.chl > 0 then p.chl end) - c.median) / (case when c.n_std > 1e-9 then c.n_std end) as qi_chl
+    select p.*, (log10(case when p.chl > 0 then p.chl end) - c.median) / nullif(c.n_std, 0) as qi_chl
     from ({sql_plankton(_CHAIN, 'obs_date, y, x, chl')}) as p
     left join ({clim_sql('log10(chl)')}) as c
       on c.mmdd = {_DAY.replace('d.obs_date', 'p.obs_date')} and c.y = p.y and c.x = p.x
@@ -408,7 +421,7 @@ def _(spark, sf):
 
 @query("plan_archive_quality", f"""
     select d.obs_date, d.y, d.x, d.chl,
-      (log10(case when chl > 0 then chl end) - c.median) / (case when c.n_std > 1e-9 then c.n_std end) as qi_chl
+      (log10(case when chl > 0 then chl end) - c.median) / nullif(c.n_std, 0) as qi_chl
     from daily as d left join ({clim_sql('log10(chl)')}) as c on c.mmdd = {_DAY} and c.y = d.y and c.x = d.x
 """, 6, ("chl", "qi_chl"))
 def _(spark, sf):

@@ -50,7 +50,7 @@ def _(spark, sf):
 
 @query("a13_quality_index", f"""
     select d.obs_date, d.y, d.x, d.chl,
-      (log10(case when chl > 0 then chl end) - c.median) / (case when c.n_std > 1e-9 then c.n_std end) as qi
+      (log10(case when chl > 0 then chl end) - c.median) / nullif(c.n_std, 0) as qi
     from daily as d left join ({_CLIM}) as c on c.mmdd = {_DAY} and c.y = d.y and c.x = d.x
 """, 6, ("chl", "qi"))
 def _(spark, sf):

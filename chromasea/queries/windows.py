@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chromasea.functions.weights import spatial_weight, temporal_weight
+from chromasea.functions.weights import spatial_weight
 from chromasea.operators import climatology, neighbours
 from chromasea.queries.base import query, view
 from chromasea.sources import catalogue
 
 SIDE = 20
-# The years of the archive that the fixture stands for.
-YEARS = (1995, 2001)
 
 
 @query("w01_index_granules", """
@@ -51,9 +49,17 @@ def _(spark, sf):
     from ({_SHIFTED}) as s where chl is not null group by 1, 2, 3
 """, 7, ("swx", "sw"))
 def _(spark, sf):
-    d = neighbours.day_window(view(spark, sf, "daily").where(F.col("chl").isNotNull()))
-    w = temporal_weight(F.col("offset"), 5)
-    return d.groupBy("mmdd", "y", "x").agg(F.sum(F.col("chl") * w).alias("swx"), F.sum(w).alias("sw"))
+    sums = neighbours.moving_sums(view(spark, sf, "daily"), "chl")
+    return sums.groupBy("mmdd", "y", "x").agg(F.sum("w_sum").alias("swx"), F.sum("w").alias("sw"))
+
+
+@query("w02_moving_sums", f"""
+    select cast(target_date as date) as target_date, y, x, count(chl) as n, sum(chl) as sum, cast(sum(off) as bigint) as offsets,
+      sum(chl * (6 - abs(off)) / 6e0) as w_sum
+    from ({_SHIFTED}) as s where chl is not null group by 1, 2, 3
+""", 7, ("sum", "w_sum"))
+def _(spark, sf):
+    return neighbours.moving_sums(view(spark, sf, "daily"), "chl").select("target_date", "y", "x", "n", "sum", "offsets", "w_sum")
 
 
 @query("w04_best_timeliness", """
@@ -107,13 +113,13 @@ def clim_sql(value: str) -> str:
         from daily cross join range(-5, 6) as r(k) cross join range(-1, 2) as p(a) cross join range(-1, 2) as q(b)
         where chl > 0) as e
       where ty between 0 and {SIDE - 1} and tx between 0 and {SIDE - 1} and strftime(t, '%m%d') <> '0229'
-        and year(t) between {YEARS[0]} and {YEARS[1]}),
+        and year(t) between (select min(year(obs_date)) from daily where chl > 0) and (select max(year(obs_date)) from daily where chl > 0)),
     m as (select mmdd, y, x, sum(w * v) / sum(w) as mu from s group by 1, 2, 3)
     select s.mmdd, s.y, s.x, any_value(mu) as w_avg, avg(v) as n_avg, abs(avg(v) - any_value(mu)) as diff_n_w,
-      stddev_pop(v) as n_std,
+      case when min(v) = max(v) then 0e0 else stddev_pop(v) end as n_std,
       sqrt(sum(w * power(v - mu, 2)) / nullif((count(v) - 1) / cast(count(v) as double) * sum(w), 0)) as w_std,
       sum(w) as sum_w,
-      100e0 * sum(w) / (24 * {YEARS[1] - YEARS[0] + 1}) as porc_w,
+      100e0 * sum(w) / (24 * (select max(year(obs_date)) - min(year(obs_date)) + 1 from daily where chl > 0)) as porc_w,
       median(v) as median, min(v) as min, max(v) as max, count(v) as nofobs
     from s join m on s.mmdd = m.mmdd and s.y = m.y and s.x = m.x group by 1, 2, 3
     """
@@ -124,9 +130,9 @@ _STATS = ("w_avg", "n_avg", "diff_n_w", "n_std", "w_std", "sum_w", "porc_w", "me
 
 @query("r09_climatology", clim_sql("chl"), 7, _STATS)
 def _(spark, sf):
-    return climatology.climatology(view(spark, sf, "daily"), "chl", SIDE, SIDE, years=YEARS)
+    return climatology.climatology(view(spark, sf, "daily"), "chl", SIDE, SIDE)
 
 
 @query("r09_climatology_log", clim_sql("log10(chl)"), 7, _STATS)
 def _(spark, sf):
-    return climatology.climatology(view(spark, sf, "daily"), "chl", SIDE, SIDE, log=True, years=YEARS)
+    return climatology.climatology(view(spark, sf, "daily"), "chl", SIDE, SIDE, log=True)

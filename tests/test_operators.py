@@ -1,5 +1,6 @@
 """Operators against brute force, properties and edge rows."""
 
+import bisect
 import itertools
 import math
 import random
@@ -12,7 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from chromasea.functions import projection
-from chromasea.operators import climatology, composite, coefficients, grid, grouping, neighbours, overlap, quality, resample
+from chromasea.functions.weights import spatial_weight, temporal_weight
+from chromasea.operators import climatology, composite, coefficients, grid, grouping, neighbours, overlap, quality, ranges, resample
 from chromasea.operators.neighbours import smooth_3x3
 from chromasea.sources import catalogue
 
@@ -296,6 +298,50 @@ def test_deviations_of_values_that_hardly_differ(spark):
     assert row.w_std == pytest.approx(exact, rel=1e-6) and row.n_std == pytest.approx(np.std(values), rel=1e-6)
 
 
+def test_equal_values_have_no_deviation_and_years_follow_from_the_data(spark):
+    rows = [(date(y, 6, d), 0, x, 0.1) for y in (2001, 2003) for d in range(1, 12) for x in range(3)] + [(date(2001, 1, 3), 0, 0, 7.0), (date(2003, 12, 31), 1, 1, None)]
+    df = spark.createDataFrame(rows, "obs_date date, y int, x int, chl double")
+    derived, given = (climatology.climatology(df, "chl", 3, 3, years=y) for y in (None, (2001, 2003)))
+    order = ["mmdd", "y", "x"]
+    assert derived.orderBy(order).collect() == given.orderBy(order).collect()
+    same = derived.where("mmdd BETWEEN '0520' AND '0620'")
+    assert same.where("n_std <> 0 OR w_std <> 0 OR n_avg <> 0.1 OR w_avg <> 0.1").count() == 0 and same.where("w_std = 0").count() > 0
+    daily = spark.createDataFrame([(date(2002, 6, 5), 0, 0, 0.1)], df.schema)
+    assert climatology.quality_index(daily, derived, "chl", log=False).first().qi_chl is None
+    assert climatology.climatology(df.where("chl > 100"), "chl", 3, 3).collect() == []
+
+
+def test_moving_sums_are_those_of_the_copies(spark):
+    rng = random.Random(8)
+    days = [date(2019, 12, 25) + timedelta(days=i) for i in range(90)]
+    rows = [(d, y, 0, rng.choice([rng.random(), None])) for d in days for y in range(4) if rng.random() < (0.1, 0.4, 0.9, 1.0)[y]]
+    df = spark.createDataFrame(rows, "obs_date date, y int, x int, chl double")
+    w = temporal_weight(F.col("offset"), 5)
+    plain = neighbours.day_window(df.where("chl IS NOT NULL")).groupBy("y", "x", "target_date").agg(
+        F.count("chl").alias("n"), F.sum("chl").alias("sum"), F.sum("offset").alias("offsets"), F.sum(F.col("chl") * w).alias("w_sum"), F.sum(w).alias("w"))
+    expected = {(r.y, r.target_date): (r.n, r.offsets, r.sum, r.w_sum, r.w) for r in plain.collect()}
+    sums = neighbours.moving_sums(df, "chl")
+    assert sums._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = {(r.y, r.target_date): (r.n, r.offsets, r.sum, r.w_sum, r.w) for r in sums.collect()}
+    assert got.keys() == expected.keys() and sums.count() == len(got)
+    for key, values in expected.items():
+        assert got[key] == pytest.approx(values)
+
+
+def test_smoothing_by_axes_is_that_of_the_ring(spark):
+    rng = random.Random(9)
+    rows = [(D + timedelta(days=d), y, x, rng.choice([rng.random(), None])) for d in range(2) for y in range(30) for x in range(21) if rng.random() < 0.4]
+    df = spark.createDataFrame(rows, "obs_date date, y int, x int, chl double")
+    w = F.when(F.col("chl").isNotNull(), spatial_weight(F.col("dy"), F.col("dx")))
+    plain = neighbours.neighbours_3x3(df, 30, 21).groupBy("obs_date", "y", "x").agg(
+        F.avg("chl").alias("a"), (F.sum(F.col("chl") * w) / F.sum(w)).alias("b"), F.count("chl").alias("n")).where("n > 0")
+    expected = {tuple(r)[:3]: tuple(r)[3:] for r in plain.collect()}
+    smooth = neighbours.smooth_3x3(df, "chl", 30, 21)
+    assert smooth._jdf.queryExecution().executedPlan().toString().count("Generate explode([-1,0,1])") == 2
+    got = {(r.obs_date, r.y, r.x): (r.avg, r.weighted_avg, r.n) for r in smooth.collect()}
+    assert got.keys() == expected.keys() and all(got[k] == pytest.approx(expected[k]) for k in got)
+
+
 def test_copies_are_made_behind_the_exchange(spark):
     df = spark.createDataFrame([], "obs_date date, y int, x int, chl double")
     for out in (neighbours.smooth_3x3(df, "chl", 400, 400), climatology.climatology(df, "chl", 400, 400, years=(2000, 2001)),
@@ -332,8 +378,61 @@ def test_counters_without_water(spark):
 def test_interpolate_table_ends_and_knots(spark):
     table = spark.createDataFrame([(400.0, 1.0), (410.0, 3.0), (430.0, 5.0)], "wl double, v double")
     points = spark.createDataFrame([(v,) for v in (390.0, 400.0, 405.0, 410.0, 420.0, 430.0, 500.0)] + [(None,)], "w double")
-    got = [r.c for r in coefficients.interpolate_table(points, table, "w", "wl", "v", "c").collect()]
-    assert got == [1.0, 1.0, 2.0, 3.0, 4.0, 5.0, 5.0, None]
+    got = {r.w: r.c for r in coefficients.interpolate_table(points, table, "w", "wl", "v", "c").collect()}
+    assert got == {390.0: 1.0, 400.0: 1.0, 405.0: 2.0, 410.0: 3.0, 420.0: 4.0, 430.0: 5.0, 500.0: 5.0, None: None}
+
+
+@pytest.mark.parametrize("n", [1, 3, 40])
+def test_as_of_and_next_against_bisection(spark, n):
+    r = random.Random(n)
+    knots = [(r.choice([float(r.randrange(50)), r.random() * 50]), r.randrange(5)) for _ in range(120)] + [(None, 1), (float("nan"), 2)]
+    points = [(i, r.choice([float(r.randrange(-5, 56)), 17.0, r.random() * 60 - 5])) for i in range(600)] + [(900, None), (901, float("nan"))]
+    table, asked = spark.createDataFrame(knots, "x double, p int"), spark.createDataFrame(points, "i int, v double").repartition(5)
+    cut = ranges.Ranges.of(asked, "v", n)
+    known = sorted(k for k in knots if k[0] is not None and k[0] == k[0])
+    expected = {}
+    for i, v in points:
+        place = bisect.bisect_right([k[0] for k in known], v) if v is not None and v == v else 0
+        expected[i] = known[place - 1][1] if place else None
+    assert {r.i: r.p for r in ranges.as_of(asked, table, "v", "x", ["p"], cut).collect()} == expected
+    following = sorted((tuple(r) for r in ranges.with_next(table, "x", ("x", "p"), cut).collect()), key=lambda r: r[:2])
+    assert [r[:2] for r in following] == known and [r[2:] for r in following] == [*known[1:], (None, None)]
+
+
+def test_as_of_spreads_a_hot_value_and_shuffles_points_once(spark):
+    points = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 5.0).otherwise(F.col("id") / 300.0).alias("v"))
+    cut = ranges.Ranges.of(points, "v", 12)
+    assert max(cut.salts) >= 6 and cut.number_of(5.0) == points.where("v = 5").select(cut.number(F.col("v")).alias("r")).first().r
+    table = spark.createDataFrame([(float(x), x) for x in range(10)], "x double, p int")
+    found = ranges.as_of(points, table, "v", "x", ["p"], cut)
+    # Points take part in the exchange by range and salt alone; the others deal the table.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert sum("_salt" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line) == 1 and "CartesianProduct" not in plan
+    assert found.count() == 3000 and found.where("p <> floor(v)").count() == 0
+
+
+def test_band_table_by_brute_force(spark):
+    r = random.Random(4)
+    bands = [(i, r.randrange(4000, 4400) / 10) for i in r.sample(range(1000), 150)] + [(2000, None), (5, 400.5), (5, 400.5)]
+    points = [(i, r.randrange(3980, 4420) / 10) for i in range(400)] + [(500, None)]
+    asked = spark.createDataFrame(points, "i int, w double").withColumn("_row", F.lit(1))
+    for tol in (0.1, 1.0, 7.5):
+        got = {x.i: x.b for x in coefficients.nearest_in_table(asked, spark.createDataFrame(bands, "position int, band double"), "w", "position", "band", "b", tol).collect()}
+        for i, w in points:
+            near = sorted((p, b) for p, b in bands if w is not None and b is not None and abs(round(b * 10) - round(w * 10)) < round(tol * 10))
+            assert got[i] == (near[0][1] if near else None)
+    none = spark.createDataFrame([], "position int, band double")
+    assert {x.b for x in coefficients.nearest_in_table(asked, none, "w", "position", "band", "b").collect()} == {None}
+
+
+def test_interpolation_needs_no_limit_on_knots(spark):
+    table = spark.range(5000).select((F.col("id") * 0.1).alias("wl"), (F.col("id") % 7).cast("double").alias("v"))
+    points = spark.range(3000).select((F.col("id") * 0.2 - 20.03).alias("w"))
+    xs, ys = np.arange(5000) * 0.1, (np.arange(5000) % 7).astype(float)
+    for r in coefficients.interpolate_table(points, table, "w", "wl", "v", "c").collect():
+        assert r.c == pytest.approx(np.interp(r.w, xs, ys), abs=1e-9)
+    empty = spark.createDataFrame([], "wl double, v double")
+    assert {r.c for r in coefficients.interpolate_table(points, empty, "w", "wl", "v", "c").collect()} == {None}
 
 
 def test_tie_points_reproduce_a_plane(spark):
