@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+# Side of the tiles of single scenes.
+SCENE_SIDE = 32
 RING = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
 
 
@@ -35,9 +37,9 @@ def tile_side(ny: int, nx: int) -> int:
     return max(4, min(32, isqrt(ny * nx) // 16))
 
 
-def deal_to_tiles(df: DataFrame, ny: int, nx: int) -> DataFrame:
+def deal_to_tiles(df: DataFrame, ny: int, nx: int, side: int | None = None) -> DataFrame:
     """Add the tile of every row (`_ty`, `_tx`); a row on the rim of its tile goes to the tiles next to it, too."""
-    t = tile_side(ny, nx)
+    t = side or tile_side(ny, nx)
 
     def tile(c: str, d: int) -> Column:
         return F.floor((F.greatest(F.least(F.col(c) + d, F.lit(ny - 1 if c == "y" else nx - 1)), F.lit(0))) / t).cast("int")
@@ -64,9 +66,10 @@ def smooth_3x3(df: DataFrame, col: str, ny: int, nx: int, keys: Sequence[str] =
     rows then: two passes of three copies behind one exchange by tile. Missing values count in neither
     sums nor weights, which are summed alike.
     """
-    t = tile_side(ny, nx)
+    # Scenes are dealt by their keys as well, so tiles needn't be small for the sake of their number.
+    t = SCENE_SIDE
     v = F.col(col).cast("double")
-    sums = deal_to_tiles(df.where(v.isNotNull()), ny, nx).select(
+    sums = deal_to_tiles(df.where(v.isNotNull()), ny, nx, t).select(
         *keys, "_ty", "_tx", "y", "x", v.alias("_s"), v.alias("_sw"), F.lit(1).cast("bigint").alias("n"), F.lit(1.0).alias("_w")
     ).repartition(*keys, "_ty", "_tx")
     for axis, last, tile in (("x", nx - 1, "_tx"), ("y", ny - 1, "_ty")):

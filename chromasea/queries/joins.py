@@ -219,14 +219,13 @@ _MEANS = f"""
 
 
 def _spectra(spark, sf):
-    p = _weekly(spark, sf)
-    return overlap.set_spectra(p, overlap.cell_sets(p, 2, cell=CELL), BANDS5, ["oza"], cell=CELL)
+    return overlap.set_table(_weekly(spark, sf), 2, BANDS5, ["oza"], cell=CELL)
 
 
 @query("r12_set_spectra", f"select granules, granule_id, {', '.join(BANDS5)}, oza, platform from ({_MEANS}) as g",
        11, (*BANDS5, "oza"))
 def _(spark, sf):
-    return _spectra(spark, sf).withColumn("granules", F.array_join("granules", "-")).drop("start_ts")
+    return overlap.set_spectra(_spectra(spark, sf)).withColumn("granules", F.array_join("granules", "-")).drop("start_ts")
 
 
 @query("r12_set_summary", f"""
@@ -236,7 +235,7 @@ def _(spark, sf):
 """, 9, (*BANDS5, "oza_span", "hours"))
 def _(spark, sf):
     summary = overlap.set_summary(_spectra(spark, sf), BANDS5, ["oza"])
-    return summary.withColumn("granules", F.array_join("granules", "-"))
+    return summary.withColumn("granules", F.array_join("granules", "-")).drop("n_pixels")
 
 
 @query("r12_set_pixel_spectra", f"""
@@ -245,8 +244,7 @@ def _(spark, sf):
       from ({_MEMBER}) as m group by 1, 2, 3, 4, 5) as g group by 1, 2, 3, 4
 """, 11, BANDS5)
 def _(spark, sf):
-    p = _weekly(spark, sf)
-    out = overlap.set_pixel_spectra(p, overlap.cell_sets(p, 2, cell=CELL), BANDS5, cell=CELL)
+    out = overlap.set_pixel_spectra(_weekly(spark, sf), 2, BANDS5, cell=CELL)
     return out.withColumn("granules", F.array_join("granules", "-"))
 
 
@@ -271,11 +269,8 @@ def _(spark, sf):
     group by 1, 2, 3
 """)
 def _(spark, sf):
-    p = _weekly(spark, sf)
-    cells = overlap.cell_sets(p, 2, cell=CELL)
-    sizes = cells.groupBy("granules").agg((F.count(F.lit(1)) * 60).alias("n_pixels"))
-    summary = overlap.set_summary(overlap.set_spectra(p, cells, [], ["oza"], cell=CELL), [], ["oza"])
-    classes = overlap.classify_sets(sizes.join(summary, "granules"))
+    summary = overlap.set_summary(overlap.set_table(_weekly(spark, sf), 2, cell=CELL), [])
+    classes = overlap.classify_sets(summary.withColumn("n_pixels", F.col("n_pixels") * 60))
     return classes.groupBy("size_class", "gap_class", "mixed").agg(F.count(F.lit(1)).alias("n_sets"))
 
 
@@ -283,7 +278,7 @@ def _(spark, sf):
     select granules, granule_id, platform, oza from ({_MEANS}) as g order by platform, oza
 """, 9, ("oza",))
 def _(spark, sf):
-    s = _spectra(spark, sf).withColumn("granules", F.array_join("granules", "-"))
+    s = overlap.set_spectra(_spectra(spark, sf)).withColumn("granules", F.array_join("granules", "-"))
     return overlap.order_spectra(s.select("granules", "granule_id", "platform", "oza"))
 
 

@@ -202,14 +202,15 @@ def brute_pairs(rows, rule):
 
 
 @pytest.mark.parametrize("rule", ["intersect", "endpoint", "ninecase"])
-@pytest.mark.parametrize("hot", [2000, 3])
-def test_overlap_rules(spark, monkeypatch, rule, hot):
-    monkeypatch.setattr(overlap, "HOT_TILE", hot)  # 3: every tile is split by salts
+@pytest.mark.parametrize(("hot", "step", "tile"), [(2000, 1 << 20, 256), (3, 7, 64)])
+def test_overlap_rules(spark, monkeypatch, rule, hot, step, tile):
+    monkeypatch.setattr(overlap, "HOT_TILE", hot)  # 3: every tile is cut into strips
+    monkeypatch.setattr(overlap, "SWEEP_STEP", step)
     rng = random.Random(9)
     rows = [(0, 300, 0, 300), (50, 60, 50, 60)]  # containment
     rows += [(y, y + rng.randint(0, 90), x, x + rng.randint(0, 90)) for y, x in ((rng.randint(-40, 250), rng.randint(0, 250)) for _ in range(40))]
-    got = {(r.a_id, r.b_id) for r in overlap.overlap_pairs(boxes(spark, rows), rule).collect()}
-    pairs = overlap.overlap_pairs(boxes(spark, rows), rule).count()
+    got = {(r.a_id, r.b_id) for r in overlap.overlap_pairs(boxes(spark, rows), rule, tile=tile).collect()}
+    pairs = overlap.overlap_pairs(boxes(spark, rows), rule, tile=tile).count()
     assert got == brute_pairs(rows, rule) and pairs == len(got)
     if rule == "endpoint":
         assert (1, 0) not in got and (0, 1) in got  # the spanning box is missed from inside
@@ -243,12 +244,46 @@ def test_granule_sets_and_spectra(spark):
     p = pixels(spark, rows)
     sets = overlap.granule_sets(p, 2).collect()
     assert [(r.granules, r.n_pixels) for r in sets] == [([1, 2], 3)]
-    spectra = overlap.set_spectra(p, overlap.cell_sets(p, 3), ["a"]).collect()
+    spectra = overlap.set_spectra(overlap.set_table(p, 3, ["a"])).collect()
     assert {(r.granule_id, round(r.a, 6)) for r in spectra} == {(1, 0.1), (2, 0.2), (3, 0.3)}
     hist = {(r.kind, r.n): r.value for r in overlap.overlap_histogram(composite.daily_mask(p)).collect()}
     assert hist == {("count", 2): 3.0, ("count", 3): 1.0, ("valid", None): 4.0, ("percent_overlap", None): 100.0}
 
 
+def test_extent_by_brute_force_without_rows_for_pairs(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "HOT_TILE", 5)
+    rng = random.Random(2)
+    rows = [(y, y + rng.randint(0, 90), x, x + rng.randint(0, 90)) for y, x in ((rng.randint(-40, 250), rng.randint(0, 250)) for _ in range(60))]
+    df = boxes(spark, rows + rows[:3]).withColumn("_ty", F.lit("clash"))
+    swept = overlap.overlap_extent(df, tile=64)
+    for r in swept.collect():
+        a = rows[r.granule_id % 60]
+        near = [b for b in rows if b[0] <= a[1] and b[1] >= a[0] and b[2] <= a[3] and b[3] >= a[2]]
+        assert (r.y_min, r.y_max, r.x_min, r.x_max) == (min(b[0] for b in near), max(b[1] for b in near), min(b[2] for b in near), max(b[3] for b in near))
+    plan = overlap.overlap_pairs(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Scan ExistingRDD") == 1
+
+
+def test_overlaps_of_incomplete_and_no_boxes(spark):
+    df = boxes(spark, [(0, 5, 0, 5), (1, 2, 1, 2)])
+    bad = df.withColumn("y_max", F.lit(None).cast("int")).unionByName(df.withColumn("obs_date", F.lit(None).cast("date")))
+    assert overlap.overlap_pairs(df.unionByName(bad)).count() == 1 and overlap.overlap_pairs(df.limit(0), "endpoint").count() == 0
+    same = boxes(spark, [(0, 5, 0, 5)] * 40)
+    assert overlap.overlap_pairs(same).count() == 40 * 39 / 2
+
+
+def test_sets_read_pixels_once_and_shuffle_twice(spark):
+    p = pixels(spark, [(1, "S3A", D, 0, 0, 1, 0.1, None), (2, "S3B", D, 0, 0, 1, 0.5, None), (1, "S3A", D, 0, 0, 0, 0.3, 1.0)])
+    p = p.withColumn("start_ts", F.timestamp_seconds(F.col("granule_id") * 3600))
+    table = overlap.set_table(p, 2, ["a", "b"], ["b"])
+    plan = overlap.set_summary(table, ["a"], ["b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Scan ExistingRDD") == 1
+    assert [tuple(r)[:4] for r in overlap.set_spectra(table).collect()] == [([1, 2], 1, "S3A", 0.2), ([1, 2], 2, "S3B", 0.5)]
+    s = overlap.set_summary(table, ["a"], ["b"]).first()
+    assert (s.n_pixels, s.a, s.b_span, s.hours, s.mixed) == (1, 0.35, 0.0, 1.0, True)
+    assert overlap.set_table(p.limit(0), 2, ["a"]).count() == 0
+
+
 def test_gap_on_a_limit_is_in_the_upper_class(spark):
     df = spark.createDataFrame([(99, 1.5, True), (100, 3.0, False), (1000, 23.9, True), (5, 24.0, True)], "n_pixels int, hours double, mixed boolean")
     got = [(r.size_class, r.gap_class) for r in overlap.classify_sets(df).collect()]
