@@ -81,9 +81,10 @@ def group_granules(granules: DataFrame, cap: int, th: int = -1, day: str = "obs_
             yield pdf.assign(_group=out)
 
     placed = blocks.repartition(day, "_block").sortWithinPartitions(day, "_block", order).mapInPandas(assign, schema)
-    first = placed.groupBy(day, "_block", "_group").agg(F.min(order).alias("_first"))
-    number = F.row_number().over(W.partitionBy(day).orderBy("_first", "_block", "_group")).cast("bigint")
-    return placed.join(first.withColumn("group_id", number).drop("_first"), [day, "_block", "_group"]).select(*granules.columns, "group_id")
+    # Groups are numbered behind the same pass: by windows over its rows, not by a second reading of it.
+    first = F.min(order).over(W.partitionBy(day, "_block", "_group"))
+    number = F.dense_rank().over(W.partitionBy(day).orderBy("_first", "_block", "_group")).cast("bigint")
+    return placed.withColumn("_first", first).withColumn("group_id", number).select(*granules.columns, "group_id")
 
 
 def group_limits(grouped: DataFrame, day: str = "obs_date") -> DataFrame:

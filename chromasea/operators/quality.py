@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from chromasea.functions.flags import NOT_WATER_FLAGS, flag_code, flag_mask
 from chromasea.functions.reflectance import tile_key
 
-# --- fixed values: valid input ranges of the two chlorophyll models ---
-MODEL_LIMITS = {"doy": (1e-8, 1 / pi), "lon_doy": (0.0, None)}
+# --- fixed values: valid input ranges of the two chlorophyll models and of the attenuation; only the last takes its limit ---
+MODEL_LIMITS = {"doy": (1e-8, 1 / pi), "lon_doy": (0.0, None), "kd490": (0.0, None)}
+LIMIT_ALLOWED = ("kd490",)
 # --- end of fixed values ---
 
 
@@ -74,11 +75,11 @@ def hour_window(df: DataFrame, first: str, last: str, h0: int, h1: int) -> DataF
 
 
 def inputs_valid(cols: Sequence[Column], kind: str) -> Column:
-    """All inputs inside the open range of a chlorophyll model."""
+    """All inputs inside the open range of a chlorophyll model, or not below zero for the attenuation (490 and 560 nm)."""
     lo, hi = MODEL_LIMITS[kind]
     ok = F.lit(True)
     for c in cols:
-        ok = ok & F.coalesce(c > lo, F.lit(False))
+        ok = ok & F.coalesce(c >= lo if kind in LIMIT_ALLOWED else c > lo, F.lit(False))
         if hi is not None:
             ok = ok & F.coalesce(c < hi, F.lit(False))
     return ok

@@ -212,3 +212,14 @@ def _(spark, sf):
 def _(spark, sf):
     return quality.valid_inputs(view(spark, sf, "obs"), ["rrs443", "rrs490", "rrs510", "rrs560"], "doy", 8, 8,
                                 keys=["obs_date"])
+
+
+@query("a08_valid_kd", """
+    select obs_date, y // 8 as tile_y, x // 8 as tile_x,
+      cast(sum(case when rrs443 >= 0 and rrs665 >= 0 then 1 else 0 end) as bigint) as n_valid
+    from (select * replace (case when granule_id % 9 = 0 then 0 else rrs443 end as rrs443) from obs) as o group by 1, 2, 3
+""")
+def _(spark, sf):
+    # Two bands of the fixture that have values below zero, and zeros, stand for 490 and 560 nm.
+    o = view(spark, sf, "obs").withColumn("rrs443", F.when(F.col("granule_id") % 9 == 0, 0.0).otherwise(F.col("rrs443")))
+    return quality.valid_inputs(o, ["rrs443", "rrs665"], "kd490", 8, 8, keys=["obs_date"])

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from chromasea.functions import dates, flags, numeric, reflectance
 from chromasea.operators import grid, quality
-from chromasea.session import scratch_path
-from chromasea.sources.models import read_model
 from chromasea.queries.base import query, table, view
 from chromasea.schema import fill_to_null, null_to_fill
+from chromasea.session import scratch_path
 from chromasea.sources import catalogue
+from chromasea.sources.models import SCHEMA, model_elements
 
 # Toy catalogue of the fixture pixels.
 FLAGS = {"WATER": 2, "LAND": 4, "CLOUD": 8, "HIGHGLINT": 65536}
@@ -257,6 +257,53 @@ def _(spark, sf):
         F.size(a).alias("n"))
 
 
+# Rules from a table, some hundreds of them, each with some of the conditions.
+_RULES = """(select p_partkey as position,
+      case when p_partkey % 3 = 0 then concat('p', p_partkey % 5) end as product,
+      case when p_partkey % 2 = 0 then case when p_partkey % 8 < 4 then 'NT' else 'NR' end end as timeliness,
+      case when p_partkey % 5 < 2 then concat('S3', case when p_partkey % 11 < 6 then 'A' else 'B' end) end as sensor,
+      concat('k', p_partkey % 13) as k, concat('v', p_partkey) as v
+    from {part} where p_partkey % 7 <> 6)"""
+_SCENES = """(select granule_id, timeliness, platform as sensor, case when granule_id % 6 < 5 then concat('p', granule_id % 6) end as product from granules)"""
+
+
+@query("f22_rules_table", f"""
+    with c as (select distinct product, timeliness, sensor from {_SCENES} as s),
+      w as (select c.*, r.k, arg_max(r.v, r.position) as v from c join {_RULES.replace('{part}', 'part')} as r
+        on (r.product is null or r.product = c.product) and (r.timeliness is null or r.timeliness = c.timeliness)
+          and (r.sensor is null or r.sensor = c.sensor) group by all)
+    select s.granule_id, coalesce(max(v) filter (where k = 'k0'), 'base') as k0, max(v) filter (where k = 'k3') as k3, max(v) filter (where k = 'k12') as k12,
+      cast(count(k) + cast(count(*) filter (where k = 'k0') = 0 as integer) + 1 as integer) as n
+    from {_SCENES} as s left join w on w.product is not distinct from s.product and w.timeliness = s.timeliness and w.sensor = s.sensor
+    group by 1
+""")
+def _(spark, sf):
+    rules = spark.sql(f"select position, product, timeliness, sensor, map(k, v) as set from {_RULES}", part=table(spark, sf, "part"))
+    scenes = spark.sql(f"select * from {_SCENES.replace('from granules', 'from {granules}')}", granules=view(spark, sf, "granules"))
+    based = scenes.withColumn("attributes", F.create_map(F.lit("k0"), F.lit("base"), F.lit("own"), F.lit("x")))
+    a = F.col("attributes")
+    return catalogue.overlay_attributes(based, rules).select(
+        "granule_id", *[F.try_element_at(a, F.lit(k)).alias(k) for k in ("k0", "k3", "k12")], F.size(a).alias("n"))
+
+
+# Every flag of either collection has a bit of its own here.
+_NAMES = sorted({n for names in flags.MASK_FLAGS.values() for n in names} | {"WATER", "INLAND_WATER"})
+_BITS = {n: 1 << (2 * i if i < 31 else 63) for i, n in enumerate(_NAMES)}
+_WORD = "cast((l_orderkey * 2654435761 + l_partkey * 40503 + l_linenumber) % 4611686018427387904 as bigint)"
+
+
+@query("f12_collection_masks", f"""
+    select l_orderkey, l_linenumber,
+      {', '.join(f"case when w & {sum(_BITS[n] for n in names)} <> 0 or l_quantity > 45 then 1 else 0 end as mask_{c}" for c, names in flags.MASK_FLAGS.items())}
+    from (select *, {_WORD} as w from lineitem) as l
+""")
+def _(spark, sf):
+    """The default mask with the whole flag lists of both collections."""
+    pixels = table(spark, sf, "lineitem").withColumn("w", F.expr(_WORD)).withColumn("band", F.when(F.col("l_quantity") <= 45, 0.01))
+    return pixels.select("l_orderkey", "l_linenumber", *[
+        flags.default_mask(F.col("w"), flags.flag_code(_BITS, names), [F.col("band")]).alias(f"mask_{c}") for c, names in flags.MASK_FLAGS.items()])
+
+
 @query("f30_doy", """
     select o_orderkey, strftime(o_orderdate, '%Y%j') as doy, cast(o_orderdate as date) as back,
       dayofyear(o_orderdate) as n from orders
@@ -407,14 +454,10 @@ def _(spark, sf):
     )
     path = scratch_path(spark, "model")
     file.coalesce(1).write.json(path)
-    model = read_model(spark, path)
-    labels = [r.label for r in means.select("label").orderBy("label").collect()]
-    out = [
-        (label, i + 1, value, alpha, model.length_scales[i], model.beta[i + 1])
-        for label, vector, alpha in zip(labels, model.vectors, model.alpha) for i, value in enumerate(vector)
-    ]
     kind = table(spark, sf, "embeddings").schema["label"].dataType.simpleString()
-    return spark.createDataFrame(out, f"vector {kind}, element bigint, value double, alpha double, scale double, beta double")
+    models = spark.read.schema(f"{SCHEMA}, labels array<{kind}>").json(path)
+    elements = model_elements(models)
+    return elements.select(F.get("labels", (F.col("vector") - 1).cast("int")).alias("vector"), "element", "value", "alpha", "scale", "beta")
 
 
 @query("o02_two_nearest", """

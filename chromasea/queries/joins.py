@@ -57,6 +57,28 @@ def _(spark, sf):
     return climatology.quality_index(view(spark, sf, "daily"), _clim(spark, sf), "chl", log=True, out="qi")
 
 
+@query("a13_quality_rrs", f"""
+    select d.obs_date, d.y, d.x, d.chl, (d.chl - c.median) / nullif(c.n_std, 0) as qi_chl
+    from daily as d left join ({clim_sql("chl")}) as c on c.mmdd = {_DAY} and c.y = d.y and c.x = d.x
+""", 6, ("chl", "qi_chl"))
+def _(spark, sf):
+    """Reflectances are compared as they are, without the logarithm."""
+    daily = view(spark, sf, "daily")
+    return climatology.quality_index(daily, climatology.climatology(daily, "chl", SIDE, SIDE), "chl", log=False)
+
+
+_KD = "(select obs_date, y, x, chl / 10e0 as kd490 from daily)"
+
+
+@query("a13_quality_kd490", f"""
+    select d.obs_date, d.y, d.x, d.kd490, (log10(d.kd490) - c.median) / nullif(c.n_std, 0) as qi_kd490
+    from {_KD} as d left join ({clim_sql("log10(chl / 10e0)")}) as c on c.mmdd = {_DAY} and c.y = d.y and c.x = d.x
+""", 6, ("kd490", "qi_kd490"))
+def _(spark, sf):
+    daily = view(spark, sf, "daily").select("obs_date", "y", "x", (F.col("chl") / 10.0).alias("kd490"))
+    return climatology.quality_index(daily, climatology.climatology(daily, "kd490", SIDE, SIDE, log=True), "kd490", log=True)
+
+
 _MEET = "a.y_min <= b.y_max and a.y_max >= b.y_min and a.x_min <= b.x_max and a.x_max >= b.x_min"
 _ENDPOINT = """(b.y_min between a.y_min and a.y_max or b.y_max between a.y_min and a.y_max)
     and (b.x_min between a.x_min and a.x_max or b.x_max between a.x_min and a.x_max)"""

@@ -68,8 +68,9 @@ def _(spark, sf):
     select granule_id, obs_date, y, x, rrs443, rrs560 from obs where y >= 4 and y < 12 and x >= 3 and x < 9
 """, 12, ("rrs443", "rrs560"))
 def _(spark, sf):
-    box = pixels.in_box(view(spark, sf, "obs"), (4, 12, 3, 9))
-    return box.select("granule_id", "obs_date", "y", "x", "rrs443", "rrs560")
+    path = scratch_path(spark, "pixels")
+    pixels.write_pixels(view(spark, sf, "obs").select("granule_id", "obs_date", "y", "x", "rrs443", "rrs490", "rrs560"), path)
+    return pixels.read_pixels(spark, path, ["granule_id", "obs_date", "y", "x", "rrs443", "rrs560"], (4, 12, 3, 9))
 
 
 @query("s05_dated_layout", """

@@ -5,6 +5,7 @@ Covers S-01, S-02, S-07 to S-12, W-01, W-04, U-01, U-02 and F-22, F-35.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -114,6 +115,12 @@ def pending_dates(wanted: DataFrame, existing: DataFrame, overwrite: bool = Fals
     return wanted if overwrite else wanted.join(existing.select(key).distinct(), key, "left_anti")
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys, where a null equals a null; the keys of the left stay."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    return left.join(other, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])).drop(*[f"_right_{k}" for k in keys])
+
+
 def index_granules(granules: DataFrame, day: str = "obs_date", name: str = "name", prefix: int = 29) -> DataFrame:
     """W-01. Granule index 1, 2, 3... by name within a day, and the orbit bit.
 
@@ -131,14 +138,14 @@ def index_granules(granules: DataFrame, day: str = "obs_date", name: str = "name
     before = W.partitionBy(day).orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
     offsets = buckets.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     inside = F.row_number().over(W.partitionBy(day, "_p").orderBy(name))
-    indexed = staged.join(offsets, [day, "_p"]).withColumn(
+    indexed = _join_null_safe(staged, offsets, [day, "_p"]).withColumn(
         "granule_index", (F.col("_before") + inside).cast("int")
     ).drop("_p", "_before")
     passes = indexed.groupBy(day, "platform", "rel_orbit").agg(F.min("granule_index").alias("_first"))
     rank = F.row_number().over(W.partitionBy(day).orderBy("_first"))
     bits = passes.withColumn("orbit_rank", rank.cast("int")).drop("_first")
     place = F.col("orbit_rank") - 1
-    return indexed.join(bits, [day, "platform", "rel_orbit"]).withColumns({
+    return _join_null_safe(indexed, bits, [day, "platform", "rel_orbit"]).withColumns({
         "orbit_block": F.floor(place / BLOCK).cast("int"),
         "orbit_bit": F.call_function("shiftleft", F.lit(1).cast("bigint"), place % BLOCK),
     })
@@ -154,21 +161,38 @@ def not_timely(all_: DataFrame, timely: DataFrame) -> DataFrame:
     return all_.exceptAll(timely)
 
 
-def overlay_attributes(df: DataFrame, rules: Sequence[Mapping], attributes: str = "attributes") -> DataFrame:
+CONDITIONS = ("product", "timeliness", "sensor")
+RULES = "position long, product string, timeliness string, sensor string, set map<string,string>"
+
+
+def rules_table(spark: SparkSession, rules: Sequence[Mapping]) -> DataFrame:
+    """Rules given as mappings with `set` and any of product, timeliness and sensor, in order, as a table for F-22."""
+    rows = [(i, *(rule.get(c) for c in CONDITIONS), {k: str(v) for k, v in rule["set"].items()}) for i, rule in enumerate(rules)]
+    return spark.createDataFrame(rows, RULES)
+
+
+def overlay_attributes(df: DataFrame, rules: DataFrame | Sequence[Mapping], attributes: str = "attributes") -> DataFrame:
     """F-22. Override base attributes by rules on product, timeliness and sensor.
 
-    A rule is a mapping with `set` (the overrides) and any of product,
-    timeliness and sensor (the conditions). Rules are configuration; later ones win.
+    A rule is a row (position, product, timeliness, sensor, set); a null condition holds for anything, and of rules that set
+    one attribute the one with the last position wins. A scene without a product, say, meets only rules that don't ask for
+    one. The plan doesn't grow with the rules: each combination that occurs looks them up by its 2^3 patterns with
+    wildcards, overrides are folded per combination and attribute, and scenes join their combination.
     """
-    out = df
-    for rule in rules:
-        keys = list(rule["set"])
-        override = F.create_map(*[F.lit(t) for kv in rule["set"].items() for t in kv])
-        kept = F.map_filter(F.col(attributes), lambda k, _: ~k.isin(keys))
-        conditions = [F.col(c) == rule[c] for c in ("product", "timeliness", "sensor") if c in rule]
-        hit = reduce(lambda a, b: a & b, conditions, F.lit(True))
-        out = out.withColumn(attributes, F.when(hit, F.map_concat(kept, override)).otherwise(F.col(attributes)))
-    return out
+    table = rules if isinstance(rules, DataFrame) else rules_table(df.sparkSession, rules)
+    combinations = df.select(*CONDITIONS).distinct()
+    patterns = F.array(*[
+        F.struct(*[(F.col(c) if kept else F.lit(None).cast("string")).alias(f"_{c}") for c, kept in zip(CONDITIONS, keep)])
+        for keep in itertools.product((True, False), repeat=len(CONDITIONS))
+    ])
+    asked = combinations.select(*CONDITIONS, F.explode(F.array_distinct(patterns)).alias("_p")).select(*CONDITIONS, "_p.*")
+    named = table.select("position", "set", *[F.col(c).alias(f"_rule_{c}") for c in CONDITIONS])
+    met = asked.join(named, reduce(lambda a, b: a & b, [F.col(f"_{c}").eqNullSafe(F.col(f"_rule_{c}")) for c in CONDITIONS]))
+    winners = met.select(*CONDITIONS, "position", F.explode("set").alias("_key", "_value")).groupBy(*CONDITIONS, "_key").agg(F.max_by("_value", "position").alias("_value"))
+    folded = winners.groupBy(*[F.col(c).alias(f"_{c}") for c in CONDITIONS]).agg(F.map_from_entries(F.collect_list(F.struct("_key", "_value"))).alias("_set"))
+    joined = df.join(folded, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in CONDITIONS]), "left")
+    base = F.map_filter(F.col(attributes), lambda k, _: ~F.map_contains_key("_set", k))
+    return joined.withColumn(attributes, F.when(F.col("_set").isNull(), F.col(attributes)).otherwise(F.map_concat(base, "_set"))).select(*df.columns)
 
 
 def audit_timestamps(df: DataFrame, name_date: str = "name_date", stored: str = "stored_epoch") -> DataFrame:

@@ -62,6 +62,20 @@ def model_of_row(models: DataFrame) -> KernelModel:
                        float(kernel["SigmaF"]), float(kernel["AlphaRQ"]), tuple(scales))
 
 
+def model_elements(models: DataFrame) -> DataFrame:
+    """F-39. A model table laid out by element: vector and element (from 1), value, alpha, scale and beta.
+
+    A row for each element of each vector, made where the file is read; other columns of the table go along.
+    """
+    own = [c for c in models.columns if c not in ("Kernel", "ActiveSetVectors", "Alpha", "Beta", "Sigma")]
+    vectors = models.select("Kernel", "Alpha", "Beta", *own, F.posexplode("ActiveSetVectors").alias("_at", "_values"))
+    elements = vectors.select("Kernel", "Beta", *own, F.get("Alpha", F.col("_at")).alias("alpha"), (F.col("_at") + 1).alias("vector"), F.posexplode("_values").alias("_i", "value"))
+    scale = F.coalesce(F.try_element_at("Kernel", F.lit("SigmaL")), F.try_element_at("Kernel", F.concat(F.lit(SCALE), (F.col("_i") + 1).cast("string"))))
+    return elements.select(
+        *own, F.col("vector").cast("bigint").alias("vector"), (F.col("_i") + 1).cast("bigint").alias("element"), "value", "alpha",
+        scale.cast("double").alias("scale"), F.get("Beta", F.col("_i") + 1).alias("beta"))
+
+
 def model_from_frame(df: DataFrame, beta: Sequence[float], sigma_f: float, alpha_rq: float,
                      length_scales: Sequence[float], vector: str = "vector", alpha: str = "alpha") -> KernelModel:
     """A model whose active set is a table; its row count is checked before it is collected."""

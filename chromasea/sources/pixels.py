@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Small row groups: each is a piece of the curve with statistics of its own.
+ROW_GROUP_BYTES = 16 << 20
+
 
 def in_box(df: DataFrame, box: tuple[int, int, int, int]) -> DataFrame:
     """Rows inside (y_min, y_max, x_min, x_max); the maxima are exclusive."""
@@ -29,13 +32,31 @@ def read_pixels(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns is not None else df
 
 
-def write_pixels(df: DataFrame, path: str, ystep: int, xstep: int, mode: str = "errorifexists") -> None:
-    """Pixel table laid out for S-04: files hold neighbouring cells, so that box reads skip most row groups.
+def curve_key(y: Column, x: Column) -> Column:
+    """Place of a cell on the Z-order curve: the bits of y and x in turn, for coordinates of up to 31 bits.
+
+    Cells near on the curve are near on the grid, so rows sorted by it fill files and row groups whose ranges of y and x are both narrow.
+    """
+
+    def spread(c: Column) -> Column:
+        v = c.cast("bigint")
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return F.shiftleft(spread(y), 1).bitwiseOR(spread(x))
+
+
+def write_pixels(df: DataFrame, path: str, files: int | None = None, mode: str = "errorifexists", row_group_bytes: int = ROW_GROUP_BYTES) -> None:
+    """Pixel table laid out for S-04: rows follow the Z-order curve over files, row groups and pages.
 
-    Ranges run over (tile, y, x): a tile with many rows is cut between its cells.
+    One exchange by ranges of the curve, with a running number behind it, so that a cell with very many rows is cut as well.
+    The statistics of y and x that Parquet keeps then let a box skip all that it doesn't touch.
     """
-    tiles = [F.floor(F.col("y") / ystep), F.floor(F.col("x") / xstep)]
-    df.repartitionByRange(*tiles, "y", "x").sortWithinPartitions(*tiles, "y", "x").write.mode(mode).parquet(path)
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.withColumns({"_curve": curve_key(F.col("y"), F.col("x")), "_copy": F.monotonically_increasing_id()})
+    placed = keyed.repartitionByRange(n, "_curve", "_copy").sortWithinPartitions("_curve", "_copy").drop("_curve", "_copy")
+    placed.write.mode(mode).option("parquet.block.size", row_group_bytes).parquet(path)
 
 
 def read_coefficients(spark: SparkSession, path: str) -> DataFrame:

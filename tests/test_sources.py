@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 from datetime import date
 
 import numpy as np
@@ -57,12 +58,45 @@ def test_box_and_columns_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.range(400).selectExpr("cast(id div 20 as int) y", "cast(id % 20 as int) x", "id * 1d a", "id * 2d b").coalesce(1) \
         .createOrReplaceTempView("tmp_pixels")
-    pixels.write_pixels(spark.table("tmp_pixels"), path, 10, 10)
+    pixels.write_pixels(spark.table("tmp_pixels"), path)
     df = pixels.read_pixels(spark, path, ["y", "x", "a"], (2, 5, 3, 7))
     text = plan(df)
     assert df.count() == 12 and "GreaterThanOrEqual(y,2)" in text and "GreaterThanOrEqual(x,3)" in text and "b:double" not in text
 
 
+def rows_scanned(df):
+    df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return scan.metrics().apply("numOutputRows").value()
+
+
+def test_curve_interleaves_bits(spark):
+    r = random.Random(1)
+    cells = [(r.getrandbits(k), r.getrandbits(k)) for k in (1, 3, 8, 16, 31) for _ in range(20)]
+    df = spark.createDataFrame(cells, "y int, x int").withColumn("k", pixels.curve_key(F.col("y"), F.col("x")))
+    for row in df.collect():
+        assert row.k == sum((row.y >> i & 1) << (2 * i + 1) | (row.x >> i & 1) << (2 * i) for i in range(31))
+
+
+def test_rows_scanned_shrink_with_the_box(spark, tmp_path):
+    side = 256
+    grid = spark.range(side * side).selectExpr(f"cast(id div {side} as int) y", f"cast(id % {side} as int) x", "id a", "hash(id) b").repartition(8, "b")
+    pixels.write_pixels(grid, str(tmp_path / "p"), files=16, row_group_bytes=20_000)
+    scanned = []
+    for size in (256, 128, 32):
+        df = pixels.read_pixels(spark, str(tmp_path / "p"), ["y", "x", "a"], (64, 64 + size, 32, 32 + size))
+        scanned.append(rows_scanned(df))
+        assert {(r.y, r.x) for r in df.collect()} == {(y, x) for y in range(64, min(64 + size, side)) for x in range(32, min(32 + size, side))}
+    assert scanned[0] > scanned[1] > scanned[2] and scanned[1] < 2 * 128 * 128 and scanned[2] < side * side / 10
+
+
+def test_a_hot_cell_is_spread_over_files(spark, tmp_path):
+    df = spark.range(4000).selectExpr("5 as y", "7 as x", "id a")
+    pixels.write_pixels(df, str(tmp_path / "p"), files=4)
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "p")).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 2000
+
+
 def test_reports(spark, tmp_path):
     path = str(tmp_path / "r")
     reports.write_report(spark.createDataFrame([(["a", "b"], 3)], "granules array<string>, n int"), path)
@@ -176,3 +210,35 @@ def test_scratch_needs_shared_storage_on_a_cluster(monkeypatch):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(session("spark://x"), "a")
     assert "chromasea-" in scratch_path(session("local[2]"), "a")
+
+
+def test_hundreds_of_rules_in_a_plan_of_constant_size(spark):
+    r = random.Random(3)
+    choices = {"product": ["rrs", "chl", None], "timeliness": ["NR", "NT", None], "sensor": ["S3A", "S3B", None]}
+    rules = [{**{c: v for c, vs in choices.items() if (v := r.choice(vs)) is not None}, "set": {f"k{r.randrange(6)}": i, f"m{i % 3}": "x"}} for i in range(300)]
+    scenes = [(i, *(r.choice(vs) for vs in choices.values()), {"k0": "base", "z": "own"} if i % 5 else None) for i in range(60)]
+    df = spark.createDataFrame(scenes, "i int, product string, timeliness string, sensor string, attributes map<string,string>")
+    few, many = (catalogue.overlay_attributes(df, catalogue.rules_table(spark, rules[:n])) for n in (3, 300))
+    size = [len(x._jdf.queryExecution().optimizedPlan().toString().splitlines()) for x in (few, many)]
+    assert size[0] == size[1] and many.columns == df.columns
+    for row in many.collect():
+        expected = dict(row_before) if (row_before := scenes[row.i][4]) is not None else None
+        for rule in rules:
+            if expected is not None and all(rule.get(c) in (None, row[c]) for c in choices):
+                expected.update({k: str(v) for k, v in rule["set"].items()})
+        assert row.attributes == expected
+    assert catalogue.overlay_attributes(df, []).where("attributes['z'] = 'own'").count() == 48
+
+
+def test_granules_without_name_platform_or_orbit_keep_an_index(spark):
+    rows = [("2024-01-01", "S3A_x_1", "S3A", 5), ("2024-01-01", None, "S3A", 5), ("2024-01-01", "S3B_x_2", None, 5), ("2024-01-01", "S3B_x_3", None, None), (None, "S3A_x_4", "S3A", 1)]
+    df = spark.createDataFrame(rows, "obs_date string, name string, platform string, rel_orbit int")
+    got = {(r.name, r.granule_index, r.orbit_bit) for r in catalogue.index_granules(df).collect()}
+    assert got == {(None, 1, 1), ("S3A_x_1", 2, 1), ("S3B_x_2", 3, 2), ("S3B_x_3", 4, 4), ("S3A_x_4", 1, 1)}
+
+
+def test_model_elements_of_either_kind_of_scale(spark, tmp_path):
+    (tmp_path / "m.json").write_text(json.dumps({"Kernel": {"SigmaL": 2.5}, "ActiveSetVectors": [[1, 2], [3, 4]], "Alpha": [0.1, 0.2], "Sigma": 1.0, "Beta": [9, 8, 7]}))
+    table = spark.read.schema(models.SCHEMA).json(str(tmp_path / "m.json"), multiLine=True)
+    got = [tuple(r) for r in models.model_elements(table).orderBy("vector", "element").collect()]
+    assert got == [(1, 1, 1.0, 0.1, 2.5, 8.0), (1, 2, 2.0, 0.1, 2.5, 7.0), (2, 1, 3.0, 0.2, 2.5, 8.0), (2, 2, 4.0, 0.2, 2.5, 7.0)]
