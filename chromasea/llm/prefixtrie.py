@@ -32,7 +32,7 @@ BLOCK, HEADS = 5, 9
 PRIMES = ((1 << 61) - 1, (1 << 62) - 57)
 BASES = (0x1F3D5B79A2C4E681, 0x2545F4914F6CDD1D)
 # Nodes with more members than this lie above the shards, at most one of ABOVE_SHARE members of the trie.
-SHARD_MEMBERS, ABOVE_SHARE = 10_000, 50_000
+SHARD_MEMBERS, ABOVE_SHARE = 256, 50_000
 IN_MEMORY = 200_000
 SALT_ROWS = 1 << 16
 IDS_IN_PIECE = 4096
