@@ -89,11 +89,10 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_sentence_spans")
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document that loses sentences to a repeated passage: how many, and a digest of what stays."""
+    """Every document without the sentences of repeated passages, and how many went."""
     from chromasea.llm.spans import remove_repeated
 
-    cleaned = remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
-    return cleaned.where("n_removed > 0").select("doc_id", "n_sentences", "n_removed", F.sha1(F.col("text").cast("binary")).alias("text_sha1"))
+    return remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
 
 
 @query("op8_ngram_jaccard_join")

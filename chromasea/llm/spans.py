@@ -129,28 +129,36 @@ def _mapped(kinds: str, function):
 
 
 def run_hashes(docs: DataFrame) -> DataFrame:
-    """(hash, doc_id) of every distinct run of each document that has an id and a text."""
+    """(hash, doc_id) of every distinct run of each document that has an id and a text; one with a null hash for a document that repeats itself."""
 
     def emit(keys, texts):
-        found = [np.unique(runs(*sentences(t)[1:])[1]) for t in texts]
-        ids = np.repeat(np.array(keys, np.int64), [len(f) for f in found])
-        return pa.RecordBatch.from_pydict({"hash": pa.array(np.concatenate([np.zeros(0, np.int64), *found])), "doc_id": pa.array(ids)})
+        hashes, ids, own = [np.zeros(0, np.int64)], [], []
+        for key, text in zip(keys, texts):
+            found = runs(*sentences(text)[1:])[1]
+            distinct = np.unique(found)
+            hashes.append(distinct)
+            ids.append(np.full(len(distinct), key, np.int64))
+            if len(distinct) < len(found):
+                own.append(key)
+        hashes = pa.concat_arrays([pa.array(np.concatenate(hashes)), pa.nulls(len(own), pa.int64())])
+        return pa.RecordBatch.from_pydict({"hash": hashes, "doc_id": pa.array(np.concatenate([*ids, np.array(own, np.int64)]).astype(np.int64))})
 
     usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return usable.mapInArrow(_mapped("", emit), "hash long, doc_id long")
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """doc_id and the hashes of its runs that a document with a smaller id has too.
+    """doc_id and the hashes of its runs that a document with a smaller id has too; documents that repeat themselves have a row as well.
 
     The smallest document of each hash comes from an aggregate with partial sums before the shuffle;
     hashes of one document end there. The join's side of all runs can be split where a hash
     is in very many documents. A list holds one document's own runs.
     """
     found = materialise(run_hashes(docs), "runs")
-    first = found.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").select("hash", "first")
-    later = found.join(first, "hash").where("doc_id <> first")
-    return later.groupBy("doc_id").agg(F.collect_list("hash").alias("_hashes"))
+    known = found.where("hash IS NOT NULL")
+    first = known.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").select("hash", "first")
+    later = known.join(first, "hash").where("doc_id <> first").select("doc_id", "hash")
+    return later.unionByName(found.where("hash IS NULL").select("doc_id", "hash")).groupBy("doc_id").agg(F.collect_list("hash").alias("_hashes"))
 
 
 def remove_repeated(docs: DataFrame, report: bool = False) -> DataFrame:
@@ -159,51 +167,51 @@ def remove_repeated(docs: DataFrame, report: bool = False) -> DataFrame:
     All rows and columns stay; a document that is a copy as a whole is left with an empty text.
     Null and empty texts stay as they are. Documents without an id are only compared with themselves.
     Rows that share an id count as one document given twice: both keep the same sentences. With
-    `report`, columns n_sentences and n_removed are added.
+    `report`, a column n_removed (sentences) is added, or takes the place of one of that name. Only documents with a
+    repeated run are cut into sentences again.
     """
-    names, key, found = docs.columns, unused(docs, "_key"), unused(docs, "_hashes")
+    names, key, found = [c for c in docs.columns if not report or c.lower() != "n_removed"], unused(docs, "_key"), unused(docs, "_hashes")
     keyed = docs.where(F.col("doc_id").isNotNull())
     hits = repeated_runs(docs).select(F.col("doc_id").alias(key), F.col("_hashes").alias(found))
     joined = keyed.join(hits, F.col("doc_id") == F.col(key), "left").select(*names, found)
-    rest = docs.where(F.col("doc_id").isNull()).withColumn(found, F.lit(None).cast("array<bigint>"))
+    rest = docs.where(F.col("doc_id").isNull()).select(*names, F.array().cast("array<bigint>").alias(found))
     rows = joined.unionByName(rest)
 
     def rewrite(batches):
         for batch in batches:
-            texts, sums, gone = [], [], []
+            texts, gone = [], []
             for text, hashes in zip(batch.column("text"), batch.column(found)):
-                text, n, k = cut_text(text.as_py(), hashes.values.to_numpy() if hashes.is_valid else None)
+                text, k = (text.as_py(), 0) if not hashes.is_valid else cut_text(text.as_py(), hashes.values.to_numpy(zero_copy_only=False))
                 texts.append(text)
-                sums.append(n)
                 gone.append(k)
             out = {n: batch.column(n) for n in names} | {"text": pa.array(texts, pa.string())}
             if report:
-                out |= {"n_sentences": pa.array(sums, pa.int64()), "n_removed": pa.array(gone, pa.int64())}
+                out["n_removed"] = pa.array(gone, pa.int64())
             yield pa.RecordBatch.from_pydict(out)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + (", n_sentences long, n_removed long" if report else "")
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names) + (", n_removed long" if report else "")
     cleaned = rows.mapInArrow(rewrite, schema)
     if "n_chars" in names:
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return cleaned
 
 
-def cut_text(text: str | None, repeated: np.ndarray | None) -> tuple[str | None, int, int]:
-    """The text without its repeated sentences, their number, and how many went."""
+def cut_text(text: str | None, repeated: np.ndarray) -> tuple[str | None, int]:
+    """The text without its repeated sentences, and how many went."""
     if not text:
-        return text, 0, 0
+        return text, 0
     starts, counts, hashes = sentences(text)
     after, value = runs(counts, hashes)
     again = np.ones(len(value), bool)
     again[np.unique(value, return_index=True)[1]] = False
-    if repeated is not None:
+    if len(repeated):
         again |= np.isin(value, repeated)
     if not again.any():
-        return text, len(starts), 0
+        return text, 0
     step = np.zeros(len(starts) + 1, np.int64)
     np.add.at(step, np.flatnonzero(again), 1)
     np.add.at(step, after[again], -1)
     covered = np.cumsum(step)[:-1] > 0
     ends = [*starts[1:].tolist(), len(text)]
     kept = "".join(text[a:b] for a, b, gone in zip(starts.tolist(), ends, covered.tolist()) if not gone)
-    return kept, len(starts), int(covered.sum())
+    return kept, int(covered.sum())
