@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chromasea.functions.reflectance import BAND_MAX, BAND_MIN
 from chromasea.operators import composite, quality
+from chromasea.operators.months import MonthlyState
 from chromasea.queries.base import query, table, view
 from chromasea.queries.expressions import BANDS5, FLAGS, MASKING
 from chromasea.sources import catalogue
@@ -125,6 +126,23 @@ def _(spark, sf):
     return composite.monthly_composite(view(spark, sf, "daily"), "chl")
 
 
+@query("r07_months_kept_up", f"""
+    select {_MONTH} as month, y, x, avg(case when chl > 0 then chl end) as value,
+      count(case when chl > 0 then 1 end) as value_count, var_samp(case when chl > 0 then chl end) as value_error,
+      sqrt(var_samp(case when chl > 0 then chl end)) as value_std
+    from daily group by 1, 2, 3
+""", 6, ("value", "value_error", "value_std"))
+def _(spark, sf):
+    """Days arrive in two batches, the first of them with other values, which a third batch replaces."""
+    daily = view(spark, sf, "daily")
+    early = F.dayofmonth("obs_date") % 3 == 0
+    months = MonthlyState(spark, "chl")
+    months.update(daily.where(early).withColumn("chl", F.col("chl") * 3 + 1), "preliminary")
+    months.update(daily.where(~early), "others")
+    months.update(daily.where(early), "final")
+    return months.read()
+
+
 @query("r08_weighted_monthly", f"""
     select {_MONTH} as month, y, x, avg(v) as value, count(v) as value_count, var_samp(v) as value_error,
       sqrt(var_samp(v)) as value_std

@@ -8,6 +8,7 @@ from chromasea.queries.base import query, table, view
 from chromasea.session import scratch_path
 from chromasea.sources.catalogue import best_timeliness
 from chromasea.streaming import composites
+from chromasea.streaming.restated import RestatedDays
 from chromasea.streaming.supersede import SupersedeTable
 
 KEYS = ("y", "x")
@@ -80,21 +81,48 @@ def _(spark, sf):
     return _micros(composites.detect_passes(view(spark, sf, "granules"), "12 hours"))
 
 
-def _granule_stream(spark, sf):
-    e = _event_stream(spark, sf)
-    return e.select(
-        F.when(F.col("event_id") % 2 == 0, "S3A").otherwise("S3B").alias("platform"),
-        (F.col("user_id") % 385).cast("int").alias("rel_orbit"), F.col("ts").alias("start_ts"))
+def _in_arrivals(spark, rows, ts, n=3, name="arrivals"):
+    """The rows as a stream of `n` micro-batches in the order of time, from files written one after the other."""
+    source = scratch_path(spark, name)
+    seconds = F.unix_seconds(F.col(ts).cast("timestamp"))
+    borders = rows.select(seconds.cast("double").alias("s")).approxQuantile("s", [i / n for i in range(1, n)], 0.01)
+    for low, high in zip([None, *borders], [*borders, None]):
+        part = rows if low is None else rows.where(seconds >= low)
+        (part if high is None else part.where(seconds < high)).coalesce(1).write.mode("append").parquet(source)
+    return composites.read_stream(spark, source, rows.schema, per_trigger=1)
 
 
 @query("t03_passes_stream", f"""
     select *, pass_end <= (select epoch_us(max(start_ts)) from granules) - 86400000000 as closed from ({_PASSES}) as p
 """)
 def _(spark, sf):
-    # append mode: a pass is final once the watermark, a day behind the latest granule, has gone by
-    stream = composites.detect_passes(_granule_stream(spark, sf), "12 hours")
-    closed = composites.run_to_table(stream, "passes", "append")
-    return _micros(composites.passes_with_open(closed, view(spark, sf, "granules"), "12 hours"))
+    # closed and open passes both come from the state of the stream, over several micro-batches
+    granules = view(spark, sf, "granules").select("platform", "rel_orbit", "start_ts")
+    followed = composites.follow_passes(_in_arrivals(spark, granules, "start_ts"), "12 hours")
+    passes = composites.run_to_table(followed, "passes", "update", keys=composites.key_of_passes())
+    return _micros(passes.where("n_granules > 0"))
+
+
+@query("t04_restated_days", f"""
+    with s as (select cast(ts as timestamp) as ts, cast(user_id % 6 as integer) as y, cast(event_id % 5 as integer) as x, value / 1.0037e0 as chl,
+        event_id % 10 = 0 as held from events),
+      w as (select max(ts) - interval 1 day as mark from s where not held)
+    select cast(ts as date) as day, y, x, avg(chl) as chl, count(chl) as n_chl,
+      count(*) filter (where held and date_trunc('day', ts) + interval 1 day <= mark) as n_late
+    from s cross join w group by 1, 2, 3
+""", 8, ("chl",))
+def _(spark, sf):
+    """A tenth of the rows arrives after all others, most of it when its day is closed."""
+    events = table(spark, sf, "events")
+    rows = events.select("event_id", F.col("ts").alias("start_ts"), (F.col("user_id") % 6).cast("int").alias("y"),
+                         (F.col("event_id") % 5).cast("int").alias("x"), (F.col("value") / 1.0037).alias("chl"))
+    source, checkpoint = scratch_path(spark, "late"), scratch_path(spark, "late-checkpoint")
+    days, out = RestatedDays(spark, ["chl"], KEYS), None
+    for held in (False, True):
+        rows.where((F.col("event_id") % 10 == 0) == held).write.mode("append").parquet(source)
+        out = days.run(composites.read_stream(spark, source, rows.schema), checkpoint)
+        days.compact()
+    return out
 
 
 @query("t04_late_data", f"""

@@ -7,12 +7,13 @@ plan is the batch twin.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chromasea.session import scratch_path
 
@@ -80,19 +81,61 @@ def detect_passes(df: DataFrame, gap: str = "30 minutes", keys: Sequence[str] =
     )
 
 
-def passes_with_open(closed: DataFrame, granules: DataFrame, gap: str = "30 minutes",
-                     keys: Sequence[str] = ("platform", "rel_orbit"), ts: str = "start_ts") -> DataFrame:
-    """T-03. Closed passes of a stream, and those still open, from its granules; `closed` tells them apart.
+PASS_STATE = "starts array<timestamp>, ends array<timestamp>, counts array<bigint>"
 
-    A stream gives a pass once the watermark has gone by its end. Granules outside every
-    closed pass of their key form the open ones, by the same rule on the static table.
+
+def follow_passes(stream: DataFrame, gap: str = "30 minutes", keys: Sequence[str] = ("platform", "rel_orbit"),
+                  ts: str = "start_ts", lateness: str = "1 day") -> DataFrame:
+    """T-03 on a stream, open passes included: every pass a trigger changed, and each that the watermark has closed.
+
+    The state of a key is its open passes (start, end, number); granules extend, join or begin some, and an
+    event-time timer at the earliest end closes them. Run it in update mode with `key_of_passes(keys)` as keys: the latest row
+    of a start counts, and one with no granules says that the pass was joined to an earlier one. Late granules are
+    dropped by the watermark, as in append mode. A null key is a key.
     """
-    timed = granules.withColumn(ts, F.col(ts).cast("timestamp"))
-    ended = closed.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("pass_start").alias("_start"), F.col("pass_end").alias("_end"))
-    same = [timed[k].eqNullSafe(F.col(f"_{k}")) for k in keys]
-    inside = reduce(lambda a, b: a & b, [*same, timed[ts] >= F.col("_start"), timed[ts] < F.col("_end")])
-    still = detect_passes(timed.join(ended, inside, "left_anti"), gap, keys, ts)
-    return closed.withColumn("closed", F.lit(True)).unionByName(still.withColumn("closed", F.lit(False)))
+    names = list(keys)
+    kinds = dict(stream.dtypes)
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in names) + ", pass_start timestamp, pass_end timestamp, n_granules bigint, closed boolean"
+    width = pd.Timedelta(gap)
+
+    def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        before = list(zip(*state.get)) if state.exists else []
+        out: list[tuple] = []
+        if state.hasTimedOut:
+            now = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
+            out = [(*p, True) for p in before if p[1] <= now]
+            after = [p for p in before if p[1] > now]
+        else:
+            arrived = [(t, t + width, 1) for frame in frames for t in frame[ts] if not pd.isna(t)]
+            after = []
+            for start, end, n in sorted([*((pd.Timestamp(a), pd.Timestamp(b), c) for a, b, c in before), *arrived]):
+                if after and start < after[-1][1]:
+                    after[-1] = (after[-1][0], max(after[-1][1], end), after[-1][2] + n)
+                else:
+                    after.append((start, end, n))
+            known = {pd.Timestamp(p[0]): p for p in before}
+            out = [(*p, False) for p in after if p[0] not in known or tuple(known[p[0]])[1:] != p[1:]]
+            out += [(start, p[1], 0, False) for start, p in known.items() if start not in {a[0] for a in after}]
+        if after:
+            state.update(tuple(map(list, zip(*after))))
+            # A timer must lie behind the watermark; a pass that ends there or before is closed by the next one.
+            end = int(min(pd.Timestamp(p[1]) for p in after).timestamp() * 1000)
+            state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        if out:
+            rows = pd.DataFrame(out, columns=["pass_start", "pass_end", "n_granules", "closed"])
+            for at, name in enumerate(names):
+                rows.insert(at, name, [key[at]] * len(rows))
+            yield rows
+
+    timed = _timed(stream, ts, lateness).select(*names, ts)
+    return timed.groupBy(*names).applyInPandasWithState(follow, schema, PASS_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+
+
+def key_of_passes(keys: Sequence[str] = ("platform", "rel_orbit")) -> list[str]:
+    """Columns that name a pass in the table of `follow_passes`."""
+    return [*keys, "pass_start"]
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, per_trigger: int | None = None) -> DataFrame:

@@ -23,9 +23,9 @@ class SupersedeTable:
     before it and writes the same place again, so the merge is idempotent, and a
     new checkpoint never hides rows that an older one stored.
 
-    All columns of the look-up are partition columns: finding the latest versions
-    lists folders, and the join with them prunes files of older ones. The
-    checkpoint lies beside the table unless another is named.
+    A batch reads the folders of its own dates alone, and removes their versions before the last but one, so the
+    table doesn't grow with the number of batches; a reader that has begun before has to be run again.
+    Rows without a date are stored like those of any date. The checkpoint lies beside the table unless another is named.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, keys: Sequence[str] = ("obs_date", "y", "x"),
@@ -52,12 +52,14 @@ class SupersedeTable:
         name = f"{source}-{batch_id}"
         every = self._every()
         rows, before = batch, None
+        # The dates of a batch, a row each: as constants they keep the scan to the folders of these dates.
+        dates = [r[0] for r in batch.select(self.day).distinct().collect()]
         if every is not None:
-            touched = batch.select(self.day).distinct()
+            every = every.where(F.col(self.day).isin(dates))
             others = every.where(F.col("batch") != name)
             own = every.where(F.col("batch") == name).select(self.day, F.col("version").alias("_own")).distinct()
             # what a repeated batch merges with is what lay below its own version then
-            held = others.join(touched, self.day, "left_semi").join(own, self.day, "left").where(F.col("_own").isNull() | (F.col("version") < F.col("_own"))).drop("_own")
+            held = others.join(own, self.day, "left").where(F.col("_own").isNull() | (F.col("version") < F.col("_own"))).drop("_own")
             current = self._latest(held)
             before = current.select(self.day, "version").distinct()
             rows = current.drop("version", "batch").unionByName(batch)
@@ -69,6 +71,18 @@ class SupersedeTable:
         salt = F.pmod(F.xxhash64(*self.keys), F.lit(self.files_per_day))
         best.withColumn("batch", F.lit(name)).repartition(self.day, salt).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy(self.day, "version", "batch").parquet(f"{self.path}/rows")
+        self._remove_older(dates)
+
+    def _remove_older(self, dates: Sequence) -> None:
+        """Of the dates that a batch touched, keep the version it wrote and the one before, from which it may be repeated."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/rows")
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for date in dates:
+            found = files.globStatus(jvm.org.apache.hadoop.fs.Path(root, f"{self.day}={date}/version=*")) or []
+            versions = sorted(((int(f.getPath().getName().split("=")[1]), f.getPath()) for f in found), key=lambda v: v[0])
+            for _, path in versions[:-2]:
+                files.delete(path, True)
 
     def read(self) -> DataFrame:
         every = self._every()

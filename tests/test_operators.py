@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from chromasea.functions import projection
 from chromasea.functions.weights import spatial_weight, temporal_weight
 from chromasea.operators import climatology, composite, coefficients, grid, grouping, neighbours, overlap, quality, ranges, resample
+from chromasea.operators.months import MonthlyState
 from chromasea.operators.neighbours import smooth_3x3
 from chromasea.sources import catalogue
 
@@ -284,6 +285,34 @@ def test_sets_read_pixels_once_and_shuffle_twice(spark):
     assert overlap.set_table(p.limit(0), 2, ["a"]).count() == 0
 
 
+def test_months_follow_any_order_of_arrivals_and_replacements(spark, tmp_path):
+    r = random.Random(6)
+    days = [date(2001, m, d) for m in (1, 2) for d in range(1, 7)]
+
+    def values(ds):
+        return {(d, y, x): r.choice([r.random() * 9, r.random(), None, -1.0]) for d in ds for y in range(3) for x in range(2) if r.random() < 0.7}
+
+    months, stored = MonthlyState(spark, "chl", str(tmp_path / "months")), {}
+    with pytest.raises(ValueError):
+        months.read()
+    r.shuffle(days)
+    batches = [days[:5], days[5:], days[2:8], days[:1], days]
+    for n, ds in enumerate(batches):
+        new = values(ds)
+        # A day is replaced as a whole, so cells that it no longer holds go; a day without any row is no part of the batch.
+        seen = {d for d, _, _ in new}
+        stored = {k: v for k, v in stored.items() if k[0] not in seen} | new
+        df = spark.createDataFrame([(*k, v) for k, v in new.items()] + [(None, 0, 0, 1.0)], "obs_date date, y int, x int, chl double")
+        for _ in range(2 if n == 2 else 1):  # the third batch is repeated
+            months.update(df, f"batch{n}")
+        whole = composite.monthly_composite(spark.createDataFrame([(*k, v) for k, v in stored.items()], df.schema), "chl")
+        expected = {(m.month, m.y, m.x): (m.value, m.value_count, m.value_error) for m in whole.collect() if m.value_count}
+        got = {(m.month, m.y, m.x): (m.value, m.value_count, m.value_error) for m in months.read().collect() if m.value_count}
+        assert got.keys() == expected.keys()
+        for key, (value, count, error) in expected.items():
+            assert got[key][:2] == (pytest.approx(value), count) and got[key][2] == (error if error is None else pytest.approx(error, abs=1e-9))
+
+
 def test_gap_on_a_limit_is_in_the_upper_class(spark):
     df = spark.createDataFrame([(99, 1.5, True), (100, 3.0, False), (1000, 23.9, True), (5, 24.0, True)], "n_pixels int, hours double, mixed boolean")
     got = [(r.size_class, r.gap_class) for r in overlap.classify_sets(df).collect()]
