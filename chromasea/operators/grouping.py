@@ -11,6 +11,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Axes of the cuts that part a day into blocks, in turn.
+CUTS = ("y", "x", "y")
+
+
 class _OpenGroups:
     """Extents of the groups of one day that can still grow, oldest first."""
 
@@ -47,6 +51,22 @@ class _OpenGroups:
         return group
 
 
+def separate_blocks(granules: DataFrame, day: str = "obs_date", order: str = "granule_index") -> tuple[DataFrame, list[str]]:
+    """Granules with the columns that tell their block within the day, and the names of these columns.
+
+    Cuts run through gaps along y, then along x in each part, then along y again, found by running maxima. All of them keep the
+    partitioning by day of the first; only the order changes.
+    """
+    blocks, names = granules, []
+    for n, axis in enumerate(CUTS):
+        rows = W.partitionBy(day, *names).orderBy(f"{axis}_min", f"{axis}_max", order)
+        reach = F.max(f"{axis}_max").over(rows.rowsBetween(W.unboundedPreceding, -1))
+        fresh = blocks.withColumn("_fresh", F.when(F.col(f"{axis}_min") > reach, 1).otherwise(0))
+        blocks = fresh.withColumn(f"_block{n}", F.sum("_fresh").over(rows.rowsBetween(W.unboundedPreceding, 0))).drop("_fresh")
+        names.append(f"_block{n}")
+    return blocks, names
+
+
 def group_granules(granules: DataFrame, cap: int, th: int = -1, day: str = "obs_date",
                    order: str = "granule_index") -> DataFrame:
     """O-03. Groups of at most `cap` granules per day, each growing from its first granule.
@@ -55,35 +75,32 @@ def group_granules(granules: DataFrame, cap: int, th: int = -1, day: str = "obs_
     grown extent it meets (rule J-05), or opens a new one; this gives the groups
     of a repeated scan in a single pass.
 
-    A group never spans a gap between rows of the grid, so a day falls into blocks
-    of granules whose row ranges meet, found by a running maximum. Blocks are
+    A group never spans a gap between the rows of its day, nor one between the columns of such a block, and so on: each cut leaves
+    blocks that no group leaves, so a day falls into separated regions by cuts along y, x and y again. Blocks are
     independent: each is one sequential pass over the sorted catalogue (one row
     per granule), streamed in Arrow batches, and a task holds the extents of open
     groups only. Group numbers of the day follow from each group's first granule.
-    A day without gaps is one block.
+    A day without gaps either way is one block.
     """
     kept = granules if th < 0 else granules.where(F.col("n_valid") > th)
-    rows = W.partitionBy(day).orderBy("y_min", "y_max", order)
-    reach = F.max("y_max").over(rows.rowsBetween(W.unboundedPreceding, -1))
-    fresh = F.when(F.col("y_min") > reach, 1).otherwise(0)
-    blocks = kept.withColumn("_fresh", fresh).withColumn("_block", F.sum("_fresh").over(rows.rowsBetween(W.unboundedPreceding, 0))).drop("_fresh")
+    blocks, block = separate_blocks(kept, day, order)
     schema = T.StructType([*blocks.schema.fields, T.StructField("_group", T.LongType())])
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, groups = None, _OpenGroups()
         for pdf in batches:
             out = np.empty(len(pdf), dtype=np.int64)
-            boxes = zip(pdf[day], pdf["_block"], pdf["y_min"], pdf["y_max"], pdf["x_min"], pdf["x_max"])
-            for i, (d, block, *box) in enumerate(boxes):
-                if (d, block) != current:
-                    current, groups = (d, block), _OpenGroups()
+            boxes = zip(pdf[day], zip(*(pdf[b] for b in block)), pdf["y_min"], pdf["y_max"], pdf["x_min"], pdf["x_max"])
+            for i, (d, part, *box) in enumerate(boxes):
+                if (d, part) != current:
+                    current, groups = (d, part), _OpenGroups()
                 out[i] = groups.place(*box, cap)
             yield pdf.assign(_group=out)
 
-    placed = blocks.repartition(day, "_block").sortWithinPartitions(day, "_block", order).mapInPandas(assign, schema)
+    placed = blocks.repartition(day, *block).sortWithinPartitions(day, *block, order).mapInPandas(assign, schema)
     # Groups are numbered behind the same pass: by windows over its rows, not by a second reading of it.
-    first = F.min(order).over(W.partitionBy(day, "_block", "_group"))
-    number = F.dense_rank().over(W.partitionBy(day).orderBy("_first", "_block", "_group")).cast("bigint")
+    first = F.min(order).over(W.partitionBy(day, *block, "_group"))
+    number = F.dense_rank().over(W.partitionBy(day).orderBy("_first", *block, "_group")).cast("bigint")
     return placed.withColumn("_first", first).withColumn("group_id", number).select(*granules.columns, "group_id")
 
 

@@ -251,6 +251,18 @@ def test_granule_sets_and_spectra(spark):
     assert hist == {("count", 2): 3.0, ("count", 3): 1.0, ("valid", None): 4.0, ("percent_overlap", None): 100.0}
 
 
+def test_a_day_without_empty_rows_falls_into_regions(spark):
+    # Two columns of boxes: the left one fills all rows, the right one has a gap that only the second cut along y can see.
+    rows = [(y, y + 12, 0, 9) for y in range(0, 100, 10)] + [(y, y + 5, 40, 49) for y in (0, 4, 60, 64)]
+    df = boxes(spark, rows).withColumn("granule_index", F.col("granule_id"))
+    blocks, names = grouping.separate_blocks(df)
+    assert blocks.select(*names).distinct().count() == 3
+    grouped = grouping.group_granules(df, cap=4)
+    assert grouped._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 1
+    got = {r.granule_id: r.group_id for r in grouped.collect()}
+    assert [got[i] for i in range(len(rows))] == [1, 1, 1, 1, 2, 2, 2, 2, 3, 3, 4, 4, 5, 5]
+
+
 def test_extent_by_brute_force_without_rows_for_pairs(spark, monkeypatch):
     monkeypatch.setattr(overlap, "HOT_TILE", 5)
     rng = random.Random(2)
