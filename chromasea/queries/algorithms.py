@@ -8,11 +8,11 @@ from chromasea.functions import bandratio, iop, kernels, plankton
 from chromasea.operators import coefficients, gpr
 from chromasea.operators.climatology import climatology
 from chromasea.plans.archive import archive_quality
-from chromasea.plans.daily import add_band_ratio_products, daily_reflectance, mask_pixels, monthly_chlorophyll
+from chromasea.plans.daily import add_band_ratio_products, daily_reflectance, mask_pixels, monthly_chlorophyll, olci_month
 from chromasea.plans.multi import multi_products
 from chromasea.plans.plankton import plankton_chain
 from chromasea.queries import geography
-from chromasea.queries.aggregates import LIMITS
+from chromasea.queries.aggregates import CENTRAL, LIMITS
 from chromasea.queries.base import VECTOR, query, table, view
 from chromasea.queries.expressions import BANDS5, FLAGS, MASKING
 from chromasea.queries.joins import ALPHA_RQ, SCALES, SIGMA_F, SIGMA_L
@@ -426,3 +426,32 @@ def _(spark, sf):
 """, 6, ("chl", "qi_chl"))
 def _(spark, sf):
     return archive_quality(view(spark, sf, "daily"), "chl", SIDE, SIDE)
+
+
+# Swaths of eight granules, nine days apart.
+_OLCI_BANDS = ("rrs443", "rrs490", "rrs510", "rrs560")
+_OLCI_LAT, _OLCI_DOMAIN, _OLCI_VALID = 89.99, 70.0, 300
+_INSIDE = f"{geography.sql_lonlat('y', 'x', geography.TOY)[1]} >= {_OLCI_DOMAIN}"
+_OLCI_DAY = f"""(select obs_date, y, x, dayofyear(obs_date) as doy, rrs560, {', '.join(f'case when {" and ".join(f"{c} >= 0" for c in CENTRAL)} then {b} end as {b}' for b in CENTRAL)}
+    from (select obs_date, y, x, {', '.join(f'avg(case when mask > 0 and {b} between {LIMITS[b][0]} and {LIMITS[b][1]} and {_INSIDE} then {b} end) as {b}' for b in _OLCI_BANDS)}
+      from (select *, count(case when mask = 1 then 1 end) over (partition by granule_id) as n_valid from (
+          select granule_id, y, x, cast(date '2000-03-01' + cast(granule_id * 9 as integer) as date) as obs_date, 1 - mask_default as mask,
+            {', '.join(f'{e} as {b}' for b, e in _BANDS_FROM_V.items())}
+          from ({geography.NEAREST}) as k
+          where granule_id in (select granule_id from swath_pts group by 1 having max(lat) >= {_OLCI_LAT})) as l) as m
+      where n_valid > {_OLCI_VALID} group by 1, 2, 3) as c)"""
+
+
+@query("plan_olci_month", f"""
+    select cast(date_trunc('month', obs_date) as date) as month, y, x, avg(case when chl > 0 then chl end) as value,
+      count(case when chl > 0 then 1 end) as value_count, var_samp(case when chl > 0 then chl end) as value_error,
+      sqrt(var_samp(case when chl > 0 then chl end)) as value_std
+    from (select obs_date, y, x, case when chl between 0.003 and 100 then chl end as chl
+      from ({_gpr_sql('doy', _OLCI_DAY, 'obs_date, y, x')}) as g) as h group by 1, 2, 3
+""", 6, ("value", "value_error", "value_std"))
+def _(spark, sf):
+    swath = view(spark, sf, "swath_pts").selectExpr(
+        "granule_id", "case when granule_id % 2 = 0 then 'S3A' else 'S3B' end as platform", "date_add(date'2000-03-01', cast(granule_id * 9 as int)) as obs_date",
+        "row", "col", "lat", "lon", "1 - mask_default as mask", *[f"{e} as {b}" for b, e in _BANDS_FROM_V.items()])
+    limits = {b: LIMITS[b] for b in _OLCI_BANDS}
+    return olci_month(swath, geography.TOY, geography.RADIUS, limits, CENTRAL, _gpr_model(spark, sf, "doy"), "doy", _OLCI_LAT, _OLCI_DOMAIN, _OLCI_VALID, geography.BITS)
