@@ -9,7 +9,7 @@ from chromasea.operators import coefficients, gpr
 from chromasea.operators.climatology import climatology
 from chromasea.plans.archive import archive_quality
 from chromasea.plans.daily import add_band_ratio_products, daily_reflectance, mask_pixels, monthly_chlorophyll, olci_month
-from chromasea.plans.multi import multi_products
+from chromasea.plans.multi import multi_month, multi_products
 from chromasea.plans.plankton import plankton_chain
 from chromasea.queries import geography
 from chromasea.queries.aggregates import CENTRAL, LIMITS
@@ -455,3 +455,26 @@ def _(spark, sf):
         "row", "col", "lat", "lon", "1 - mask_default as mask", *[f"{e} as {b}" for b, e in _BANDS_FROM_V.items()])
     limits = {b: LIMITS[b] for b in _OLCI_BANDS}
     return olci_month(swath, geography.TOY, geography.RADIUS, limits, CENTRAL, _gpr_model(spark, sf, "doy"), "doy", _OLCI_LAT, _OLCI_DOMAIN, _OLCI_VALID, geography.BITS)
+
+
+_CLASSES_OF_MONTH = ("chl", *plankton.CLASSES[:3])
+_SCENE = f"""(select obs_date, y, x, dayofyear(obs_date) as doy, {', '.join(f'case when inside then {b} end as {b}' for b in _BANDS_FROM_V)}
+    from (select cast(date '2000-03-01' + cast(granule_id * 9 as integer) as date) as obs_date, y, x,
+        {geography.sql_lonlat('y', 'x', geography.TOY)[1]} >= 65 as inside, {', '.join(f'{e} as {b}' for b, e in _BANDS_FROM_V.items())}
+      from ({geography.NEAREST}) as k) as l)"""
+_SCENE_CHL = f"""select obs_date, y, x, case when chl between 0.003 and 100 then chl end as chl
+    from ({_gpr_sql('doy', _SCENE, 'obs_date, y, x')}) as g"""
+
+
+@query("plan_multi_month", f"""
+    with d as (select * from ({sql_plankton(_SCENE_CHL, 'obs_date, y, x, chl')}) as p),
+      u as ({' union all '.join(f"select obs_date, y, x, '{c}' as product, cast({c} as double) as value from d" for c in _CLASSES_OF_MONTH)})
+    select cast(date_trunc('month', obs_date) as date) as month, product, y, x, avg(case when value > 0 then value end) as value,
+      count(case when value > 0 then 1 end) as value_count, var_samp(case when value > 0 then value end) as value_error,
+      sqrt(var_samp(case when value > 0 then value end)) as value_std
+    from u group by 1, 2, 3, 4
+""", 6, ("value", "value_error", "value_std"))
+def _(spark, sf):
+    scene = view(spark, sf, "swath_pts").selectExpr(
+        "date_add(date'2000-03-01', cast(granule_id * 9 as int)) as obs_date", "row", "col", "lat", "lon", *[f"{e} as {b}" for b, e in _BANDS_FROM_V.items()])
+    return multi_month(scene, geography.TOY, list(_BANDS_FROM_V), _gpr_model(spark, sf, "doy"), "doy", _CLASSES_OF_MONTH, None, geography.RADIUS, bits=geography.BITS)
