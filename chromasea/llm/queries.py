@@ -61,7 +61,7 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-@query("op4_rule_ledger", """
+_MEASURES = """
     WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
     g AS (SELECT doc_id, i, words[i] || chr(10) || words[i + 1] || chr(10) || words[i + 2] AS gram FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
     r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) >= 2),
@@ -71,7 +71,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
                  length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_lines, 0) AS n_lines,
                  coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
-          FROM w LEFT JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)),
+          FROM w LEFT JOIN l USING (doc_id) LEFT JOIN c USING (doc_id))"""
+
+
+@query("op4_rule_ledger", f"""{_MEASURES},
     f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            NOT (base_failed OR 10 * word_chars < 25 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines) AS kept
@@ -87,6 +90,27 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_V1 = ("few_words", "n_words < 50"), ("repeated_words", "100 * n_repeat_words > 50 * n_words"), ("short_mean_word", "10 * word_chars < 25 * n_words"), \
+    ("long_mean_word", "word_chars > 15 * n_words"), ("many_symbols", "10 * n_symbols > n_words"), ("repeated_lines", "100 * n_dup_lines > 30 * n_lines")
+
+
+@query("ledger_ablations", f"""{_MEASURES},
+    f AS (SELECT {', '.join(f'({sql}) AS {name}' for name, sql in _V1)} FROM m),
+    n AS (SELECT *, {' + '.join(f'{name}::BIGINT' for name, _ in _V1)} AS n_failed FROM f)
+    SELECT * FROM ({' UNION ALL '.join(
+        f"SELECT '{name}' AS rule, count(*) FILTER ({name}) AS failing, count(*) FILTER ({name} AND n_failed = 1) AS failing_alone, "
+        f"count(*) FILTER ({name} AND n_failed > 1) AS failing_with_others, count(*) FILTER (n_failed = 0) AS kept, "
+        f"count(*) FILTER (n_failed = 0 OR ({name} AND n_failed = 1)) AS kept_without FROM n" for name, _ in _V1)})""")
+def ledger_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy does to all documents, from the stored ledger: kept with it, and without it."""
+    from chromasea.llm.rules import POLICIES, ablations, apply_policies, ledger, measure
+    from chromasea.llm.shared import materialise
+
+    rows = materialise(ledger(measure(table(spark, sf_dir, "documents"))), "ledger")
+    kept = apply_policies(rows, {"v1": POLICIES["v1"]}).agg(F.count_if("kept_v1").alias("kept")).first().kept
+    return ablations(rows, POLICIES["v1"]).withColumns({"kept": F.lit(kept).cast("long"), "kept_without": F.lit(kept) + F.col("failing_alone")})
+
+
 @query("op7_sentence_spans")
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the sentences of repeated passages, and how many went."""
