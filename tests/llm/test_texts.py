@@ -400,3 +400,84 @@ def test_mixtures_and_awkward_texts(spark, awkward):
 def test_nothing_learned(spark):
     rows = mixture.predict(frame(spark, [(1, "abc")]).selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang")).collect()
     assert [(r.lang_pred, r.score) for r in rows] == [("und", 0.0)]
+
+
+def plain_trigrams(text):
+    small = (text or "").lower()
+    if not any(c.isalpha() for c in small):
+        return []
+    letters, was = [" "], False
+    for c in small:
+        if c.isalpha():
+            letters.append(c)
+        elif was:
+            letters.append(" ")
+        was = c.isalpha()
+    letters.append(" ")
+    out = []
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        mixed = (ord(a) * 0x9E3779B1 + ord(b) * 0x85EBCA77 + ord(c) * 0xC2B2AE3D) % 2**32
+        out.append((mixed ^ mixed >> 15) * 0x85EBCA77 % 2**32 >> 17)
+    return out
+
+
+def plain_fit(grams, odds):
+    """Shares and mean log likelihood by expectation maximisation, gram by gram."""
+    share = {k: 1 / len(odds) for k in odds}
+    total = sum(grams.values())
+    for _ in range(mixture.STEPS if len(odds) > 1 else 0):
+        new = dict.fromkeys(odds, 0.0)
+        for g, n in grams.items():
+            whole = sum(odds[k][g] * share[k] for k in odds)
+            for k in odds:
+                new[k] += n / total * odds[k][g] * share[k] / whole
+        done = max(abs(new[k] - share[k]) for k in odds) < 1e-4
+        share = new
+        if done:
+            break
+    return share, sum(n / total * np.log(sum(odds[k][g] * share[k] for k in odds)) for g, n in grams.items())
+
+
+def test_language_mixture_by_brute_force(spark):
+    """Counting, expectation maximisation and the removal of languages written plainly."""
+    import zlib
+
+    docs = [(r.doc_id, r.text, r.lang) for r in docs_of(spark).collect() if len(r.text or "") < 2500]
+    mixed = [(9000 + i, f"{a[1]} {b[1]}", None) for i, (a, b) in enumerate(zip(docs[:6], docs[6:12]))]
+    docs += [*mixed, (9100, None, "en"), (9101, "12 34", "de"), (9102, "ß", None)]
+    counts, fold = defaultdict(Counter), {k: zlib.crc32(str(k).encode()) % 5 == 0 for k, _, _ in docs}
+    for key, text, lang in docs:
+        if not fold[key] and lang is not None and text is not None:
+            counts[lang].update(plain_trigrams(text))
+    odds = {k: [(c[g] + mixture.SMOOTHING) / (sum(c.values()) + mixture.SMOOTHING * mixture.BUCKETS) for g in range(mixture.BUCKETS)] for k, c in sorted(counts.items())}
+    expected = {}
+    for key, text, _ in docs:
+        grams = Counter(plain_trigrams(text))
+        n = sum(grams.values())
+        if not n:
+            expected[key] = ("und", 0.0)
+            continue
+        left = dict(odds)
+        share, fit = plain_fit(grams, left)
+        while True:
+            small = {k for k in left if share[k] < min(mixture.LEAST_SHARE, max(share.values()))}
+            if small:
+                left = {k: v for k, v in left.items() if k not in small}
+                share, fit = plain_fit(grams, left)
+            if len(left) == 1:
+                break
+            least = min(left, key=lambda k: share[k])
+            fewer = {k: v for k, v in left.items() if k != least}
+            share_1, fit_1 = plain_fit(grams, fewer)
+            if (fit - fit_1) * n / mixture.OVERLAP > 0.5 * np.log(n):
+                break
+            left, share, fit = fewer, share_1, fit_1
+        first = max(left, key=lambda k: share[k])
+        logs = {k: sum(m * np.log(odds[k][g]) for g, m in grams.items()) / mixture.OVERLAP for k in odds}
+        chance = {k: np.exp(v - max(logs.values())) for k, v in logs.items()}
+        expected[key] = (first, share[first] * chance[first] / sum(chance.values()))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").withColumn("shares", F.lit("clash"))
+    got = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in mixture.predict(df).collect()}
+    assert got.keys() == expected.keys() and {k: v[0] for k, v in got.items()} == fold
+    assert {k: v[1] for k, v in got.items()} == {k: v[0] for k, v in expected.items()}
+    assert all(got[k][2] == pytest.approx(expected[k][1], abs=1e-6) for k in expected)
