@@ -20,7 +20,7 @@ def climatology(daily: DataFrame, col: str, ny: int, nx: int, window: int = 11,
     """R-09. Eleven statistics per month-day and cell over a moving window of days and neighbours.
 
     `daily` holds at most one value per day and cell, as composites do. Without `years` the range is that of
-    the data (a subquery of the plan). Standard deviations of equal values are 0; `w_std` of one value is null.
+    the data (a subquery of the plan). Values that are null or not a number are missing; rows without a day or cell are left out. Standard deviations of equal values are 0; `w_std` of one value is null.
 
     One shuffle, of the values and copies of the tiles' rims, to the tile of their cell. A task lays the days of a tile
     out as a grid (cells by days, as large as a tile of the archive is) and slices the windows of all years and neighbours
@@ -29,7 +29,9 @@ def climatology(daily: DataFrame, col: str, ny: int, nx: int, window: int = 11,
     """
     half = window // 2
     value = F.log10(F.when(F.col(col) > 0, F.col(col))) if log else F.col(col).cast("double")
-    source = daily.select(F.col("obs_date").cast("date").alias("obs_date"), "y", "x", value.alias("_v")).where(F.col("_v").isNotNull())
+    source = daily.select(F.col("obs_date").cast("date").alias("obs_date"), "y", "x", value.alias("_v")).where(F.col("_v").isNotNull() & F.col("obs_date").isNotNull())
+    # One cell beyond the grid is still a neighbour; others, and rows without a cell, are none.
+    source = source.where(F.col("y").between(-1, ny) & F.col("x").between(-1, nx))
     if years is None:
         bounds = source.agg(F.struct(F.min(F.year("obs_date")).alias("first"), F.max(F.year("obs_date")).alias("last"))).scalar()
     else:

@@ -93,8 +93,10 @@ def moving_sums(daily: DataFrame, col: str, half: int = 5, date: str = "obs_date
     day, v = F.col("_day"), F.col("_v")
     rows = daily.where(F.col(col).isNotNull()).select(*cell, F.unix_date(F.col(date)).alias("_day"), F.col(col).cast("double").alias("_v"))
     before = F.lag("_day").over(W.partitionBy(*cell).orderBy("_day"))
-    targets = F.transform(F.sequence(F.greatest(day - half, F.coalesce(before + half + 1, day - half)), day + half),
-                          lambda t: F.struct(t.alias("_day"), F.lit(None).cast("double").alias("_v"), F.lit(True).alias("_target")))
+    begin = F.greatest(day - half, F.coalesce(before + half + 1, day - half))
+    # A second row of a day brings no target days.
+    fresh = F.when(begin <= day + half, F.sequence(begin, day + half)).otherwise(F.array().cast("array<int>"))
+    targets = F.transform(fresh, lambda t: F.struct(t.alias("_day"), F.lit(None).cast("double").alias("_v"), F.lit(True).alias("_target")))
     own = F.array(F.struct(day.alias("_day"), v.alias("_v"), F.lit(False).alias("_target")))
     lines = rows.withColumn("_lines", F.concat(targets, own)).select(*cell, F.inline("_lines"))
     order = W.partitionBy(*cell).orderBy("_day")

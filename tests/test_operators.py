@@ -387,10 +387,22 @@ def test_equal_values_have_no_deviation_and_years_follow_from_the_data(spark):
     assert climatology.climatology(df.where("chl > 100"), "chl", 3, 3).collect() == []
 
 
+def test_climatology_of_rows_beyond_the_grid_and_without_a_cell(spark):
+    inside = [(date(2001, 6, d), y, x, d + y + 0.5 * x) for d in (3, 9) for y in range(5) for x in range(5)]
+    rim = [(date(2001, 6, 5), -1, 2, 50.0), (date(2001, 6, 5), 5, 5, 60.0)]
+    odd = [(date(2001, 6, 5), -2, 0, 1.0), (date(2001, 6, 5), 0, 7, 1.0), (date(2001, 6, 5), None, 0, 1.0), (None, 0, 0, 1.0), (date(2001, 6, 5), 0, 0, float("nan"))]
+    df = spark.createDataFrame(inside + rim + odd, "obs_date date, y int, x int, chl double")
+    got = {(r.mmdd, r.y, r.x): r for r in climatology.climatology(df, "chl", 5, 5).collect()}
+    want = brute_climatology({(d, y, x): v for d, y, x, v in inside + rim}, 5, (2001, 2001))
+    assert got.keys() == want.keys()
+    assert all((got[k].nofobs, got[k].max) == (len(v), max(s[0] for s in v)) for k, v in want.items())
+
+
 def test_moving_sums_are_those_of_the_copies(spark):
     rng = random.Random(8)
     days = [date(2019, 12, 25) + timedelta(days=i) for i in range(90)]
     rows = [(d, y, 0, rng.choice([rng.random(), None])) for d in days for y in range(4) if rng.random() < (0.1, 0.4, 0.9, 1.0)[y]]
+    rows += rows[::7]
     df = spark.createDataFrame(rows, "obs_date date, y int, x int, chl double")
     w = temporal_weight(F.col("offset"), 5)
     plain = neighbours.day_window(df.where("chl IS NOT NULL")).groupBy("y", "x", "target_date").agg(
