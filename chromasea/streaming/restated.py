@@ -48,7 +48,7 @@ class RestatedDays:
             others = pieces.where(F.col("piece") != name)
             # Only batches before this one of the same source, and all other sources, were there then.
             earlier = others.where((F.col("source") != source) | (F.col("number") < batch_id))
-            watermark = F.lit(earlier.agg(F.max("latest")).first()[0]) - F.expr(f"interval {self.lateness}")
+            watermark = F.lit(earlier.agg(F.max("latest")).first()[0]).cast("timestamp") - F.expr(f"interval {self.lateness}")
         timed = batch.withColumn(self.ts, F.col(self.ts).cast("timestamp")).where(F.col(self.ts).isNotNull()).withColumn("day", F.col(self.ts).cast("date"))
         late = F.coalesce(F.date_add("day", 1).cast("timestamp") <= watermark, F.lit(False))
         sums = timed.groupBy("day", *self.keys).agg(
