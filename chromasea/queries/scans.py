@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chromasea.operators import quality, resample
 from chromasea.queries.base import query, table, view
+from chromasea.queries.expressions import FLAGS, MASKING
 from chromasea.schema import complete_rows, require_columns
 from chromasea.session import scratch_path
 from chromasea.sources import catalogue, layout, manifest, pixels, reports
@@ -97,6 +99,34 @@ def _(spark, sf):
     return reports.read_report(spark, path, "source bigint, n_total bigint, n_valid bigint")
 
 
+@query("s06_resample_report", """
+    with i as (select *, cast(row_number() over (partition by obs_date order by name) as integer) as granule_index from granules),
+      p as (select obs_date, platform, rel_orbit, row_number() over (partition by obs_date order by min(granule_index)) as place from i group by 1, 2, 3),
+      c as (select granule_id, cast(max(x) + 1 as integer) as width, cast(max(y) + 1 as integer) as height, count(*) as n_total,
+          cast(sum(cast(flags & 65548 <> 0 as int)) as bigint) as n_flagged, cast(sum(cast(flags & 2 <> 0 as int)) as bigint) as n_water1,
+          cast(sum(cast(flags & 4 = 0 as int)) as bigint) as n_water2, cast(sum(1 - mask_default) as bigint) as n_valid,
+          count(mask) as landed, cast(sum(case when mask = 1 then 1 else 0 end) as bigint) as clean from scene group by 1)
+    select i.name as "Source", strftime(start_ts, '%Y%m%dT%H%M%S') as "StartDate", i.rel_orbit as "RelOrbit", granule_index as "GranuleIndex",
+      cast(power(2, (place - 1) % 62) as bigint) as "OrbitIndex", width as "OrigWidth", height as "OrigHeight", n_total as "OrigNTotal", n_flagged as "OrigNFlagged",
+      n_water1 as "OrigNWater1", n_water2 as "OrigNWater2", c.n_valid as "OrigNValid", coalesce(100e0 * c.n_valid / nullif(n_water2, 0), 0) as "OrigPValid",
+      y_min as "YMin", y_max as "YMax", x_min as "XMin", x_max as "XMax", x_max - x_min as "Width", y_max - y_min as "Height",
+      landed as "NTotal", clean as "NValid", coalesce(100e0 * clean / nullif(landed, 0), 0) as "PValid"
+    from i join p on i.obs_date = p.obs_date and i.platform = p.platform and i.rel_orbit = p.rel_orbit join c on c.granule_id = i.granule_id
+""", 8, ("OrigPValid", "PValid"))
+def _(spark, sf):
+    """The 22 columns, from counters, index and boxes, written and read back."""
+    scene = view(spark, sf, "scene")
+    counters = quality.granule_counters(scene, FLAGS, MASKING)
+    sizes = scene.groupBy("granule_id").agg((F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"))
+    landed = resample.resample_report(scene, counters.join(sizes, "granule_id"))
+    indexed = catalogue.index_granules(view(spark, sf, "granules")).drop("n_valid").withColumn("start_date", F.date_format("start_ts", "yyyyMMdd'T'HHmmss"))
+    path = scratch_path(spark, "resample-report")
+    reports.write_report(reports.resample_report_rows(indexed.join(landed, "granule_id")), path)
+    kinds = {"Source": "string", "StartDate": "string", "OrigPValid": "double", "PValid": "double"}
+    longs = ("OrbitIndex", "OrigNTotal", "OrigNFlagged", "OrigNWater1", "OrigNWater2", "OrigNValid", "NTotal", "NValid")
+    return reports.read_report(spark, path, ", ".join(f"{c} {kinds.get(c, 'bigint' if c in longs else 'int')}" for c in reports.RESAMPLE_REPORT))
+
+
 @query("s07_complete_rows", """
     select granule_id, y, x, rrs443 as rrs442_5, rrs490 from obs where rrs443 is not null and rrs490 is not null
 """, 12, ("rrs442_5", "rrs490"))
