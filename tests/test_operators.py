@@ -277,6 +277,35 @@ def test_extent_by_brute_force_without_rows_for_pairs(spark, monkeypatch):
     assert "Join" not in plan and plan.count("Scan ExistingRDD") == 1
 
 
+def test_extent_of_a_full_tile_by_its_cells(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "FEW", 3)  # most tiles are laid on their cells
+    rng = random.Random(4)
+    rows = [(-200, 300, 5, 5), (7, 7, -90, 290)]
+    rows += [(y, y + rng.randint(0, 90), x, x + rng.randint(0, 90)) for y, x in ((rng.randint(-40, 250), rng.randint(0, 250)) for _ in range(150))]
+    for side in (1, 7, 64):
+        got = {r.granule_id: (r.y_min, r.y_max, r.x_min, r.x_max) for r in overlap.overlap_extent(boxes(spark, rows if side > 1 else rows[2:5]), tile=side).collect()}
+        for i, a in enumerate(rows if side > 1 else rows[2:5]):
+            near = [b for b in (rows if side > 1 else rows[2:5]) if b[0] <= a[1] and b[1] >= a[0] and b[2] <= a[3] and b[3] >= a[2]]
+            assert got[i] == (min(b[0] for b in near), max(b[1] for b in near), min(b[2] for b in near), max(b[3] for b in near))
+
+
+def test_extent_asks_less_than_all_pairs(spark, monkeypatch):
+    def no_pairs(*_):
+        raise AssertionError("pairs are made")
+
+    monkeypatch.setattr(overlap, "_meetings", no_pairs)
+    same = overlap.overlap_extent(boxes(spark, [(0, 50, 0, 50)] * 5000 + [(50, 90, 20, 30)]))
+    assert {(r.y_max, r.x_max) for r in same.collect()} == {(90, 50)}
+
+
+def test_a_hot_tile_has_no_strip_narrower_than_its_boxes(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "HOT_TILE", 2)
+    df = boxes(spark, [(i, i + 9, 0, 99) for i in range(60)])
+    assert overlap._dealt(df, "granule_id", "obs_date", 256).count() == 60  # one strip; strips of a width of 8 made 780 rows
+    pairs = overlap.overlap_pairs(df, limits=False)
+    assert pairs.columns == ["obs_date", "a_id", "b_id"] and pairs.count() == sum(min(9, 59 - i) for i in range(60))
+
+
 def test_overlaps_of_incomplete_and_no_boxes(spark):
     df = boxes(spark, [(0, 5, 0, 5), (1, 2, 1, 2)])
     bad = df.withColumn("y_max", F.lit(None).cast("int")).unionByName(df.withColumn("obs_date", F.lit(None).cast("date")))
