@@ -178,10 +178,19 @@ def last_granule(pixels: DataFrame, limit: int | None = None, angle: str = "oza"
 
 
 def orbit_bits(pixels: DataFrame, cell: Sequence[str] = CELL) -> DataFrame:
-    """R-19. Sum of the orbit bits of the granules touching a cell, and their union, one row per block of bits."""
-    return pixels.groupBy(*cell, "orbit_block").agg(
-        F.sum("orbit_bit").alias("orbit_sum"), F.bit_or("orbit_bit").alias("orbit_set")
+    """R-19. Sum of the orbit bits of the granules touching a cell, and their union, one row per block of bits.
+
+    Granules of one pass add its bit once each, so that their sum may leave the range of a bigint: `orbit_total` is the exact sum,
+    `orbit_sum` the same as a bigint, null where it doesn't fit.
+    """
+    low = (1 << 31) - 1
+    sums = pixels.groupBy(*cell, "orbit_block").agg(
+        F.sum(F.shiftright("orbit_bit", 31)).alias("_high"), F.sum(F.col("orbit_bit").bitwiseAND(low)).alias("_low"),
+        F.bit_or("orbit_bit").alias("orbit_set"),
     )
+    total = F.col("_high").cast("decimal(19,0)") * F.lit(low + 1).cast("decimal(10,0)") + F.col("_low")
+    exact = sums.withColumn("orbit_total", total.cast("decimal(38,0)"))
+    return exact.select(*cell, "orbit_block", F.col("orbit_total").try_cast("bigint").alias("orbit_sum"), "orbit_set", "orbit_total")
 
 
 def time_extent(granules: DataFrame, start: str = "start_ts", keys: Sequence[str] = ()) -> DataFrame:

@@ -382,6 +382,13 @@ def test_any_number_of_passes_has_its_bits(spark):
     assert cells == {0: (full, full), 1: (full, full), 2: (full, full), 3: ((1 << 14) - 1,) * 2}
 
 
+def test_orbit_bits_of_many_granules_of_a_pass(spark):
+    rows = [(0, 0, 0, g, 1 << 61) for g in range(5)] + [(0, 1, 0, 7, 1 << 61), (0, 1, 0, 8, 1), (0, 2, 0, 9, None)]
+    df = spark.createDataFrame(rows, "y int, x int, orbit_block int, granule_id long, orbit_bit long")
+    got = {r.x: (r.orbit_sum, r.orbit_set, r.orbit_total) for r in composite.orbit_bits(df).collect()}
+    assert got == {0: (None, 1 << 61, 5 << 61), 1: ((1 << 61) + 1,) * 2 + ((1 << 61) + 1,), 2: (None, None, None)}
+
+
 def test_last_granule_has_no_limit_of_its_own(spark):
     df = spark.createDataFrame([(0, 0, i, 1.0 if i != 12 else None) for i in range(1, 13)], "y int, x int, granule_index int, oza double")
     assert composite.last_granule(df).first().sensor_id == 11 and composite.last_granule(df, limit=10).first().sensor_id == 10
