@@ -326,6 +326,14 @@ def test_sets_read_pixels_once_and_shuffle_twice(spark):
     assert overlap.set_table(p.limit(0), 2, ["a"]).count() == 0
 
 
+def test_tasks_of_sets_grow_with_the_pixels(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "TASK_PIXELS", 10)
+    p = pixels(spark, [(g, "S3A", D, 0, x, 1, 0.1, None) for x in range(100) for g in (1, 2)])
+    members = overlap.cell_members(p, 2)
+    assert "REPARTITION_BY_NUM" in members._jdf.queryExecution().executedPlan().toString() and members.rdd.getNumPartitions() == 20
+    assert [tuple(r) for r in overlap.granule_sets(p, 2).collect()] == [([1, 2], 100)]
+
+
 def test_months_follow_any_order_of_arrivals_and_replacements(spark, tmp_path):
     r = random.Random(6)
     days = [date(2001, m, d) for m in (1, 2) for d in range(1, 7)]
