@@ -32,6 +32,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,27 +48,37 @@ BROADCAST_IDS = 2_000_000
 
 _A, _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
+# The three pairs of subparts of a part, and their tags.
+_LEFT, _RIGHT, _TAGS = np.array([0, 0, 1]), np.array([1, 2, 2]), np.array([1, 2, 6], np.uint64)
+
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _A
-    x = (x ^ (x >> np.uint64(27))) * _B
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= _A
+    x ^= x >> np.uint64(27)
+    x *= _B
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of `width` words; a shorter text is one run, one without words none."""
-    from xxhash import xxh3_64_intdigest
+    from xxhash import xxh3_64_digest
 
     words = (text or "").encode().lower().split()
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, n)
+    w = np.frombuffer(b"".join(map(xxh3_64_digest, words)), np.uint64)
     size, m = min(n, width), max(n - width, 0) + 1
     out = np.full(m, size, np.uint64)
     for k in range(size):
-        out = _mix(out * _C + w[k : k + m])
-    return np.unique(out)
+        out *= _C
+        out += w[k : k + m]
+    out = np.sort(_mix(out))
+    fresh = np.ones(m, bool)
+    np.not_equal(out[1:], out[:-1], out=fresh[1:])
+    return out if fresh.all() else out[fresh]
 
 
 @cache
@@ -96,34 +107,36 @@ def instances(n: int) -> list[tuple[int, int]]:
     return out
 
 
-def _deal(elements: np.ndarray, octave: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the contents of the subparts (N x 3), and which of them have elements."""
+def _deal(elements: np.ndarray, mixed: np.ndarray, octave: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the contents of the subparts (N x 3), and which of them have elements; `mixed` are the elements mixed."""
     n, tag = parts_of(octave), np.array([octave * 64 + seed + 1], np.uint64)
     place = (_mix(elements + _C * tag) % np.uint64(3 * n)).astype(np.int64)
-    order = np.argsort(place)
-    edges = np.searchsorted(place[order], np.arange(3 * n + 1))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(elements[order]))])
-    return (total[edges[1:]] - total[edges[:-1]]).reshape(n, 3), np.diff(edges).reshape(n, 3) > 0
+    total = np.zeros(3 * n, np.uint64)
+    np.add.at(total, place, mixed)
+    return total.reshape(n, 3), np.bincount(place, minlength=3 * n).reshape(n, 3) > 0
+
+
+@cache
+def _numbers(octave: int, seed: int) -> np.ndarray:
+    return _mix(np.arange(parts_of(octave), dtype=np.uint64) * _A + np.array([octave * 64 + seed + 1], np.uint64))[:, None]
 
 
 def sketch(elements: np.ndarray, octave: int) -> bytes:
     """A byte for each subpart of an octave's first deal: 0 if it is empty, else 1 to 255 by its content."""
-    content, filled = _deal(elements, octave, 0)
+    content, filled = _deal(elements, _mix(elements), octave, 0)
     return np.where(filled, _mix(content) % np.uint64(255) + np.uint64(1), np.uint64(0)).astype(np.uint8).tobytes()
 
 
 def signatures(elements: np.ndarray) -> np.ndarray:
     """All signatures of a set of hashes."""
-    out = []
+    out, mixed = [], _mix(elements)
     low = np.uint64(2**OCTAVE_BITS - 1)
     for octave, most in instances(len(elements)):
         n = parts_of(octave)
         for seed in range(SEEDS):
-            content, filled = _deal(elements, octave, seed)
-            number = _mix(np.arange(n, dtype=np.uint64) * _A + np.array([octave * 64 + seed + 1], np.uint64))
-            for i, j in ((0, 1), (0, 2), (1, 2)):
-                value = _mix(_mix(content[:, i] * _C + number) + content[:, j] * _B + np.uint64(4 * i + j))
-                out.append(value[filled[:, i] | filled[:, j]] & ~low | np.uint64(octave))
+            content, filled = _deal(elements, mixed, octave, seed)
+            value = _mix(_mix(content[:, _LEFT] * _C + _numbers(octave, seed)) + content[:, _RIGHT] * _B + _TAGS)
+            out.append(value[filled[:, _LEFT] | filled[:, _RIGHT]] & ~low | np.uint64(octave))
             if n - most // 2 > int((filled.sum(1) < 2).sum()):
                 break
         else:
@@ -292,9 +305,29 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     return named.join(spread, "sig")
 
 
-def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Number of different bytes of each row of x and each of y."""
-    return np.stack([(y != row).sum(1) for row in x]) if len(x) else np.zeros((0, len(y)), np.int64)
+def _by_width(sketch: pa.Array) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    """Sketches as a matrix for each length: the lengths, the row of each in its matrix, and the matrices."""
+    width = pa.compute.binary_length(sketch).to_numpy(zero_copy_only=False).astype(np.int64)
+    place, matrices = np.zeros(len(width), np.int64), {}
+    for size in np.unique(width).tolist():
+        rows = np.flatnonzero(width == size)
+        place[rows] = np.arange(len(rows))
+        matrices[size] = np.frombuffer(b"".join(sketch.take(pa.array(rows)).to_pylist()), np.uint8).reshape(len(rows), size)
+    return width, place, matrices
+
+
+def _near(x: np.ndarray, y: np.ndarray, n: np.ndarray, sketches: tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]) -> np.ndarray:
+    """Which pairs of rows of one octave have no more different bytes in their sketches than similar sets can."""
+    width, place, matrices = sketches
+    near = np.zeros(len(x), bool)
+    for size, matrix in matrices.items():
+        some = np.flatnonzero(width[x] == size)
+        step = max(1, 1_000_000 // max(size, 1))
+        for i in range(0, len(some), step):
+            part = some[i : i + step]
+            a, b = x[part], y[part]
+            near[part] = np.count_nonzero(matrix[place[a]] != matrix[place[b]], axis=1) <= (n[a] + n[b]) // 9
+    return near
 
 
 def block_pairs(rows: DataFrame, sketches: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -311,19 +344,32 @@ def block_pairs(rows: DataFrame, sketches: DataFrame, block: int = BLOCK) -> Dat
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     keyed = dealt.select("sig", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "node", "component", "n", "sketch")
 
-    def compare(sig, i, j, own, node, component, n, sketch):
-        table = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(node), -1)
-        left = np.flatnonzero(own == i)
-        right = left if i == j else np.flatnonzero(own == j)
-        near = _apart(table[left], table[right]) <= (n[left][:, None] + n[right][None, :]) // 9
+    def compared(table, end):
+        """Pairs of the first `end` rows, which are whole groups: rows at each distance from one another in turn, so that memory stays in proportion to rows."""
+        if not end:
+            return np.zeros((0, 2), np.int64)
+        sig, i, j, own, node, component, n = (table.column(c).to_numpy()[:end] for c in ("sig", "i", "j", "_own", "node", "component", "n"))
+        sketches = _by_width(pa.concat_arrays(table.column("sketch").slice(0, end).chunks))
         # the smaller set's own octave is the one whose sketches are fine enough
-        near &= np.minimum.outer(n[left], n[right]) < 2 ** ((sig & (2**OCTAVE_BITS - 1)) + 1)
-        near &= (component[left][:, None] != component[right][None, :]) & (4 * np.maximum.outer(n[left], n[right]) <= 5 * np.minimum.outer(n[left], n[right]))
-        if i == j:
-            near &= np.triu(np.ones(near.shape, bool), 1)
-        x, y = np.nonzero(near)
-        a, b = node[left[x]], node[right[y]]
-        return np.minimum(a, b), np.maximum(a, b)
+        finer = np.int64(2) ** ((sig & (2**OCTAVE_BITS - 1)) + 1)
+        group = np.cumsum(np.concatenate([[False], (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+        left, found, gap = np.arange(end), [], 0
+        while True:
+            gap += 1
+            left = left[left + gap < end]
+            left = left[group[left] == group[left + gap]]
+            if not len(left):
+                break
+            right = left + gap
+            fit = ((i[left] == j[left]) | (own[left] != own[right])) & (component[left] != component[right])
+            small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+            fit &= (small < finer[left]) & (4 * large <= 5 * small)
+            x, y = left[fit], right[fit]
+            near = _near(x, y, n, sketches)
+            x, y = x[near], y[near]
+            if len(x):
+                found.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], 1))
+        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
     def run(batches):
         held = None
@@ -332,19 +378,13 @@ def block_pairs(rows: DataFrame, sketches: DataFrame, block: int = BLOCK) -> Dat
             if not parts:
                 continue
             table = pa.Table.from_batches(parts).combine_chunks()
-            key = np.stack([table.column(c).to_numpy() for c in ("sig", "i", "j")], 1)
-            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
-            whole = len(cuts) - 1 - (batch is not None)  # the last group may go on
-            own, node, component, n = (table.column(c).to_numpy() for c in ("_own", "node", "component", "n"))
-            sketch, found = table.column("sketch").to_pylist() if whole else [], []
-            for start, end in zip(cuts[:whole], cuts[1 : whole + 1]):
-                if end - start > 1:
-                    some = slice(start, end)
-                    found.append(compare(int(key[start, 0]), key[start, 1], key[start, 2], own[some], node[some], component[some], n[some], sketch[some]))
-            held = table.slice(cuts[whole]).combine_chunks().to_batches()[0] if batch is not None else None
-            if found:
-                a, b = (np.concatenate(c) for c in zip(*found))
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
+            key = [table.column(c).to_numpy() for c in ("sig", "i", "j")]
+            # the last group may go on
+            end = len(table) if batch is None else int(np.flatnonzero((key[0] == key[0][-1]) & (key[1] == key[1][-1]) & (key[2] == key[2][-1]))[0])
+            found = compared(table, end)
+            held = table.slice(end).combine_chunks().to_batches()[0] if batch is not None else None
+            if len(found):
+                yield pa.RecordBatch.from_pydict({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
 
     ordered = keyed.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
     return ordered.mapInArrow(run, "a long, b long").distinct()

@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import SF, docs_of, frame, words
 
@@ -241,6 +242,27 @@ def test_blocks_are_compared_in_full(spark):
     assert links and links <= set(got) and len(got) == len(set(got)) < 60 * 59 / 2
 
 
+def test_sketches_of_several_lengths_are_compared_at_once():
+    r = np.random.default_rng(7)
+    length = [6, 6, 9, 6, 9, 9, 6, 9]
+    sketches = [bytes(r.integers(0, 3, k).astype(np.uint8)) for k in length]
+    n = np.array([9, 18, 27, 30, 12, 40, 22, 31])
+    pairs = [(a, b) for a in range(8) for b in range(8) if a != b and length[a] == length[b]]
+    x, y = map(np.array, zip(*pairs))
+    got = partenum._near(x, y, n, partenum._by_width(pa.array([b"0", *sketches], pa.binary()).slice(1)))
+    assert got.tolist() == [sum(p != q for p, q in zip(sketches[a], sketches[b])) <= (n[a] + n[b]) // 9 for a, b in pairs]
+    assert got.any() and not got.all()
+
+
+def test_shingles_are_distinct_sorted_and_depend_on_order():
+    words_ = [f"w{i % 7}" for i in range(40)]
+    assert len(partenum.shingles(" ".join(words_))) == len({tuple(words_[i : i + 5]) for i in range(36)})
+    both = [partenum.shingles(" ".join(w)) for w in (["a", "b", "c", "d", "e", "f"], ["a", "c", "b", "d", "e", "f"], ["a", "b", "c"], ["a", "b", "c", "d"])]
+    assert len(np.unique(np.concatenate(both))) == 6 and all((np.diff(b) > 0).all() for b in both)
+    # Sets whose words are the same in another order have other keys.
+    assert len({partenum._key(partenum.shingles(t)) for t in ("a b c d x y e f g h", "a b c d y x e f g h")}) == 2
+
+
 def test_similar_sets_share_a_signature():
     r = np.random.default_rng(1)
     for _ in range(1500):
