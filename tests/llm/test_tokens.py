@@ -32,6 +32,18 @@ def test_encoder_equals_whole_texts(path):
         assert library.encode(text, add_special_tokens=False).ids == ids.tolist(), repr(text)
 
 
+def test_plain_words_are_learned_by_their_stems(monkeypatch):
+    """Words of letters go to the model once, whatever marks end them, and aren't encoded as texts."""
+    library, own = Tokenizer.from_file(BYTE), Encoder(BYTE)
+    texts = ["Zorbleth zorbleth, zorbleth. zorbleth!? señor; Ñandú: ªº", "zorbleth\nzorbleth?!\n\nÿé,", f"a{'b' * 100}, a{'b' * 100}. {'!' * 100}"]
+    asked = []
+    monkeypatch.setattr(own, "_encoded", lambda words, f=own._encoded: asked.extend(words) or f(words))
+    assert [library.encode(t, add_special_tokens=False).ids for t in texts] == [i.tolist() for i in own(texts)]
+    assert set(asked) <= {"\n", f" {'!' * 100}"} and " zorbleth" in own.known
+    mixed = ["it's, we'll. 12, x1; -y- (z), «q», Ωmega, 中文。 a_b:", "dž, ŉ, ﬁn; ¼, ²."]
+    assert [library.encode(t, add_special_tokens=False).ids for t in mixed] == [i.tolist() for i in own(mixed)]
+
+
 def expected_ids(rows, path, end):
     out, start = [], 0
     for key, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
