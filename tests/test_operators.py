@@ -306,6 +306,36 @@ def test_a_hot_tile_has_no_strip_narrower_than_its_boxes(spark, monkeypatch):
     assert pairs.columns == ["obs_date", "a_id", "b_id"] and pairs.count() == sum(min(9, 59 - i) for i in range(60))
 
 
+def test_pairs_take_one_exchange_and_leave_tasks_as_lists(spark):
+    plan = overlap.overlap_pairs(boxes(spark, [(0, 5, 0, 5), (1, 2, 1, 2)]), "endpoint", limits=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan
+    assert "Generate explode(partners" in plan
+
+
+@pytest.mark.parametrize("rule", ["intersect", "endpoint", "ninecase"])
+@pytest.mark.parametrize(("hot", "side", "far"), [(1 << 14, 4, 0), (500, 4, 70_000), (500, 90, 1 << 40)])
+def test_pairs_of_full_tiles(spark, monkeypatch, rule, hot, side, far):
+    """Tiles in strips of their own, strips within them, limits of any size, text as ids, and ids given twice."""
+    monkeypatch.setattr(overlap, "HOT_TILE", hot)
+    rng = random.Random(side)
+    rows = [(y, y + rng.randint(0, side), x, x + rng.randint(0, 2 * side)) for y, x in ((rng.randint(-30, 270), rng.randint(-60, 300)) for _ in range(1500))]
+    rows = [tuple(v + far * (i % 2) for v in r) for i, r in enumerate(rows)]
+    names = [f"g{i % 1490}" for i in range(1500)]
+    df = spark.createDataFrame([(n, D, *r) for n, r in zip(names, rows)], "granule_id string, obs_date date, y_min long, y_max long, x_min long, x_max long")
+    got = overlap.overlap_pairs(df, rule).collect()
+    y0, y1, x0, x1 = np.array(rows).T
+
+    def touch(lo, hi):
+        a, b = (lo[:, None], hi[:, None]), (lo[None], hi[None])
+        inside = (b[0] >= a[0]) & (b[0] <= a[1]) | (b[1] >= a[0]) & (b[1] <= a[1])
+        return inside if rule == "endpoint" else (a[0] <= b[1]) & (b[0] <= a[1])
+
+    text = np.array(names, object)
+    hit = touch(y0, y1) & touch(x0, x1) & (text[:, None] < text[None] if rule == "intersect" else text[:, None] != text[None])
+    want = sorted((names[i], names[j], *rows[i], *rows[j]) for i, j in zip(*np.nonzero(hit)))
+    assert len(want) > 100 and sorted(tuple(r)[1:] for r in got) == want
+
+
 def test_overlaps_of_incomplete_and_no_boxes(spark):
     df = boxes(spark, [(0, 5, 0, 5), (1, 2, 1, 2)])
     bad = df.withColumn("y_max", F.lit(None).cast("int")).unionByName(df.withColumn("obs_date", F.lit(None).cast("date")))
